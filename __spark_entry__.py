@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import standins as s
 from annolink.fixed_values import KINDS
 from annolink.functions import scalar
+from annolink.functions.lists import encode_list
 from annolink.operators import (
     batches,
     clean,
@@ -25,7 +26,7 @@ from annolink.operators import (
 )
 from annolink.plans import jobs
 from annolink.sources import readers, writers
-from annolink.staging import staging_folder
+from annolink.staging import stage, staging_folder
 from oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -247,7 +248,7 @@ def entity_frequency(spark, sf):
 
 @_query
 def entity_lists(spark, sf):
-    lists = publications.entity_lists(s.labelled(spark, sf))
+    lists = publications.entity_lists(stage(s.labelled(spark, sf)))
     return publications.encode_lists(lists).drop("part")
 
 
@@ -256,13 +257,13 @@ def publication_table(spark, sf):
     """The central product: documents, their attributes and their five ranked lists."""
     pubs = publications.publications(s.kept(spark, sf).select("doc_id"), s.dims(spark, sf))
     return publications.encode_lists(
-        publications.with_entity_lists(pubs, s.labelled(spark, sf))
+        publications.with_entity_lists(pubs, stage(s.labelled(spark, sf)))
     ).drop("part")
 
 
 @_query
 def decode_lists(spark, sf):
-    lists = publications.entity_lists(s.labelled(spark, sf))
+    lists = publications.entity_lists(stage(s.labelled(spark, sf)))
     chosen = [("genes", "small ring"), ("terms_do", "DOID:12")]
     return publications.decode_lists(publications.encode_lists(lists), chosen)
 
@@ -318,7 +319,7 @@ def evaluation_metrics(spark, sf):
 @_query
 def association_rules(spark, sf):
     """Rules between the hundred most frequent words of the documents."""
-    items = s.word_items(spark, sf)
+    items = stage(s.word_items(spark, sf))
     top = items.groupBy("item").agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("item"))
     tx = items.join(F.broadcast(top.limit(100)), "item", "left_semi")
     return rules.association_rules(tx)
@@ -409,8 +410,8 @@ def suggest_batch(spark, sf):
 
 
 def _found(spark, sf, clauses, **options):
-    facts_table = s.facts(spark, sf)
-    docs = publications.document_ids(facts_table)
+    facts_table = stage(s.facts(spark, sf))
+    docs = search.matching_documents(facts_table, clauses)
     pubs = publications.publications(docs, s.prefixed_dims(spark, sf))
     return search.find_documents(facts_table, pubs, clauses, **options)
 
@@ -422,16 +423,14 @@ def find_documents(spark, sf):
 
 @_query
 def find_documents_page(spark, sf):
-    """Second page, ordered by the best species score."""
-    clauses = {"go_name": ["small ring"], "species_id": ["40"]}
-    return _found(spark, sf, clauses, order_by_kind="species", offset=25)
+    """Second page, ordered by the best disease score."""
+    clauses = {"go_name": ["small ring"], "do_name": ["PROMO"]}
+    return _found(spark, sf, clauses, order_by_kind="terms_do", offset=25)
 
 
 @_query
 def documents_of(spark, sf):
     rows = search.documents_of(s.facts(spark, sf), ["12", "675"], "genes")
-    from annolink.functions.lists import encode_list
-
     return rows.select("doc_id", encode_list(F.col("entities")).alias("entities"))
 
 

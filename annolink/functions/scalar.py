@@ -10,13 +10,18 @@ from annolink.fixed_values import DOCUMENT_LINK, DOCUMENT_PREFIX, DOI_LINK, LINK
 
 def normalise_doc_id(doc_raw: Column) -> Column:
     """``Journal-6--554113`` becomes ``554113``; a clean id stays as it is."""
-    return F.regexp_replace(doc_raw, r"^.+-([0-9]+)$", "$1")
+    # The digits behind the last hyphen, if something stands before it; no regular
+    # expression, since every mention passes here.
+    tail = F.substring_index(doc_raw, "-", -1)
+    digits = (tail != "") & (F.translate(tail, "0123456789", "") == "")
+    return F.when(digits & (F.length(doc_raw) > F.length(tail) + 1), tail).otherwise(doc_raw)
 
 
 def lenient_int(text: Column) -> Column:
     """The integer at the start of the text, 0 when there is none."""
+    # Most scores are plain integers: the pattern is only tried on the others.
     digits = F.regexp_extract(text, r"^\s*([+-]?[0-9]+)", 1)
-    return F.coalesce(digits.try_cast("int"), F.lit(0))
+    return F.coalesce(text.try_cast("int"), digits.try_cast("int"), F.lit(0))
 
 
 def default_score(score: Column) -> Column:

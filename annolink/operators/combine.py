@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annolink.fixed_values import KINDS
-from annolink.operators.skew import HOT_ROWS, number_copies, split_hot
+from annolink.operators.skew import HOT_ROWS, hot_keys, number_copies
 
 # A hot document is spread over GRID x GRID tasks in each join.
 GRID = 8
@@ -18,46 +18,46 @@ def combine(
     rows: DataFrame,
     kinds: Sequence[str],
     fields: Sequence[str],
-    required: bool = False,
-    distinct: bool = False,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """One row per document and combination of its entries, one struct column per kind.
 
-    ``rows`` holds (kind, doc_id, *fields, alive). A kind that a document lacks gives NULL,
-    or drops the document when ``required``. A document is dropped when it has entries of
-    a kind and none of them is alive; dead entries never appear. ``distinct`` takes equal
-    entries of a document once.
+    ``rows`` holds (kind, doc_id, *fields, alive). A kind that a document lacks gives NULL.
+    A document is dropped when it has entries of a kind and none of them is alive; dead
+    entries never appear.
     """
-    ordinary, hot, _ = split_hot(rows, "doc_id", hot_rows)
-    wide = _by_lists(ordinary, kinds, fields, required, distinct)
+    hot = hot_keys(rows, "doc_id", hot_rows)
     if hot is None:
-        return wide
-    if distinct:
-        hot = hot.distinct()
-    return wide.unionByName(_by_joins(hot, kinds, fields, required))
+        return _by_lists(rows, kinds, fields)
+    keys = hot.select("doc_id")
+    ordinary = _by_lists(rows.join(keys, "doc_id", "left_anti"), kinds, fields)
+    return ordinary.unionByName(combine_hot(rows.join(keys, "doc_id", "left_semi"), kinds, fields))
 
 
-def _by_lists(rows, kinds, fields, required, distinct) -> DataFrame:
+def _by_lists(rows, kinds, fields) -> DataFrame:
     # One shuffle: gather the lists of a document, then unfold them next to each other.
+    # Collecting does not shrink the rows, so they are shuffled before it, not after.
     entry = F.struct(*fields)
-    collect = F.collect_set if distinct else F.collect_list
-    lists = rows.groupBy("doc_id").agg(
-        *[collect(F.when((F.col("kind") == k) & F.col("alive"), entry)).alias(k) for k in kinds],
+    lists = rows.repartition("doc_id").groupBy("doc_id").agg(
+        *[F.collect_list(F.when((F.col("kind") == k) & F.col("alive"), entry)).alias(k) for k in kinds],
         *[F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{k}") for k in kinds],
     )
     for k in kinds:
-        empty = F.size(k) == 0
-        lists = lists.where(~empty if required else ~(empty & (F.col(f"n_{k}") > 0)))
+        lists = lists.where((F.size(k) > 0) | (F.col(f"n_{k}") == 0))
     lists = lists.select("doc_id", *kinds)
     for k in kinds:
         lists = lists.withColumn(k, F.explode_outer(k))
     return lists
 
 
-def _by_joins(rows, kinds, fields, required) -> DataFrame:
-    # Inner joins on a grid of salts; documents without a kind get one empty entry of it,
-    # which makes the inner joins complete.
+def combine_hot(
+    rows: DataFrame, kinds: Sequence[str], fields: Sequence[str], required: bool = False
+) -> DataFrame:
+    """``combine`` for documents that are too large for one task.
+
+    Inner joins on a grid of salts; documents without a kind get one empty entry of it,
+    which makes the inner joins complete, or are dropped when all kinds are ``required``.
+    """
     counts = rows.groupBy("doc_id").agg(
         *[F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{k}") for k in kinds],
         *[F.count(F.when((F.col("kind") == k) & F.col("alive"), 1)).alias(f"a_{k}") for k in kinds],

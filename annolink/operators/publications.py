@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from annolink.fixed_values import KINDS
 from annolink.functions.lists import decode_list, encode_list
 from annolink.functions.scalar import link_out, score_band
-from annolink.operators.combine import combine
-from annolink.operators.skew import HOT_ROWS, number_copies, split_hot
+from annolink.operators.combine import combine_hot
+from annolink.operators.skew import HOT_ROWS, hot_keys, number_copies
 
 
 def document_ids(mentions: DataFrame) -> DataFrame:
@@ -27,20 +27,35 @@ def publications(
 ) -> DataFrame:
     """Attach attributes to documents: ``dims`` maps a column name to (doc_id, value).
 
-    ``inner`` drops documents that lack an attribute, ``left`` gives NULL. All attributes
-    are gathered in one shuffle on the document instead of one join each.
+    ``inner`` drops documents that lack an attribute, ``left`` gives NULL. Every table is
+    shuffled by document once: that serves both its deduplication and all the joins.
     """
-    parts = [
-        dim.select(F.lit(name).alias("kind"), "doc_id", F.col(name).alias("value"))
-        for name, dim in dims.items()
-    ]
-    listed = docs.select(F.lit("listed").alias("kind"), "doc_id", F.lit("").alias("value"))
-    rows = reduce(DataFrame.unionByName, parts, listed).withColumn("alive", F.lit(True))
-    kinds = ["listed", *dims]
-    wide = combine(rows, kinds, ["value"], how == "inner", distinct=True, hot_rows=hot_rows)
-    return wide.where(F.col("listed").isNotNull()).select(
-        "doc_id", *[F.col(name)["value"].alias(name) for name in dims]
+    listed = docs.select("doc_id").distinct()
+    attributes = {name: dim.select("doc_id", name) for name, dim in dims.items()}
+    hot = hot_keys(
+        reduce(DataFrame.unionByName, [d.select("doc_id") for d in attributes.values()]),
+        "doc_id",
+        hot_rows,
     )
+    if hot is None:
+        return _attach(listed, attributes, how)
+    keys = hot.select("doc_id")
+    ordinary = {n: d.join(keys, "doc_id", "left_anti") for n, d in attributes.items()}
+    rows = [
+        d.select(F.lit(n).alias("kind"), "doc_id", F.col(n).alias("value"))
+        for n, d in attributes.items()
+    ]
+    rows = reduce(DataFrame.unionByName, rows).join(keys, "doc_id", "left_semi").distinct()
+    rows = rows.join(listed, "doc_id", "left_semi").withColumn("alive", F.lit(True))
+    wide = combine_hot(rows, list(dims), ["value"], required=how == "inner")
+    wide = wide.select("doc_id", *[F.col(n)["value"].alias(n) for n in dims])
+    return _attach(listed.join(keys, "doc_id", "left_anti"), ordinary, how).unionByName(wide)
+
+
+def _attach(docs: DataFrame, attributes: dict[str, DataFrame], how: str) -> DataFrame:
+    for attribute in attributes.values():
+        docs = docs.join(attribute.repartition("doc_id").distinct(), "doc_id", how)
+    return docs
 
 
 def gather(
@@ -52,23 +67,26 @@ def gather(
     spans several rows: its entries are range-sorted over many tasks and each part holds
     the next stretch of the list, so that no task or cell has to hold all of it.
     """
-    ordinary, hot, n_hot = split_hot(rows, "doc_id", part_entries)
-    gathered = _gather(ordinary.withColumn("part", F.lit(0)), lists)
+    hot = hot_keys(rows, "doc_id", part_entries)
     if hot is None:
-        return gathered
+        return _gather(rows.withColumn("part", F.lit(0)), lists)
+    keys = hot.select("doc_id")
+    ordinary = rows.join(keys, "doc_id", "left_anti").withColumn("part", F.lit(0))
+    n_parts = -(-hot.agg(F.sum("n_rows")).first()[0] // part_entries)
     order = ["doc_id", "kind", F.desc("score"), "name", "entity_id", "copy"]
-    stretches = number_copies(hot.select("kind", "doc_id", "name", "entity_id", "score"))
-    n_parts = max(1, -(-n_hot // part_entries))
-    stretches = stretches.repartitionByRange(n_parts, *order).withColumn(
+    entries = rows.join(keys, "doc_id", "left_semi")
+    entries = number_copies(entries.select("kind", "doc_id", "name", "entity_id", "score"))
+    stretches = entries.repartitionByRange(n_parts, *order).withColumn(
         "part", F.spark_partition_id()
     )
-    return gathered.unionByName(_gather(stretches, lists))
+    return _gather(ordinary, lists).unionByName(_gather(stretches, lists))
 
 
 def _gather(rows: DataFrame, lists: dict[str, Column]) -> DataFrame:
     # Ascending order of the negated score puts the highest score first.
     entry = F.struct((-F.col("score")).alias("minus"), "name", "entity_id")
-    gathered = rows.groupBy("doc_id", "part").agg(
+    # Collecting does not shrink the rows, so they are shuffled before it, not after.
+    gathered = rows.repartition("doc_id", "part").groupBy("doc_id", "part").agg(
         *[F.collect_list(F.when(condition, entry)).alias(name) for name, condition in lists.items()]
     )
     plain = {

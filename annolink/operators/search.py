@@ -36,20 +36,25 @@ def lookup_table(facts: DataFrame, strict_prefix: bool = False) -> DataFrame:
     ``strict_prefix`` leaves out values whose first two characters are not letters or digits.
     """
     short = F.coalesce(*[F.when(F.col("kind") == k, F.lit(s)) for k, s in KINDS.items()])
-    values = F.explode(
+    rest = ("name", "entity_id", "score")
+    own = [F.col(c).alias(c) for c in rest]
+    blank = [F.lit(None).cast(facts.schema[c].dataType).alias(c) for c in rest]
+
+    def entry(attr, value, others):
+        return F.struct(attr.alias("attr"), F.col(value).alias("value"), "doc_id", *others)
+
+    entries = F.explode(
         F.array(
-            F.struct(F.concat(short, F.lit("_name")).alias("attr"), F.col("name").alias("value")),
-            F.struct(F.concat(short, F.lit("_id")).alias("attr"), F.col("entity_id").alias("value")),
+            entry(F.concat(short, F.lit("_name")), "name", own),
+            entry(F.concat(short, F.lit("_id")), "entity_id", own),
+            entry(F.lit("doc_id"), "doc_id", blank),
         )
     )
-    rows = facts.distinct().select(values.alias("v"), "doc_id", "name", "entity_id", "score")
-    rows = rows.select("v.*", "doc_id", "name", "entity_id", "score")
-    blank = {c: F.lit(None).cast(facts.schema[c].dataType) for c in ("name", "entity_id", "score")}
-    docs = facts.select("doc_id").distinct().withColumn("attr", F.lit("doc_id"))
-    docs = docs.withColumn("value", F.col("doc_id")).withColumns(blank)
     table = (
-        rows.unionByName(docs)
+        facts.select(entries.alias("entry"))
+        .select("entry.*")
         .where(F.col("value") != "")
+        .distinct()
         .withColumns({"value_lower": F.lower("value"), "prefix": lookup_prefix(F.col("value"))})
         .withColumn("first", F.substring("prefix", 1, 1))
     )

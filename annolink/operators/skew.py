@@ -19,23 +19,16 @@ HOT_ROWS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, and their count."""
-    return df.groupBy(key).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > hot_rows)
+def hot_keys(df: DataFrame, key: str, hot_rows: int | None = HOT_ROWS) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows and their count, or None if there are none.
 
-
-def split_hot(
-    df: DataFrame, key: str, hot_rows: int | None = HOT_ROWS
-) -> tuple[DataFrame, DataFrame | None, int]:
-    """(ordinary rows, hot rows or None, number of hot rows); None skips the count."""
+    The question is put to the data at once, because the plan depends on the answer: it
+    reads the key column only. Pass None where the caller knows that no key is hot.
+    """
     if hot_rows is None:
-        return df, None, 0
-    hot = hot_keys(df, key, hot_rows)
-    n_hot = hot.agg(F.sum("n_rows")).first()[0]
-    if n_hot is None:
-        return df, None, 0
-    keys = hot.select(key)
-    return df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi"), n_hot
+        return None
+    hot = df.groupBy(key).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > hot_rows)
+    return None if hot.isEmpty() else hot
 
 
 def number_copies(df: DataFrame, chunk: int = HOT_ROWS) -> DataFrame:

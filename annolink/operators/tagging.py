@@ -32,8 +32,11 @@ def tag_documents(docs: DataFrame, dictionary: DataFrame, max_words: int = 4) ->
         .select("kind", "entity_id", "phrase")
         .distinct()
     )
-    phrases = docs.select("doc_id", words_of(F.col("text")).alias("words")).select(
-        "doc_id", F.explode(_phrases(F.col("words"), max_words)).alias("phrase")
+    phrases = (
+        docs.select("doc_id", words_of(F.col("text")).alias("words"))
+        .select("doc_id", "words", F.posexplode("words").alias("at", "word"))
+        .select("doc_id", F.explode(_phrases_at(max_words)).alias("phrase"))
+        .where(F.col("phrase").isNotNull())
     )
     if fits_broadcast(names):
         found = phrases.join(F.broadcast(names), "phrase").withColumn("n", F.lit(1))
@@ -44,14 +47,10 @@ def tag_documents(docs: DataFrame, dictionary: DataFrame, max_words: int = 4) ->
     return found.groupBy("kind", "doc_id", "entity_id").agg(F.sum("n").cast("int").alias("score"))
 
 
-def _phrases(words: Column, max_words: int) -> Column:
-    """All sequences of 1 to ``max_words`` neighbouring words."""
-
-    def runs_of(n: int) -> Column:
-        last = F.size(words) - (n - 1)
-        starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(
-            F.array().cast("array<int>")
-        )
-        return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
-
-    return F.flatten(F.array(words, *[runs_of(n) for n in range(2, max_words + 1)]))
+def _phrases_at(max_words: int) -> Column:
+    """The sequences of 1 to ``max_words`` words that start at word number ``at``."""
+    phrases = [F.col("word")]
+    for n in range(1, max_words):
+        # NULL behind the last word, and so is every longer sequence.
+        phrases.append(F.concat(phrases[-1], F.lit(" "), F.get("words", F.col("at") + n)))
+    return F.array(*phrases)

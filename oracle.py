@@ -241,7 +241,7 @@ _ROUTED = """
 _HITS_A = """SELECT doc_id FROM facts WHERE kind = 'genes' AND name = 'small ring'
              INTERSECT SELECT doc_id FROM facts WHERE kind = 'terms_do' AND name = 'PROMO'"""
 _HITS_B = """SELECT doc_id FROM facts WHERE kind = 'terms_go' AND name = 'small ring'
-             INTERSECT SELECT doc_id FROM facts WHERE kind = 'species' AND entity_id = '40'"""
+             INTERSECT SELECT doc_id FROM facts WHERE kind = 'terms_do' AND name = 'PROMO'"""
 
 _GENE_PREFIX = """SELECT name AS value, doc_id, entity_id, score FROM facts
                   WHERE kind = 'genes' AND starts_with(lower(name), 'sm')"""
@@ -348,7 +348,7 @@ _BODIES = {
         WHERE {_ROUTED}
         QUALIFY row_number() OVER (PARTITION BY text, attr ORDER BY value) <= 5""",
     "find_documents": _find(_HITS_A, "genes", 0),
-    "find_documents_page": _find(_HITS_B, "species", 25),
+    "find_documents_page": _find(_HITS_B, "terms_do", 25),
     "documents_of": """
         SELECT doc_id, string_agg(concat(name, '@!@', entity_id, '@!@', cast(score AS string)), '#!#'
                                   ORDER BY score DESC, name, entity_id) AS entities
