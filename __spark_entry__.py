@@ -450,8 +450,7 @@ def transactions(spark, sf):
 
 @_query
 def tag_documents(spark, sf):
-    docs = s.table(spark, sf, "documents").select("doc_id", "text")
-    return tagging.tag_documents(docs, s.word_dictionary(spark, sf), max_words=2)
+    return tagging.tag_documents(s.documents(spark, sf), s.word_dictionary(spark, sf), max_words=2)
 
 
 @_query

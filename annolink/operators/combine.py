@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from annolink.fixed_values import KINDS
 from annolink.operators.skew import HOT_ROWS, hot_keys, number_copies
+from annolink.unions import append
 
 # A hot document is spread over GRID x GRID tasks in each join.
 GRID = 8
@@ -31,7 +32,7 @@ def combine(
         return _by_lists(rows, kinds, fields)
     keys = hot.select("doc_id")
     ordinary = _by_lists(rows.join(keys, "doc_id", "left_anti"), kinds, fields)
-    return ordinary.unionByName(combine_hot(rows.join(keys, "doc_id", "left_semi"), kinds, fields))
+    return append(ordinary, combine_hot(rows.join(keys, "doc_id", "left_semi"), kinds, fields))
 
 
 def _by_lists(rows, kinds, fields) -> DataFrame:
@@ -73,10 +74,11 @@ def combine_hot(
             "doc_id", F.struct(*fields).alias(k), F.col("copy").alias(f"copy_{k}")
         )
         empty = F.lit(None).cast(side.schema[k].dataType).alias(k)
-        side = side.unionByName(
+        side = append(
+            side,
             counts.where(F.col(f"n_{k}") == 0).select(
                 "doc_id", empty, F.lit(0).cast("long").alias(f"copy_{k}")
-            )
+            ),
         )
         if wide is None:
             wide = side

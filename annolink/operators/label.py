@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from annolink.functions.scalar import multiword
 from annolink.operators.clean import multiword_only
+from annolink.unions import append
 
 
 def label(mentions: DataFrame, labels: DataFrame) -> DataFrame:
@@ -59,4 +60,4 @@ def apply_whitelist(
 ) -> DataFrame:
     """All mentions, with the species mentions restricted to the whitelist."""
     species = whitelist_species(mentions, dictionary, taxonomy, keep_multiplicity)
-    return mentions.where(F.col("kind") != "species").unionByName(species)
+    return append(mentions.where(F.col("kind") != "species"), species)

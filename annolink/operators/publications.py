@@ -12,6 +12,7 @@ from annolink.functions.lists import decode_list, encode_list
 from annolink.functions.scalar import link_out, score_band
 from annolink.operators.combine import combine_hot
 from annolink.operators.skew import HOT_ROWS, hot_keys, number_copies
+from annolink.unions import append
 
 
 def document_ids(mentions: DataFrame) -> DataFrame:
@@ -33,7 +34,7 @@ def publications(
     listed = docs.select("doc_id").distinct()
     attributes = {name: dim.select("doc_id", name) for name, dim in dims.items()}
     hot = hot_keys(
-        reduce(DataFrame.unionByName, [d.select("doc_id") for d in attributes.values()]),
+        append(*[d.select("doc_id") for d in attributes.values()]),
         "doc_id",
         hot_rows,
     )
@@ -45,11 +46,11 @@ def publications(
         d.select(F.lit(n).alias("kind"), "doc_id", F.col(n).alias("value"))
         for n, d in attributes.items()
     ]
-    rows = reduce(DataFrame.unionByName, rows).join(keys, "doc_id", "left_semi").distinct()
+    rows = append(*rows).join(keys, "doc_id", "left_semi").distinct()
     rows = rows.join(listed, "doc_id", "left_semi").withColumn("alive", F.lit(True))
     wide = combine_hot(rows, list(dims), ["value"], required=how == "inner")
     wide = wide.select("doc_id", *[F.col(n)["value"].alias(n) for n in dims])
-    return _attach(listed.join(keys, "doc_id", "left_anti"), ordinary, how).unionByName(wide)
+    return append(_attach(listed.join(keys, "doc_id", "left_anti"), ordinary, how), wide)
 
 
 def _attach(docs: DataFrame, attributes: dict[str, DataFrame], how: str) -> DataFrame:
@@ -79,7 +80,7 @@ def gather(
     stretches = entries.repartitionByRange(n_parts, *order).withColumn(
         "part", F.spark_partition_id()
     )
-    return _gather(ordinary, lists).unionByName(_gather(stretches, lists))
+    return append(_gather(ordinary, lists), _gather(stretches, lists))
 
 
 def _gather(rows: DataFrame, lists: dict[str, Column]) -> DataFrame:

@@ -21,6 +21,7 @@ from annolink.functions.scalar import lookup_prefix
 from annolink.operators.publications import HOT_ROWS, gather
 from annolink.operators.skew import fits_broadcast
 from annolink.operators.stats import top_entities
+from annolink.unions import append
 
 # Lookup column to (kind, fact column).
 COLUMNS = {
@@ -243,10 +244,8 @@ def transactions(
     Genes are usually restricted to one taxon by ``accepted``; species take no part.
     """
     kinds = kinds or ["genes", "terms_go", "terms_do", "terms_chebi"]
-    top = reduce(
-        DataFrame.unionByName,
-        [top_entities(facts, k, n, (accepted or {}).get(k)) for k in kinds],
-    ).select("kind", "entity_id")
+    top = append(*[top_entities(facts, k, n, (accepted or {}).get(k)) for k in kinds])
+    top = top.select("kind", "entity_id")
     # At most n rows per kind; measured, because n is the caller's.
     side = F.broadcast(top) if n <= TOP_N or fits_broadcast(top) else top
     return (

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annolink.fixed_values import FIRST_CHART_YEAR, KINDS, ONTOLOGIES, TOP_N
+from annolink.unions import append
 
 
 def entity_frequency(facts: DataFrame, kind: str | None = None) -> DataFrame:
@@ -71,7 +70,7 @@ def corpus_stats(facts: DataFrame, strict_ids: bool = False) -> DataFrame:
     ids = facts.where(counted).select("kind", "entity_id").distinct()
     of_kind = [F.count(F.when(F.col("kind") == k, 1)).alias(f"distinct {k}") for k in KINDS]
     total = F.count(F.when(F.col("kind").isin(*ONTOLOGIES), 1)).alias("distinct ontology terms")
-    return _figures(documents).unionByName(_figures(ids.agg(*of_kind, total)))
+    return append(_figures(documents), _figures(ids.agg(*of_kind, total)))
 
 
 def _figures(one_row: DataFrame) -> DataFrame:
@@ -132,8 +131,7 @@ def _sides(tables: dict[str, DataFrame], keys: list[str]) -> DataFrame:
         df.select(*keys, *[F.lit(int(other == name)).alias(other) for other in tables])
         for name, df in tables.items()
     ]
-    union = reduce(DataFrame.unionByName, flagged)
-    return union.groupBy(*keys).agg(*[F.max(name).alias(name) for name in tables])
+    return append(*flagged).groupBy(*keys).agg(*[F.max(name).alias(name) for name in tables])
 
 
 def year_histogram(
@@ -149,8 +147,9 @@ def year_histogram(
     the data has earlier or later ones.
     """
     b = a.limit(0) if b is None else b
-    rows = a.select(year, F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(
-        b.select(year, F.lit(0).alias("a"), F.lit(1).alias("b"))
+    rows = append(
+        a.select(year, F.lit(1).alias("a"), F.lit(0).alias("b")),
+        b.select(year, F.lit(0).alias("a"), F.lit(1).alias("b")),
     )
     label = F.coalesce(F.col(year), F.lit(""))
     counts = rows.groupBy(label.alias("year")).agg(F.sum("a").alias("n_a"), F.sum("b").alias("n_b"))
@@ -170,10 +169,10 @@ def year_histogram(
         F.coalesce("n_b", F.lit(0).cast("long")).alias("n_b"),
     )
     blank = counts.where(F.col("year") == "").withColumn("year", F.lit("no e-publication date"))
-    return filled.unionByName(blank)
+    return append(filled, blank)
 
 
 def totals(results: dict[str, DataFrame]) -> DataFrame:
     """Number of rows of each result."""
     names = [df.select(F.lit(name).alias("source")) for name, df in results.items()]
-    return reduce(DataFrame.unionByName, names).groupBy("source").agg(F.count("*").alias("n"))
+    return append(*names).groupBy("source").agg(F.count("*").alias("n"))

@@ -32,9 +32,11 @@ def tag_documents(docs: DataFrame, dictionary: DataFrame, max_words: int = 4) ->
         .select("kind", "entity_id", "phrase")
         .distinct()
     )
+    # The outer form keeps the optimizer from testing the tokenised text for emptiness
+    # first, which would tokenise every text twice.
     phrases = (
         docs.select("doc_id", words_of(F.col("text")).alias("words"))
-        .select("doc_id", "words", F.posexplode("words").alias("at", "word"))
+        .select("doc_id", "words", F.posexplode_outer("words").alias("at", "word"))
         .select("doc_id", F.explode(_phrases_at(max_words)).alias("phrase"))
         .where(F.col("phrase").isNotNull())
     )

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from annolink import schemas
 from annolink.fixed_values import KINDS, PUBLICATION_ATTRIBUTES
+from annolink.unions import append
 
 
 def _read_tsv(spark: SparkSession, path, schema: T.StructType, **options) -> DataFrame:
@@ -45,10 +46,7 @@ def read_labels(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
         tables.append(
             names.select(F.explode(F.array(*map(F.lit, kinds))).alias("kind"), "entity_id", "name")
         )
-    union = tables[0]
-    for table in tables[1:]:
-        union = union.unionByName(table)
-    return union
+    return append(*tables)
 
 
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:

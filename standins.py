@@ -19,6 +19,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def documents(spark, sf) -> DataFrame:
+    """(doc_id, text), spread over all cores where the file has fewer splits than that.
+
+    Tokenising is the work here, and a small file is a single split. A corpus with a split
+    per core is left as it is.
+    """
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    cores = spark.sparkContext.defaultParallelism
+    return docs.repartition(cores) if docs.rdd.getNumPartitions() < cores else docs
+
+
 def _text(column) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("string")
 
@@ -162,7 +173,7 @@ def results(spark, sf) -> tuple[DataFrame, DataFrame]:
 def word_items(spark, sf) -> DataFrame:
     """Distinct (doc_id, item): words of four or more letters in each document."""
     words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0)))
-    return table(spark, sf, "documents").select("doc_id", words.alias("item")).distinct()
+    return documents(spark, sf).select("doc_id", words.alias("item")).distinct()
 
 
 def word_dictionary(spark, sf) -> DataFrame:
