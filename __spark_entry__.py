@@ -26,7 +26,7 @@ from annolink.operators import (
 )
 from annolink.plans import jobs
 from annolink.sources import readers, writers
-from annolink.staging import stage, staging_folder
+from annolink.staging import new_folder, stage
 from oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,12 +50,6 @@ def oracle_sql() -> dict[str, str]:
     return {name: ORACLE[name] for name in _QUERIES if name in ORACLE}
 
 
-def _new_folder(spark: SparkSession, name: str) -> str:
-    import uuid
-
-    return f"{staging_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 # Projections and scalar functions
 
 
@@ -459,12 +453,94 @@ def assign_batches(spark, sf):
     return batches.assign_batches(docs, ["source", "doc_id"], 200)
 
 
-# Sources and sinks
+# Sources and sinks: written in the input format, then read
+
+
+@_query
+def mentions_roundtrip(spark, sf):
+    path = new_folder(spark, "mentions")
+    raw = s.mentions_raw(spark, sf)
+    for kind in KINDS:
+        rows = raw.where(F.col("kind") == kind).drop("kind")
+        writers.export_tsv(rows, f"{path}/all__{kind}.tsv")
+    return readers.read_mentions(spark, path, "al*")
+
+
+@_query
+def dictionaries_roundtrip(spark, sf):
+    path = new_folder(spark, "labels")
+    labels = s.entity_labels(spark, sf)
+    paths = {kind: f"{path}/{kind}" for kind in KINDS}
+    for kind, target in paths.items():
+        rows = labels.where(F.col("kind") == kind).select("entity_id", "name")
+        writers.export_tsv(rows, target)
+    return readers.read_labels(spark, paths)
+
+
+@_query
+def taxonomy_roundtrip(spark, sf):
+    path = new_folder(spark, "taxonomy")
+    dump = s.taxonomy(spark, sf).select("taxon_id", F.lit("|").alias("bar"), "name", F.lit("|").alias("end"))
+    writers.export_tsv(dump, path)
+    return readers.read_taxonomy(spark, path)
+
+
+@_query
+def gene_taxon_roundtrip(spark, sf):
+    path = new_folder(spark, "gene_taxon")
+    writers.export_tsv(s.gene_taxon(spark, sf).select(F.lit("x").alias("source"), "taxon_gene"), path)
+    return readers.read_gene_taxon(spark, path)
+
+
+@_query
+def publications_roundtrip(spark, sf):
+    path = new_folder(spark, "attributes")
+    dims = s.dims(spark, sf)
+    for name, dim in dims.items():
+        writers.export_tsv(dim, f"{path}/{name}")
+    dims = readers.read_publications(spark, {name: f"{path}/{name}" for name in dims})
+    return publications.publications(s.kept(spark, sf).select("doc_id"), dims)
+
+
+@_query
+def id_list_roundtrip(spark, sf):
+    path = new_folder(spark, "index")
+    index = s.table(spark, sf, "lineitem").select("l_shipdate", "l_partkey", "l_orderkey")
+    writers.export_tsv(index, path)
+    return readers.read_id_list(spark, path)
+
+
+@_query
+def transactions_roundtrip(spark, sf):
+    path = new_folder(spark, "transactions")
+    writers.export_tsv(s.labelled(spark, sf).select("doc_id", "name"), path)
+    return readers.read_transactions(spark, path)
+
+
+@_query
+def evaluation_roundtrip(spark, sf):
+    path = new_folder(spark, "evaluation")
+    metrics = evaluate.as_decimals(evaluation_metrics(spark, sf))
+    table = metrics.select(
+        F.col("query_key").alias("gene"), F.lit("any").alias("species"), F.lit("own").alias("service"),
+        "gold", "found", "tp", "fp", "fn", *evaluate.METRICS,
+    )
+    writers.export_tsv(writers.evaluation_headings(table), path, readable_headers=True)
+    read = readers.read_evaluation(spark, path)
+    thousandths = {m: (F.col(m) * 1000).cast("bigint") for m in evaluate.METRICS}
+    return read.withColumns(thousandths).drop("species", "service")
+
+
+@_query
+def corpus_roundtrip(spark, sf):
+    path = new_folder(spark, "corpus")
+    writers.write_corpus({"facts": s.labelled(spark, sf)}, path)
+    return readers.read_facts(spark, path)
 
 
 @_query
 def export_roundtrip(spark, sf):
-    path = _new_folder(spark, "export")
+    path = new_folder(spark, "export")
     writers.export_tsv(s.labelled(spark, sf), path)
     return spark.read.schema("kind string, doc_id string, name string, entity_id string, score int").csv(
         path, sep="\t", quote="", escape=""
@@ -473,7 +549,7 @@ def export_roundtrip(spark, sf):
 
 @_query
 def lookup_roundtrip(spark, sf):
-    path = _new_folder(spark, "lookup")
+    path = new_folder(spark, "lookup")
     jobs.load_lookup(s.labelled(spark, sf), path)
     lookup = readers.read_lookup(spark, path)
     return search.starts_with(lookup, "gene_name", "sm").select("value", "doc_id", "entity_id", "score")
@@ -511,6 +587,15 @@ def mine_rules(spark, sf):
     return jobs.mine_rules(s.labelled(spark, sf), genes, min_confidence=0.3)
 
 
+@_query
+def strong_rules(spark, sf):
+    """The same rules with a share of the documents that is worth drawing."""
+    genes = clean.for_taxon(readers.split_gene_taxon(s.gene_taxon(spark, sf)), "2")
+    return jobs.mine_rules(
+        s.labelled(spark, sf), genes, min_confidence=0.05, strong_support=0.01
+    )
+
+
 @_query
 def evaluate_service(spark, sf):
     """Gold: returned line items per supplier; found: documents that mention the supplier."""

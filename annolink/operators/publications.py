@@ -70,9 +70,9 @@ def gather(
     """
     hot = hot_keys(rows, "doc_id", part_entries)
     if hot is None:
-        return _gather(rows.withColumn("part", F.lit(0)), lists)
+        return _gather(rows, lists).withColumn("part", F.lit(0))
     keys = hot.select("doc_id")
-    ordinary = rows.join(keys, "doc_id", "left_anti").withColumn("part", F.lit(0))
+    ordinary = _gather(rows.join(keys, "doc_id", "left_anti"), lists)
     n_parts = -(-hot.agg(F.sum("n_rows")).first()[0] // part_entries)
     order = ["doc_id", "kind", F.desc("score"), "name", "entity_id", "copy"]
     entries = rows.join(keys, "doc_id", "left_semi")
@@ -80,14 +80,15 @@ def gather(
     stretches = entries.repartitionByRange(n_parts, *order).withColumn(
         "part", F.spark_partition_id()
     )
-    return append(_gather(ordinary, lists), _gather(stretches, lists))
+    return append(ordinary.withColumn("part", F.lit(0)), _gather(stretches, lists, "part"))
 
 
-def _gather(rows: DataFrame, lists: dict[str, Column]) -> DataFrame:
+def _gather(rows: DataFrame, lists: dict[str, Column], *part: str) -> DataFrame:
     # Ascending order of the negated score puts the highest score first.
     entry = F.struct((-F.col("score")).alias("minus"), "name", "entity_id")
-    # Collecting does not shrink the rows, so they are shuffled before it, not after.
-    gathered = rows.repartition("doc_id", "part").groupBy("doc_id", "part").agg(
+    # Collecting does not shrink the rows, so they are shuffled before it, not after; a
+    # join of the lists by document needs no further shuffle.
+    gathered = rows.repartition("doc_id", *part).groupBy("doc_id", *part).agg(
         *[F.collect_list(F.when(condition, entry)).alias(name) for name, condition in lists.items()]
     )
     plain = {
@@ -97,7 +98,7 @@ def _gather(rows: DataFrame, lists: dict[str, Column]) -> DataFrame:
         )
         for name in lists
     }
-    return gathered.select("doc_id", "part", *[c.alias(n) for n, c in plain.items()])
+    return gathered.select("doc_id", *part, *[c.alias(n) for n, c in plain.items()])
 
 
 def entity_lists(facts: DataFrame, part_entries: int | None = HOT_ROWS) -> DataFrame:

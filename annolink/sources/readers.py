@@ -21,10 +21,12 @@ def read_mentions(spark: SparkSession, path: str, prefix: str = "*") -> DataFram
     """Mention files ``<batch>__<kind>.tsv``: (kind, batch, doc_raw, entity_id, score).
 
     ``prefix`` is a glob for the batch, e.g. ``BMC_*``. A missing kind is an empty one.
+    Each may also be a folder of that name, as Spark writes them.
     """
-    files = _read_tsv(spark, path, schemas.RAW_MENTIONS, pathGlobFilter=f"{prefix}__*.tsv")
-    name = F.col("_metadata.file_name")
-    parts = rf"^(.+)__({'|'.join(KINDS)})\.tsv$"
+    files = _read_tsv(spark, f"{path}/{prefix}__*.tsv", schemas.RAW_MENTIONS)
+    # The path is URL-encoded, but for the plus sign.
+    name = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+    parts = rf"([^/]+)__({'|'.join(KINDS)})\.tsv(/[^/]*)?$"
     return files.select(
         F.regexp_extract(name, parts, 2).alias("kind"),
         F.regexp_extract(name, parts, 1).alias("batch"),

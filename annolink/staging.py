@@ -22,12 +22,18 @@ def staging_folder(spark: SparkSession) -> str:
     return folder
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path not used before, below one folder per application."""
+    application = spark.sparkContext.applicationId
+    return f"{staging_folder(spark)}/{application}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` once and read it back, so that all later uses see the same rows.
 
     Cuts the lineage: a lost executor costs a read, not a recomputation.
     """
     spark = df.sparkSession
-    path = f"{staging_folder(spark)}/stage-{uuid.uuid4().hex}"
+    path = new_folder(spark, "stage")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -361,6 +361,19 @@ _BODIES = {
         FROM phrases JOIN word_dictionary ON phrase = name GROUP BY doc_id, phrase""",
     "assign_batches": """
         SELECT source, doc_id, (row_number() OVER (ORDER BY source, doc_id) - 1) // 200 AS batch FROM documents""",
+    "mentions_roundtrip": """
+        SELECT kind, 'all' AS batch, doc_raw, entity_id, nullif(score, '') AS score FROM mentions_raw""",
+    "dictionaries_roundtrip": "SELECT * FROM entity_labels",
+    "taxonomy_roundtrip": "SELECT name, taxon_id FROM taxonomy",
+    "gene_taxon_roundtrip": """
+        SELECT substring(p_brand, 7) AS taxon, cast(p_partkey AS string) AS entity_id FROM part""",
+    "publications_roundtrip": "SELECT * FROM attributes WHERE doc_id IN (SELECT doc_id FROM kept)",
+    "id_list_roundtrip": "SELECT DISTINCT cast(l_orderkey AS string) AS doc_id FROM lineitem",
+    "transactions_roundtrip": "SELECT DISTINCT doc_id, name AS item FROM labelled",
+    "evaluation_roundtrip": f"""
+        SELECT cast(query_key AS string) AS gene, gold, found, tp, fp, fn, "precision", recall, f1, tpr, fdr
+        FROM ({_metrics("counts")})""",
+    "corpus_roundtrip": "SELECT * FROM labelled",
     "export_roundtrip": "SELECT * FROM labelled",
     "lookup_roundtrip": _GENE_PREFIX,
     "build_corpus": """
@@ -369,6 +382,7 @@ _BODIES = {
         FROM attributes a LEFT JOIN list_table USING (doc_id) WHERE doc_id IN (SELECT doc_id FROM kept)""",
     "build_wide": f"SELECT *, {_SEARCH} FROM wide",
     "mine_rules": _rules("tx_entities", "0.3"),
+    "strong_rules": f"SELECT * FROM ({_rules('tx_entities', '0.05')}) WHERE support >= 0.01",
     "evaluate_service": _metrics("service_counts"),
     "compare_services": """
         SELECT 'in_a' AS source, count(*) AS n FROM result_a UNION ALL SELECT 'in_b', count(*) FROM result_b""",
