@@ -118,7 +118,7 @@ def label_wide(
     Same rows as labelling the combined table and dropping every row with an unlabelled
     id, but the labels are joined before the rows multiply.
     """
-    named = mentions.join(labels, ["kind", "entity_id"], "left")
+    named = mentions.join(labels, ["entity_id", "kind"], "left")
     alive = F.col("entity_id").isNull() | F.col("name").isNotNull()
     rows = named.select("kind", "doc_id", "name", "entity_id", "score", alive.alias("alive"))
     wide = combine(rows, list(KINDS), ["name", "entity_id", "score"], hot_rows=hot_rows)

@@ -16,7 +16,7 @@ def label(mentions: DataFrame, labels: DataFrame) -> DataFrame:
     A popular entity skews this join: it is an inner join between two shuffles, which
     adaptive execution splits, and a small dictionary is broadcast by its own size.
     """
-    return mentions.join(labels, ["kind", "entity_id"]).select(
+    return mentions.join(labels, ["entity_id", "kind"]).select(
         "kind", "doc_id", "name", "entity_id", "score"
     )
 

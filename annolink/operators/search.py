@@ -230,7 +230,7 @@ def documents_of(
 
 def lookup_batch(facts: DataFrame, requests: DataFrame) -> DataFrame:
     """Distinct (query_key, doc_id) for requests (query_key, kind, entity_id), as one join."""
-    return facts.join(requests, ["kind", "entity_id"]).select("query_key", "doc_id").distinct()
+    return facts.join(requests, ["entity_id", "kind"]).select("query_key", "doc_id").distinct()
 
 
 def transactions(
@@ -249,7 +249,7 @@ def transactions(
     # At most n rows per kind; measured, because n is the caller's.
     side = F.broadcast(top) if n <= TOP_N or fits_broadcast(top) else top
     return (
-        facts.join(side, ["kind", "entity_id"], "left_semi")
+        facts.join(side, ["entity_id", "kind"], "left_semi")
         .select("doc_id", F.col("name").alias("item"))
         .distinct()
     )
