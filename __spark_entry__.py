@@ -249,9 +249,11 @@ def entity_lists(spark, sf):
 @_query
 def publication_table(spark, sf):
     """The central product: documents, their attributes and their five ranked lists."""
-    pubs = publications.publications(s.kept(spark, sf).select("doc_id"), s.dims(spark, sf))
+    mentions = stage(s.kept(spark, sf))
+    facts_table = stage(label.label(mentions, s.entity_labels(spark, sf)))
+    pubs = publications.publications(mentions.select("doc_id"), s.dims(spark, sf))
     return publications.encode_lists(
-        publications.with_entity_lists(pubs, stage(s.labelled(spark, sf)))
+        publications.with_entity_lists(pubs, facts_table)
     ).drop("part")
 
 

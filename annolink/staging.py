@@ -8,18 +8,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+# Temporary folders of local sessions, by application.
+_LOCAL: dict[str, str] = {}
 
 
 def staging_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one in local mode only."""
-    folder = spark.conf.get(_SETTING, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {_SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="annolink-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    application = context.applicationId
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="annolink-")
+    return _LOCAL[application]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
