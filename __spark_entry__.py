@@ -438,7 +438,7 @@ def lookup_batch(spark, sf):
 @_query
 def transactions(spark, sf):
     genes = clean.for_taxon(readers.split_gene_taxon(s.gene_taxon(spark, sf)), "2")
-    return search.transactions(s.labelled(spark, sf), accepted={"genes": genes})
+    return search.transactions(stage(s.labelled(spark, sf)), accepted={"genes": genes})
 
 
 # Re-aimed as Spark jobs
@@ -586,7 +586,7 @@ def build_wide(spark, sf):
 @_query
 def mine_rules(spark, sf):
     genes = clean.for_taxon(readers.split_gene_taxon(s.gene_taxon(spark, sf)), "2")
-    return jobs.mine_rules(s.labelled(spark, sf), genes, min_confidence=0.3)
+    return jobs.mine_rules(stage(s.labelled(spark, sf)), genes, min_confidence=0.3)
 
 
 @_query
@@ -594,7 +594,7 @@ def strong_rules(spark, sf):
     """The same rules with a share of the documents that is worth drawing."""
     genes = clean.for_taxon(readers.split_gene_taxon(s.gene_taxon(spark, sf)), "2")
     return jobs.mine_rules(
-        s.labelled(spark, sf), genes, min_confidence=0.05, strong_support=0.01
+        stage(s.labelled(spark, sf)), genes, min_confidence=0.05, strong_support=0.01
     )
 
 

@@ -42,7 +42,7 @@ pairs = st.lists(
 )
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(pairs, st.sampled_from([0.0001, 0.1, 0.3]), st.sampled_from([0.2, 0.5, 0.75, 0.95, 1.0]))
 def test_rules_equal_brute_force(spark, tx, support, confidence):
     assert same(found(spark, tx, support, confidence), brute(tx, support, confidence))
