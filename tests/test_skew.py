@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from annolink.fixed_values import KINDS
 from annolink.operators import combine, publications, skew
 from annolink.operators.batches import assign_batches
+from annolink.operators.label import label
 
 MENTIONS = "kind string, doc_id string, entity_id string, score int"
 
@@ -107,3 +108,36 @@ def test_batches(spark):
     got = {(r["source"], r["doc_id"]): r["batch"] for r in assign_batches(df, ["source", "doc_id"], 5).collect()}
     order = sorted(got)
     assert [got[k] for k in order] == [i // 5 for i in range(11)]
+
+
+def test_hot_entity_is_split_in_the_label_join(spark):
+    """With sizes scaled down, adaptive execution splits the partition of a hot entity."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        hot = F.xxhash64("id") % 2 == 0
+        entity = F.when(hot, F.lit(7)).otherwise(F.col("id") % 1000).cast("string")
+        rows = spark.range(200_000).select(
+            F.lit("genes").alias("kind"), F.sha2(F.col("id").cast("string"), 256).alias("doc_id"),
+            entity.alias("entity_id"), F.lit(3).alias("score"),
+        ).repartition(8, "doc_id")
+        labels = spark.range(1000).select(
+            F.lit("genes").alias("kind"), F.col("id").cast("string").alias("entity_id"),
+            F.concat(F.lit("gene "), F.col("id").cast("string")).alias("name"),
+        )
+        counted = label(rows, labels).groupBy("doc_id").agg(F.count("*").alias("n"))
+        assert len(counted.collect()) == 200_000
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
