@@ -29,6 +29,14 @@ from annolink.sources import readers, writers
 from annolink.staging import new_folder, stage
 from oracle import ORACLE
 
+# The operators for training data are a subpackage of their own, which may be absent.
+try:
+    from annolink.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("annolink.llm", "annolink.llm.queries", "corpus_pipeline"):
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
@@ -43,11 +51,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **(llm.QUERIES if llm else {})}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: ORACLE[name] for name in _QUERIES if name in ORACLE}
+    own = {name: ORACLE[name] for name in _QUERIES if name in ORACLE}
+    return {**own, **(llm.ORACLE if llm else {})}
 
 
 # Projections and scalar functions

@@ -2,28 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-# Temporary folders of local sessions, by application.
-_LOCAL: dict[str, str] = {}
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one in local mode only."""
-    context = spark.sparkContext
-    folder = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
-        raise ValueError(f"set {_SETTING} to a folder that all executors share")
-    application = context.applicationId
-    if application not in _LOCAL:
-        _LOCAL[application] = tempfile.mkdtemp(prefix="annolink-")
-    return _LOCAL[application]
+    """The folder named by ``spark.checkpoint.dir``, else one in the shared warehouse."""
+    folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged"
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

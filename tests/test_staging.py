@@ -1,5 +1,3 @@
-import pytest
-
 from annolink import staging
 
 
@@ -17,8 +15,8 @@ class Session:
         self.setting = setting
         self.conf = self
 
-    def get(self, key, default):
-        return self.setting or default
+    def get(self, key, default=None):
+        return "hdfs://warehouse" if "warehouse" in key else self.setting or default
 
 
 def test_the_clusters_folder_is_used():
@@ -26,14 +24,8 @@ def test_the_clusters_folder_is_used():
     assert staging.staging_folder(Session("yarn", None, "hdfs://y")) == "hdfs://y"
 
 
-def test_no_local_folder_on_a_cluster():
-    with pytest.raises(ValueError):
-        staging.staging_folder(Session("yarn"))
-
-
-def test_one_temporary_folder_per_local_application():
-    session = Session("local[4]")
-    assert staging.staging_folder(session) == staging.staging_folder(session)
+def test_without_a_setting_the_warehouse_is_used():
+    assert staging.staging_folder(Session("local[4]")) == "hdfs://warehouse/_staged"
 
 
 def test_stage_keeps_rows_and_schema(spark, rows):
