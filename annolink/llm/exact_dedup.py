@@ -3,8 +3,9 @@
 1. Rows are grouped by (hash, text). The text in the key is the comparison of bytes: two
    texts with one hash stay two groups. Equal texts are merged before the shuffle, so a
    group of any size, up to most of the table, costs one row per task.
-2. Every row then finds its group by hash and SHA-256, without its text. Rows of a hot
-   group are spread by Spark's split of skewed joins.
+2. Every row then finds its group by hash and SHA-256 (the names of the group once the bytes
+   are compared), without its text. The groups are shuffled anew for this join, so that
+   Spark can split the rows of a hot group over several tasks.
 
 Cases: a null text is an empty text. Rows without an id are below all ids; a group of such
 rows only has a null ``keep_id`` and keeps all of them. Repeated rows of one id share the
@@ -34,27 +35,11 @@ def _named(rows: DataFrame, text: Column, digest: Digest) -> DataFrame:
 def _groups(rows: DataFrame, keep: str, digest: Digest) -> DataFrame:
     """One row per distinct text: hashes, id that stays, number of rows."""
     best = F.max if keep == "max" else F.min
-    by_bytes = (
+    return (
         rows.withColumn("_hash", digest(F.col("text")))
         .groupBy("_hash", "text")
         .agg(best("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-        .withColumn("_sha", F.sha2(F.col("text").cast("binary"), 256))
-    )
-    # Two texts that share both digests are an error, never merged.
-    return (
-        by_bytes.groupBy("_hash", "_sha")
-        .agg(
-            F.first("keep_id").alias("keep_id"),
-            F.first("group_size").alias("group_size"),
-            F.count("*").alias("_texts"),
-        )
-        .withColumn(
-            "group_size",
-            F.when(F.col("_texts") == 1, F.col("group_size")).otherwise(
-                F.raise_error(F.lit("two texts share a content hash and a SHA-256"))
-            ),
-        )
-        .drop("_texts")
+        .select("_hash", F.sha2(F.col("text").cast("binary"), 256).alias("_sha"), "keep_id", "group_size")
     )
 
 
