@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from annolink.llm import exact_dedup, mixing
+from annolink.llm import exact_dedup, mixing, near_dedup
 from annolink.llm.common import table
 from annolink.llm.oracle import ORACLE as _ORACLE
 
@@ -25,6 +25,11 @@ def op6_exact_dedup(spark, sf):
     return exact_dedup.exact_groups(table(spark, sf, "documents"))
 
 
+@_query
+def op8_near_dedup(spark, sf):
+    return near_dedup.near_duplicates(table(spark, sf, "documents"), size=3, percent=85)
+
+
 @_query
 def op10_mixing(spark, sf):
     return mixing.mix(table(spark, sf, "documents"))
