@@ -1,9 +1,8 @@
-"""What several operators share: tables, word rules, folds and word hashes."""
+"""What several operators share: tables, word rules, folds and hashes of word runs."""
 
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +21,13 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs``, whatever their columns are called, whose id is not in ``ids``."""
+    held = docs.select(F.struct(*docs.columns).alias("_row"))
+    out = ids.select(F.col(ids.columns[0]).alias("_out")).distinct()
+    return held.join(out.hint("merge"), F.col("_row.doc_id").eqNullSafe(F.col("_out")), "left_anti").select("_row.*")
+
+
 def remainder(id_column: Column, modulus: int) -> Column:
     """The crc32 of an id, as text, by ``modulus``; a missing id counts as an empty text."""
     return F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")) % modulus
@@ -31,20 +37,6 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
-class WordIds(dict):
-    """Numbers for words in order of appearance."""
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        return number
-
-
-def word_hashes(ids: WordIds) -> np.ndarray:
-    """64-bit hashes of the words, by number."""
-    digest = xxhash.xxh3_64_intdigest
-    return np.fromiter((digest(word) for word in ids), np.uint64, len(ids))
-
-
 def mix64(values: np.ndarray) -> np.ndarray:
     """Spread 64-bit values over all bits (a finaliser of shifts and odd products)."""
     values = values ^ (values >> np.uint64(32))

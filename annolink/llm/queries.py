@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from annolink.llm import exact_dedup, mixing, near_dedup
+from annolink.llm import decontaminate, exact_dedup, mixing, near_dedup, quality, substring_dedup, token_counts
 from annolink.llm.common import table
 from annolink.llm.oracle import ORACLE as _ORACLE
 
@@ -20,19 +21,49 @@ def _query(function: Query) -> Query:
     return function
 
 
+@_query
+def op3_decontaminate(spark, sf):
+    return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@_query
+def op5_token_counts(spark, sf):
+    import public_tokenizers
+
+    return token_counts.token_counts(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @_query
 def op6_exact_dedup(spark, sf):
     return exact_dedup.exact_groups(table(spark, sf, "documents"))
 
 
+@_query
+def op7_quality(spark, sf):
+    docs = table(spark, sf, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf, "labels")))
+
+
 @_query
 def op8_near_dedup(spark, sf):
     return near_dedup.near_duplicates(table(spark, sf, "documents"), size=3, percent=85)
 
 
+@_query
+def op9_substring_dedup(spark, sf):
+    cut = substring_dedup.remove_repeats(table(spark, sf, "documents"))
+    sha = F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    return cut.select("doc_id", "n_words", "n_removed", sha)
+
+
 @_query
 def op10_mixing(spark, sf):
     return mixing.mix(table(spark, sf, "documents"))
 
 
+@_query
+def pipeline(spark, sf):
+    return corpus_pipeline.run(spark, sf)
+
+
 ORACLE = {name: sql for name, sql in _ORACLE.items() if name in QUERIES}

@@ -4,26 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annolink.llm import exact_dedup, mixing
+from annolink.llm import decontaminate, exact_dedup, mixing, near_dedup, quality
+from annolink.llm.common import table
 from annolink.staging import stage
 
 
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.drop_low_quality(docs, table(spark, sf_dir, "labels"))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_exact_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup.drop_near_copies(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs)
 
 
 STAGES = [
+    ("quality", drop_low_quality),
     ("exact dedup", drop_copies),
+    ("near dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
     ("mixing", mix_sources),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for _, function in STAGES:
         docs = stage(function(spark, docs, sf_dir))
     return docs
