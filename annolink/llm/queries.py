@@ -8,7 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from annolink.llm import decontaminate, exact_dedup, mixing, near_dedup, quality, substring_dedup, token_counts
+from annolink.llm import (
+    decontaminate,
+    exact_dedup,
+    lm_scoring,
+    mixing,
+    near_dedup,
+    quality,
+    substring_dedup,
+    token_counts,
+)
 from annolink.llm.common import table
 from annolink.llm.oracle import ORACLE as _ORACLE
 
@@ -21,6 +30,11 @@ def _query(function: Query) -> Query:
     return function
 
 
+@_query
+def op1_lm_scoring(spark, sf):
+    return lm_scoring.lm_scores(table(spark, sf, "documents"))
+
+
 @_query
 def op3_decontaminate(spark, sf):
     return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
