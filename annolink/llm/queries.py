@@ -17,6 +17,7 @@ from annolink.llm import (
     quality,
     substring_dedup,
     token_counts,
+    toxicity,
 )
 from annolink.llm.common import table
 from annolink.llm.oracle import ORACLE as _ORACLE
@@ -40,6 +41,11 @@ def op3_decontaminate(spark, sf):
     return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+@_query
+def op4_toxicity(spark, sf):
+    return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @_query
 def op5_token_counts(spark, sf):
     import public_tokenizers
