@@ -11,6 +11,7 @@ import corpus_pipeline
 from annolink.llm import (
     decontaminate,
     exact_dedup,
+    html_extraction,
     lm_scoring,
     mixing,
     near_dedup,
@@ -36,6 +37,11 @@ def op1_lm_scoring(spark, sf):
     return lm_scoring.lm_scores(table(spark, sf, "documents"))
 
 
+@_query
+def op2_html_extraction(spark, sf):
+    return html_extraction.main_texts(table(spark, sf, "pages"))
+
+
 @_query
 def op3_decontaminate(spark, sf):
     return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
