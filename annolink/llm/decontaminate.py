@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annolink.llm.common import texts, without
+from annolink.llm.common import shared, texts, without
 
 SHARD_BYTES = 16 * 1024 * 1024
 K1, B = 1.2, 0.75
@@ -224,10 +224,10 @@ def contaminated(
     result = spark.createDataFrame([], schema)
     for index in _shards(items, shard_bytes):
         index.numbers = _Numbers(index.numbers)
-        held = spark.sparkContext.broadcast(index)
+        held = shared(spark, index)
 
         def task(batches, held=held):
-            index = held.value
+            index = held()
             for batch in batches:
                 found = [
                     (doc, index.ids[item], *values)

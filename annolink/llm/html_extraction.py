@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from annolink.llm.common import shared
 from annolink.staging import stage
 
 TRAINING_PAGES, TRAINING_NODES = 600, 200
@@ -374,11 +375,11 @@ def extract(source: str, model: Boosted | None) -> str:
 
 def main_texts(pages: DataFrame, training_pages: int = TRAINING_PAGES) -> DataFrame:
     """page_id, url, text, n_chars per row."""
-    held = pages.sparkSession.sparkContext.broadcast(train(pages, training_pages))
+    held = shared(pages.sparkSession, train(pages, training_pages))
     kinds = {c: pages.schema[c].dataType.simpleString() for c in ("page_id", "url")}
 
     def task(batches):
-        model = held.value
+        model = held()
         for batch in batches:
             texts = [extract(source.as_py().decode("utf-8", "replace"), model) for source in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annolink.llm.common import mix64, remainder, texts
+from annolink.llm.common import mix64, remainder, shared, texts
 from annolink.llm.grouping import groups
 from annolink.llm.hashing import WordHash
 from annolink.staging import stage
@@ -243,7 +243,7 @@ def _fit(train: DataFrame, held, fit_rows: int) -> np.ndarray:
     rows = train.join(F.broadcast(sample), F.col("doc_id") == F.col("_fit"), "left_semi").select("text")
 
     def task(batches):
-        model, hashes = held.value, WordHash()
+        model, hashes = held(), WordHash()
         total = np.zeros((BUCKETS, len(GRID)))
         for batch in batches:
             for _, tokens, document, firsts in _chunks(batch.column(0), hashes):
@@ -289,9 +289,7 @@ def train_model(train: DataFrame, frequent: int = FREQUENT, fit_rows: int = FIT_
     means[0] = 0.0
     top = words.orderBy(F.desc("c"), "key").limit(frequent).toArrow()
     model = Model(Filter(bits, means), top["key"].to_numpy().view(np.uint64), top["c"].to_numpy(), n_tokens, n_words)
-    held = spark.sparkContext.broadcast(model)
-    model.weights = _fit(train, held, fit_rows)
-    held.unpersist()
+    model.weights = _fit(train, shared(spark, model), fit_rows)
     return model, words
 
 
@@ -300,10 +298,10 @@ def lm_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, frequent: int
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = texts(docs).select("doc_id", F.col("text").cast("binary"), (remainder(F.col("doc_id"), folds) == held_out).alias("held_out"))
     model, words = train_model(rows.where(~F.col("held_out")).select("doc_id", "text"), frequent, fit_rows)
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = shared(docs.sparkSession, model)
 
     def task(batches):
-        model, hashes = held.value, WordHash()
+        model, hashes = held(), WordHash()
         rest_kind = pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64())]))
         for batch in batches:
             for own, tokens, document, firsts in _chunks(batch.column(1), hashes):

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annolink.llm.common import remainder, without
+from annolink.llm.common import remainder, shared, without
 from annolink.staging import stage
 
 LABELLED_ROWS = 20_000
@@ -175,8 +175,8 @@ class CoTrained:
         return _sigmoid(a), _sigmoid(b), _sigmoid(a * self.blend[0] + b * self.blend[1] + self.blend[2])
 
 
-def _figures(docs: DataFrame, work, schema: str) -> DataFrame:
-    """Run ``work(content, metadata) -> columns`` over all documents, by batches."""
+def _figures(docs: DataFrame, prepare, schema: str) -> DataFrame:
+    """Run ``prepare()(content, metadata) -> columns`` over all documents, by batches."""
     rows = docs.select(
         F.col("doc_id").cast("long"),
         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"),
@@ -186,6 +186,7 @@ def _figures(docs: DataFrame, work, schema: str) -> DataFrame:
     )
 
     def task(batches):
+        work = prepare()
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -209,7 +210,7 @@ def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS
     sample = stage(chosen.union(pool).withColumnRenamed("doc_id", "_id").coalesce(1))
     plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
     rows = plain.join(F.broadcast(sample), F.col("doc_id") == F.col("_id"), "left_semi")
-    figures = _figures(rows, lambda c, m: [pa.array(list(c)), pa.array(list(m))], "doc_id long, content array<double>, metadata array<double>")
+    figures = _figures(rows, lambda: lambda c, m: [pa.array(list(c)), pa.array(list(m))], "doc_id long, content array<double>, metadata array<double>")
     figures = figures.join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
     held = figures.select("label", remainder(F.col("doc_id"), 5).alias("fold"), "content", "metadata", F.xxhash64("doc_id").alias("_h"))
     held = held.orderBy("_h", "content").limit(2 * (labelled_rows + pool_rows)).toArrow()
@@ -225,14 +226,13 @@ def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS
 
 def score(docs: DataFrame, model: CoTrained | None, threshold: float = 0.5) -> DataFrame:
     """doc_id, content_score, metadata_score, score, kept for every row."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = shared(docs.sparkSession, model)
 
-    def work(content, metadata):
-        if held.value is None:
-            return [np.full(len(content), 0.5)] * 3
-        return held.value.scores(content, metadata)
+    def prepare():
+        model = held()
+        return model.scores if model else lambda content, metadata: [np.full(len(content), 0.5)] * 3
 
-    rows = _figures(docs, work, "doc_id long, content_score double, metadata_score double, score double")
+    rows = _figures(docs, prepare, "doc_id long, content_score double, metadata_score double, score double")
     return rows.withColumn("kept", F.col("score") >= threshold)
 
 

@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annolink.llm.common import texts
+from annolink.llm.common import shared, texts
 from annolink.staging import stage
 
 FREQUENT, FREQUENT_BYTES = 400_000, 48
@@ -101,10 +101,10 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512, frequent: in
     counts = stage(_counted(_distinct(rows), tokenizer))
     short = counts.where(F.octet_length("piece") <= FREQUENT_BYTES).orderBy(F.desc("n"), "piece").limit(frequent)
     held = short.select("piece", "pieces").toArrow()
-    known = docs.sparkSession.sparkContext.broadcast(dict(zip(held["piece"].to_pylist(), held["pieces"].to_pylist(), strict=True)))
+    known = shared(docs.sparkSession, dict(zip(held["piece"].to_pylist(), held["pieces"].to_pylist(), strict=True)))
 
     def task(batches):
-        cut, table = cutter(), known.value
+        cut, table = cutter(), known()
         for batch in batches:
             sums, rest = [], []
             for text in _decoded(batch.column(1)):

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annolink.llm.common import remainder, texts
+from annolink.llm.common import remainder, shared, texts
 from annolink.staging import stage
 
 LABELLED_ROWS = 60_000
@@ -181,10 +181,10 @@ class _Words:
 
 def _figures(rows: DataFrame, counts, weights: dict[str, float], extra: str, extra_names: list[str]) -> DataFrame:
     """``extra`` columns of the rows (text, ...), greatest weight and number of strong words."""
-    held = rows.sparkSession.sparkContext.broadcast((counts, weights))
+    held = shared(rows.sparkSession, (counts, weights))
 
     def task(batches):
-        counts, weights = held.value
+        counts, weights = held()
 
         def weigh(word: str) -> float:
             return max(weights.get(f, 0.0) for f in features(word))
@@ -205,10 +205,10 @@ def _figures(rows: DataFrame, counts, weights: dict[str, float], extra: str, ext
 
 def _weights(rows: DataFrame, counts, share: float) -> dict[str, float]:
     """Weights of features of (text, label) rows; at most MAX_FEATURES, the greatest."""
-    held = rows.sparkSession.sparkContext.broadcast(counts)
+    held = shared(rows.sparkSession, counts)
 
     def task(batches):
-        words, sums = _Words(Decoder(held.value), features), (Counter(), Counter())
+        words, sums = _Words(Decoder(held()), features), (Counter(), Counter())
 
         def out():
             names = list(set(sums[0]) | set(sums[1]))
