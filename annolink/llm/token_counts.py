@@ -18,6 +18,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 import regex
@@ -27,9 +28,11 @@ from pyspark.sql import functions as F
 from annolink.llm.common import shared, texts
 from annolink.staging import stage
 
-FREQUENT, FREQUENT_BYTES = 400_000, 48
+FREQUENT, FREQUENT_BYTES = 200_000, 48
 # Distinct pre-tokens that a task holds before it passes them on.
-HELD = 300_000
+HELD = 100_000
+# Documents that are handed on together.
+ROWS = 1_000
 # The pre-token rule and the special string of the byte-level vocabulary.
 RULE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPECIAL = "<|endoftext|>"
@@ -53,8 +56,9 @@ def cutter():
     return cut
 
 
-def _decoded(column: pa.Array) -> list[str]:
-    return [value.as_py().decode("utf-8", "replace") for value in column]
+def _decoded(column: pa.Array) -> Iterator[str]:
+    for value in column:
+        yield value.as_py().decode("utf-8", "replace")
 
 
 def _distinct(rows: DataFrame) -> DataFrame:
@@ -105,21 +109,23 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512, frequent: in
 
     def task(batches):
         cut, table = cutter(), known()
-        for batch in batches:
-            sums, rest = [], []
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
+            sums, names, counts, ends = [], [], [], [0]
             for text in _decoded(batch.column(1)):
-                total, others = 0, []
+                total = 0
                 for piece, n in Counter(cut(text)).items():
                     pieces = table.get(piece)
                     if pieces is None:
-                        others.append({"piece": piece, "n": n})
+                        names.append(piece)
+                        counts.append(n)
                     else:
                         total += n * pieces
                 sums.append(total)
-                rest.append(others)
-            kind = pa.list_(pa.struct([("piece", pa.string()), ("n", pa.int64())]))
+                ends.append(len(names))
+            others = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(counts, pa.int64())], ["piece", "n"])
+            rest = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), others)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(sums, pa.int64()), pa.array(rest, kind)], ["doc_id", "n_bytes", "known", "rest"]
+                [batch.column(0), batch.column(2), pa.array(sums, pa.int64()), rest], ["doc_id", "n_bytes", "known", "rest"]
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
