@@ -42,8 +42,6 @@ SUGGESTION_ROUTES = (
     (r"^(C|CH|CHE:|CHEB:|CHEBI:|CHEBI:[0-9]+)$", ("chebi_id",)),
 )
 MIN_SUGGESTION_LENGTH = 2
-# Longest name that a lookup column holds.
-MAX_VALUE_LENGTH = 512
 
 # Address of an entity page: the id is appended.
 LINK_OUT = {
@@ -86,29 +84,29 @@ EVALUATION_COLUMNS = (
 LATIN_NAMES = (
     ("humans", "hsapiens", "hgnc_symbol"),
     ("mice", "mmusculus", "mgi_symbol"),
-    ("drosophila melanogaster", "dmelanogaster", "flybasename_gene"),
-    ("danio rerio", "drerio", "entrezgene"),
+    ("drosophila+melanogaster", "dmelanogaster", "flybasename_gene"),
+    ("danio+rerio", "drerio", "entrezgene"),
 )
 SYMBOL_OVERRIDES = (
-    ("Myc", "drosophila melanogaster", "dm"),
-    ("DCC", "drosophila melanogaster", "fra"),
-    ("Myc", "danio rerio", "myca"),
+    ("Myc", "drosophila+melanogaster", "dm"),
+    ("DCC", "drosophila+melanogaster", "fra"),
+    ("Myc", "danio+rerio", "myca"),
 )
 GENE_IDS = (
     ("BRCA2", "humans", "675"),
     ("BRCA2", "mice", "12190"),
-    ("BRCA2", "drosophila melanogaster", "37916"),
-    ("BRCA2", "danio rerio", "566758"),
+    ("BRCA2", "drosophila+melanogaster", "37916"),
+    ("BRCA2", "danio+rerio", "566758"),
     ("Myc", "humans", "4609"),
     ("Myc", "mice", "17869"),
-    ("Myc", "drosophila melanogaster", "31310"),
-    ("Myc", "danio rerio", "30686"),
+    ("Myc", "drosophila+melanogaster", "31310"),
+    ("Myc", "danio+rerio", "30686"),
     ("APC", "humans", "324"),
     ("APC", "mice", "11789"),
-    ("APC", "drosophila melanogaster", "44642"),
-    ("APC", "danio rerio", "386762"),
+    ("APC", "drosophila+melanogaster", "44642"),
+    ("APC", "danio+rerio", "386762"),
     ("DCC", "humans", "1630"),
     ("DCC", "mice", "13176"),
-    ("DCC", "drosophila melanogaster", "36377"),
-    ("DCC", "danio rerio", "569360"),
+    ("DCC", "drosophila+melanogaster", "36377"),
+    ("DCC", "danio+rerio", "569360"),
 )

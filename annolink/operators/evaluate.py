@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annolink.fixed_values import SYMBOL_OVERRIDES
+from annolink.fixed_values import GENE_IDS, LATIN_NAMES, SYMBOL_OVERRIDES
 from annolink.operators.clean import recode
 from annolink.operators.stats import _sides
 
@@ -72,3 +72,17 @@ def queried_symbols(evaluation: DataFrame) -> DataFrame:
     renamed = evaluation.withColumn("symbol", F.col("gene"))
     recoded = recode(renamed, mapping, ["gene", "species"], "symbol")
     return recoded.withColumn("gene", F.lower("symbol")).drop("symbol")
+
+
+def with_query_terms(evaluation: DataFrame) -> DataFrame:
+    """Add how each service is asked: symbol, gene id, and the species' database and filter names."""
+    spark = evaluation.sparkSession
+    names = spark.createDataFrame(list(LATIN_NAMES), "_species string, latin_name string, filter_name string")
+    ids = spark.createDataFrame(list(GENE_IDS), "_gene string, _species string, gene_id string")
+    overrides = spark.createDataFrame(list(SYMBOL_OVERRIDES), "gene string, species string, value string")
+    rows = recode(evaluation.withColumn("symbol", F.col("gene")), overrides, ["gene", "species"], "symbol")
+    rows = rows.withColumn("symbol", F.lower("symbol"))
+    # The mapping tables are the few fixed rows above.
+    rows = rows.join(F.broadcast(names), F.col("species") == F.col("_species"), "left").drop("_species")
+    same = (F.col("gene") == F.col("_gene")) & (F.col("species") == F.col("_species"))
+    return rows.join(F.broadcast(ids), same, "left").drop("_gene", "_species")

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from annolink.fixed_values import (
     KINDS,
-    MAX_VALUE_LENGTH,
     MIN_SUGGESTION_LENGTH,
     PAGE_SIZE,
     SUGGESTION_ROUTES,
@@ -133,22 +132,21 @@ def suggest_batch(
 ) -> DataFrame:
     """``suggest`` for a table of texts, case-insensitive.
 
-    Every distinct value is cut to the lengths that occur among the texts; the first
-    values of each such beginning are found once and then joined to the texts by equality,
-    so no text is compared with all values of its first letters.
+    Only values that share column and first characters with some text are cut, and only to
+    the lengths that texts with these characters have. The first values of each such
+    beginning are found once and then joined to the texts by equality, so no text is
+    compared with all values of its first letters.
     """
     routed = route_texts(texts).withColumn("start", F.lower("text"))
-    # At most MAX_VALUE_LENGTH numbers: no value is longer.
-    length = F.length("start")
-    lengths = routed.agg(
-        F.collect_set(F.when(length <= MAX_VALUE_LENGTH, length)).alias("lengths")
-    ).scalar()
-    own = F.sequence(F.lit(1), F.length("value_lower"))
-    cut = F.explode(F.array_intersect(lengths, own))
+    head = F.substring("start", 1, MIN_SUGGESTION_LENGTH).alias("head")
+    lengths = routed.groupBy("attr", head).agg(F.collect_set(F.length("start")).alias("lengths"))
+    fitting = F.filter("lengths", lambda n: n <= F.length("value_lower"))
     starts = (
         lookup.select("attr", "value", "value_lower")
         .distinct()
-        .select("attr", "value", "value_lower", cut.alias("length"))
+        .withColumn("head", F.substring("value_lower", 1, MIN_SUGGESTION_LENGTH))
+        .join(lengths, ["attr", "head"])
+        .select("attr", "value", "value_lower", F.explode(fitting).alias("length"))
         .select("attr", "value", F.expr("substring(value_lower, 1, length)").alias("start"))
         .join(routed.select("attr", "start").distinct(), ["attr", "start"], "left_semi")
     )

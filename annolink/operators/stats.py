@@ -141,7 +141,8 @@ def year_histogram(
     min_year: int = FIRST_CHART_YEAR,
     year: str = "year",
 ) -> DataFrame:
-    """Documents per year in one or two results; missing years count 0, blank years a row.
+    """Documents per year in one or two results; missing years count 0. Blank years and other texts
+    have a row each (the latter if there are any), so the sums are the numbers of rows.
 
     The years run from ``min_year`` to ``max_year`` (default: this year), further where
     the data has earlier or later ones.
@@ -153,7 +154,7 @@ def year_histogram(
     )
     label = F.coalesce(F.col(year), F.lit(""))
     counts = rows.groupBy(label.alias("year")).agg(F.sum("a").alias("n_a"), F.sum("b").alias("n_b"))
-    number = F.when(F.length("year") == 4, F.col("year").try_cast("int"))
+    number = F.when(F.col("year").rlike("^[0-9]{4}$"), F.col("year").try_cast("int"))
     latest = F.year(F.current_date()) if max_year is None else max_year
     latest = F.lit(latest) if isinstance(latest, int) else latest
     # One row: the span of years, at most four digits wide.
@@ -169,7 +170,11 @@ def year_histogram(
         F.coalesce("n_b", F.lit(0).cast("long")).alias("n_b"),
     )
     blank = counts.where(F.col("year") == "").withColumn("year", F.lit("no e-publication date"))
-    return append(filled, blank)
+    in_span = (F.length("year") == 4) & F.col("year").rlike("^[0-9]{4}$")
+    other = counts.where((F.col("year") != "") & ~in_span)
+    other = other.agg(F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b")).where("n_a is not null")
+    other = other.select(F.lit("other").alias("year"), "n_a", "n_b")
+    return append(filled, blank, other)
 
 
 def totals(results: dict[str, DataFrame]) -> DataFrame:

@@ -14,11 +14,12 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
-def tag_documents(docs: DataFrame, dictionary: DataFrame, max_words: int = 4) -> DataFrame:
+def tag_documents(docs: DataFrame, dictionary: DataFrame, max_words: int | None = None) -> DataFrame:
     """(doc_id, text) and (kind, entity_id, name) to mentions (kind, doc_id, entity_id, score).
 
     Names are compared with the word sequences of the whole text, without case; the score
-    is the number of occurrences. Names of more than ``max_words`` words are not looked for.
+    is the number of occurrences. Only sequences as long as some name are formed; names of
+    more than ``max_words`` words, if given, are not looked for.
     """
     name_words = words_of(F.col("name"))
     names = (
@@ -28,16 +29,20 @@ def tag_documents(docs: DataFrame, dictionary: DataFrame, max_words: int = 4) ->
             F.array_join(name_words, " ").alias("phrase"),
             F.size(name_words).alias("n_words"),
         )
-        .where(F.col("n_words").between(1, max_words))
-        .select("kind", "entity_id", "phrase")
+        .where(F.col("n_words") >= 1)
         .distinct()
     )
+    if max_words is not None:
+        names = names.where(F.col("n_words") <= max_words)
+    # One row: the different lengths of names.
+    lengths = sorted(names.agg(F.collect_set("n_words")).first()[0])
+    names = names.drop("n_words")
     # The outer form keeps the optimizer from testing the tokenised text for emptiness
     # first, which would tokenise every text twice.
     phrases = (
         docs.select("doc_id", words_of(F.col("text")).alias("words"))
         .select("doc_id", "words", F.posexplode_outer("words").alias("at", "word"))
-        .select("doc_id", F.explode(_phrases_at(max_words)).alias("phrase"))
+        .select("doc_id", F.explode(_phrases_at(lengths)).alias("phrase"))
         .where(F.col("phrase").isNotNull())
     )
     if fits_broadcast(names):
@@ -49,10 +54,14 @@ def tag_documents(docs: DataFrame, dictionary: DataFrame, max_words: int = 4) ->
     return found.groupBy("kind", "doc_id", "entity_id").agg(F.sum("n").cast("int").alias("score"))
 
 
-def _phrases_at(max_words: int) -> Column:
-    """The sequences of 1 to ``max_words`` words that start at word number ``at``."""
-    phrases = [F.col("word")]
-    for n in range(1, max_words):
-        # NULL behind the last word, and so is every longer sequence.
-        phrases.append(F.concat(phrases[-1], F.lit(" "), F.get("words", F.col("at") + n)))
-    return F.array(*phrases)
+def _phrases_at(lengths: list[int]) -> Column:
+    """The sequences of so many words each that start at word number ``at``; NULL past the last."""
+    at = F.col("at")
+    phrases = [
+        F.when(
+            at + n <= F.size("words"),
+            F.col("word") if n == 1 else F.array_join(F.slice("words", at + 1, n), " "),
+        )
+        for n in lengths
+    ]
+    return F.array(*phrases).cast("array<string>")

@@ -32,3 +32,10 @@ EVALUATION = T.StructType(
         for n in ("precision", "recall", "f1", "tpr", "fdr")
     ]
 )
+# ``attr`` and ``first`` are folders: without a schema they would be guessed from the values.
+LOOKUP = T.StructType(
+    [
+        T.StructField(n, T.IntegerType() if n == "score" else T.StringType())
+        for n in ("value", "doc_id", "name", "entity_id", "score", "value_lower", "prefix", "attr", "first")
+    ]
+)

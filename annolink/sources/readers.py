@@ -115,4 +115,4 @@ def read_facts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return spark.read.schema(schemas.LOOKUP).parquet(path)

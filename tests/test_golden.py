@@ -1,6 +1,6 @@
 """The published evaluation table: metrics follow from the counts."""
 
-from decimal import Decimal
+from pathlib import Path
 
 from annolink.operators.evaluate import (
     as_decimals,
@@ -8,56 +8,22 @@ from annolink.operators.evaluate import (
     evaluation_metrics,
     false_negatives,
     queried_symbols,
+    with_query_terms,
 )
+from annolink.sources.readers import read_evaluation
 
-# gene, species, service, gold, found, TP, FP, FN, precision, recall, F1, TPR, FDR
-TABLE = """
-BRCA2|humans|p2e|592|719|388|331|204|.539|.655|.591|.655|.460
-BRCA2|humans|ref|1102|81|34|47|1068|.419|.030|.055|.030|.580
-BRCA2|mice|p2e|48|25|8|17|40|.320|.166|.218|.166|.680
-BRCA2|mice|ref|102|3|3|0|99|1.000|.029|.056|.029|0
-BRCA2|drosophila melanogaster|p2e|19|0|0|0|19|0|0|0|0|0
-BRCA2|drosophila melanogaster|ref|31|8|2|6|29|.250|.064|.101|.064|.750
-BRCA2|danio rerio|p2e|4|0|0|0|4|0|0|0|0|0
-BRCA2|danio rerio|ref|9|0|0|0|9|0|0|0|0|0
-Myc|humans|p2e|2043|2167|741|1426|1302|.341|.362|.349|.362|.658
-Myc|humans|ref|4289|46|26|20|4263|.565|.006|.010|.006|.434
-Myc|mice|p2e|1090|350|87|263|1003|.248|.079|.119|.079|.751
-Myc|mice|ref|2086|14|9|5|2077|.642|.004|.007|.004|.357
-Myc|drosophila melanogaster|p2e|427|2|0|2|427|0|0|0|0|1.000
-Myc|drosophila melanogaster|ref|737|278|88|190|649|.316|.119|.172|.119|.683
-Myc|danio rerio|p2e|66|1|1|0|65|1.000|.015|.029|.015|0
-Myc|danio rerio|ref|139|15|9|6|130|.600|.064|.114|.064|.400
-APC|humans|p2e|2470|494|164|330|2306|.331|.066|.108|.066|.668
-APC|humans|ref|5369|79|41|38|5328|.518|.007|.013|.007|.481
-APC|mice|p2e|7845|79|15|64|7830|.189|.001|0|.001|.810
-APC|mice|ref|15416|13|7|6|15409|.538|0|0|0|.461
-APC|drosophila melanogaster|p2e|133|1|0|1|133|0|0|0|0|1.000
-APC|drosophila melanogaster|ref|205|286|76|210|129|.265|.370|.308|.370|.734
-APC|danio rerio|p2e|16|0|0|0|16|0|0|0|0|0
-APC|danio rerio|ref|34|2|1|1|33|.500|.029|.054|.029|.500
-DCC|humans|p2e|108|106|42|64|66|.396|.388|.391|.388|.603
-DCC|humans|ref|247|16|13|3|234|.812|.052|.097|.052|.187
-DCC|mice|p2e|29|5|1|4|28|.200|.034|.055|.034|.800
-DCC|mice|ref|63|0|0|0|63|0|0|0|0|0
-DCC|drosophila melanogaster|p2e|37|0|0|0|37|0|0|0|0|0
-DCC|drosophila melanogaster|ref|78|68|31|37|47|.455|.397|.423|.397|.544
-DCC|danio rerio|p2e|2|0|0|0|2|0|0|0|0|0
-DCC|danio rerio|ref|6|0|0|0|6|0|0|0|0|0
-"""
-GOLDEN = [line.split("|") for line in TABLE.split("\n") if line]
+# The published table as it stands, but for the name of the own service.
+PATH = Path(__file__).parent / "data" / "evaluation_fixed_values.tsv"
 
 
 def test_metrics_of_golden_rows(spark):
-    counts = [(*g[:3], *map(int, g[3:8])) for g in GOLDEN]
-    schema = "gene string, species string, service string, gold long, found long, tp long, fp long, fn long"
-    got = as_decimals(evaluation_metrics(spark.createDataFrame(counts, schema))).collect()
-    assert len(got) == 32
-    metrics = {(r["gene"], r["species"], r["service"]): r for r in got}
-    for g in GOLDEN:
-        row = metrics[tuple(g[:3])]
-        want = [Decimal(v) for v in g[8:]]
-        assert [row[m] for m in ("precision", "recall", "f1", "tpr", "fdr")] == want, g
+    golden = read_evaluation(spark, str(PATH))
+    metrics = ("precision", "recall", "f1", "tpr", "fdr")
+    key = ("gene", "species", "service")
+    want = {tuple(r[k] for k in key): [r[m] for m in metrics] for r in golden.collect()}
+    got = as_decimals(evaluation_metrics(golden.drop(*metrics))).collect()
+    assert len(want) == 32
+    assert {tuple(r[k] for k in key): [r[m] for m in metrics] for r in got} == want
 
 
 def test_counts_from_document_sets(spark):
@@ -76,8 +42,19 @@ def test_false_negatives_compare_whole_ids(spark):
 
 
 def test_symbols_as_queried(spark):
-    rows = [("Myc", "drosophila melanogaster"), ("Myc", "mice"), ("DCC", "drosophila melanogaster"), ("Myc", "danio rerio")]
+    rows = [("Myc", "drosophila+melanogaster"), ("Myc", "mice"), ("DCC", "drosophila+melanogaster"), ("Myc", "danio+rerio")]
     got = queried_symbols(spark.createDataFrame(rows, "gene string, species string")).collect()
     assert sorted((r["gene"], r["species"]) for r in got) == [
-        ("dm", "drosophila melanogaster"), ("fra", "drosophila melanogaster"), ("myc", "mice"), ("myca", "danio rerio"),
+        ("dm", "drosophila+melanogaster"), ("fra", "drosophila+melanogaster"), ("myc", "mice"), ("myca", "danio+rerio"),
     ]
+
+
+def test_query_terms(spark):
+    rows = [("Myc", "drosophila+melanogaster"), ("BRCA2", "humans"), ("other", "mice"), ("APC", "cats")]
+    got = {tuple(r)[:2]: tuple(r)[2:] for r in with_query_terms(spark.createDataFrame(rows, "gene string, species string")).collect()}
+    assert got == {
+        ("Myc", "drosophila+melanogaster"): ("dm", "dmelanogaster", "flybasename_gene", "31310"),
+        ("BRCA2", "humans"): ("brca2", "hsapiens", "hgnc_symbol", "675"),
+        ("other", "mice"): ("other", "mmusculus", "mgi_symbol", None),
+        ("APC", "cats"): ("apc", None, None, None),
+    }
