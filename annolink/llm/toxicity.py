@@ -43,7 +43,7 @@ STRONG = 2.0
 PRIOR_DOCUMENTS = 10
 SHORTEST, LONGEST = 3, 8
 # Restored words that a task remembers.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 # Look-alike characters and the letters they may stand for.
 LOOKS = {
