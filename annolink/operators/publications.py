@@ -11,7 +11,7 @@ from annolink.fixed_values import KINDS
 from annolink.functions.lists import decode_list, encode_list
 from annolink.functions.scalar import link_out, score_band
 from annolink.operators.combine import combine_hot
-from annolink.operators.skew import HOT_ROWS, hot_keys, number_copies
+from annolink.operators.skew import HOT_ROWS, hot_keys, number_copies, with_position
 from annolink.unions import append
 
 
@@ -64,22 +64,25 @@ def gather(
 ) -> DataFrame:
     """Lists of (name, entity_id, score) per document: highest score first, then name, id.
 
-    One row per document, ``part`` 0. A document with more than ``part_entries`` rows
-    spans several rows: its entries are range-sorted over many tasks and each part holds
-    the next stretch of the list, so that no task or cell has to hold all of it.
+    The key is (doc_id, part): part p of a document holds the entries p * part_entries and
+    following of each kind, so every document has a part 0 and most have no other. Entries
+    of larger documents are numbered by a range sort over many tasks; no task or cell holds
+    all of them, and the parts do not depend on the partitioning.
     """
     hot = hot_keys(rows, "doc_id", part_entries)
     if hot is None:
         return _gather(rows, lists).withColumn("part", F.lit(0))
     keys = hot.select("doc_id")
     ordinary = _gather(rows.join(keys, "doc_id", "left_anti"), lists)
-    n_parts = -(-hot.agg(F.sum("n_rows")).first()[0] // part_entries)
     order = ["doc_id", "kind", F.desc("score"), "name", "entity_id", "copy"]
     entries = rows.join(keys, "doc_id", "left_semi")
     entries = number_copies(entries.select("kind", "doc_id", "name", "entity_id", "score"))
-    stretches = entries.repartitionByRange(n_parts, *order).withColumn(
-        "part", F.spark_partition_id()
-    )
+    numbered = with_position(entries, *order)
+    # One row per hot document and kind.
+    starts = numbered.groupBy("doc_id", "kind").agg(F.min("position").alias("_start"))
+    rank = F.col("position") - F.col("_start")
+    part = F.floor(rank / F.lit(part_entries)).cast("int").alias("part")
+    stretches = numbered.join(starts, ["doc_id", "kind"]).select("kind", "doc_id", "name", "entity_id", "score", part)
     return append(ordinary.withColumn("part", F.lit(0)), _gather(stretches, lists, "part"))
 
 

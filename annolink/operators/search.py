@@ -194,6 +194,8 @@ def find_documents(
 
     Ordered by the document's best score of ``order_by_kind``, then by document id.
     ``total`` is the number of documents on all pages. ``limit`` None gives all of them.
+    Where ``pubs`` has parts, documents are counted and paged by their part 0, and all
+    parts of the documents on the page are given.
     """
     found = matching_documents(facts, clauses)
     kind = order_kind(clauses, order_by_kind)
@@ -206,8 +208,13 @@ def find_documents(
     result = ranked.join(pubs, "doc_id").where(
         F.col(not_empty).isNotNull() & (F.col(not_empty) != "")
     )
-    total = result.agg(F.count("*")).scalar()
-    return page(result.withColumn("total", total), offset, limit)
+    heads = result.where(F.col("part") == 0) if "part" in pubs.columns else result
+    total = heads.agg(F.count("*")).scalar()
+    heads = page(heads.withColumn("total", total), offset, limit)
+    if "part" not in pubs.columns:
+        return heads
+    shown = heads.select("doc_id", "best_score", "total")
+    return shown.join(pubs, "doc_id").orderBy(F.desc_nulls_last("best_score"), "doc_id", "part")
 
 
 def page(result: DataFrame, offset: int = 0, limit: int | None = PAGE_SIZE) -> DataFrame:

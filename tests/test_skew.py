@@ -5,8 +5,9 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from annolink import schemas
 from annolink.fixed_values import KINDS
-from annolink.operators import combine, publications, skew
+from annolink.operators import combine, publications, search, skew
 from annolink.operators.batches import assign_batches
 from annolink.operators.label import label
 
@@ -70,12 +71,34 @@ def test_gather_parts_hold_the_whole_list_in_order(spark):
     parted = sorted(publications.entity_lists(facts, 10).collect(), key=lambda r: (r["doc_id"], r["part"]))
     assert {r["doc_id"]: r["part"] for r in parted if r["doc_id"] != "big"} == {"small": 0, "bare": 0}
     big = [r for r in parted if r["doc_id"] == "big"]
-    assert len(big) > 1
-    assert max(sum(len(r[k]) for k in KINDS) for r in big) < 54
+    # 30 genes, 20 species, 4 terms: three parts, numbered from 0, whatever the partitioning.
+    assert [r["part"] for r in big] == [0, 1, 2]
+    assert [[len(r[k]) for k in ("genes", "species", "terms_do")] for r in big] == [[10, 10, 4], [10, 10, 0], [10, 0, 0]]
+    again = publications.entity_lists(facts.repartition(3), 10).collect()
+    assert sorted(again, key=lambda r: (r["doc_id"], r["part"])) == parted
     for kind in KINDS:
         assert [e for r in big for e in r[kind]] == whole["big"][kind]
 
 
+def test_a_document_query_counts_documents_not_parts(spark):
+    rows = [("genes", d, f"g{i}", str(i), i) for d in ("A", "B") for i in range(30)]
+    facts = spark.createDataFrame(rows, schemas.FACTS)
+    pubs = spark.createDataFrame([("A", "a"), ("B", "b")], "doc_id string, title string")
+    clauses = {"gene_name": ["g29"]}
+    found = {}
+    for size in (10, None):
+        listed = publications.with_entity_lists(pubs, facts, size)
+        got = search.find_documents(facts, listed, clauses).collect()
+        assert {r["total"] for r in got} == {2} and {r["doc_id"] for r in got} == {"A", "B"}
+        assert len(got) == (6 if size else 2)
+        found[size] = {d: [e for r in got if r["doc_id"] == d for e in r["genes"]] for d in "AB"}
+        second = search.find_documents(facts, listed, clauses, offset=1, limit=1).collect()
+        assert {r["doc_id"] for r in second} == {"B"} and sum(len(r["genes"]) for r in second) == 30
+    assert found[10] == found[None]
+    parts = search.documents_of(facts, ["1", "2"], hot_rows=1).collect()
+    assert {r["doc_id"] for r in parts if r["part"] == 0} == {"A", "B"} and len(parts) == 4
+
+
 def test_number_copies_keeps_every_row(spark):
     df = spark.createDataFrame([("a", 1)] * 25 + [("b", None)] * 2, "x string, y int")
     numbered = skew.number_copies(df, chunk=10)
