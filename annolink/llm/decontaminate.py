@@ -4,9 +4,10 @@ The test items are the indexed collection, the passages of the training document
 queries. Weights are divided by the weight of the whole item, so a passage that holds all
 words of an item scores 1 and one threshold serves all items. Every document is cut into
 passages of twice the longest item, half overlapping, so every copy of an item lies whole in
-some passage. A passage whose words cannot reach the threshold, even with each word's
-greatest weight, has no result; all others run block-max WAND, which returns every item at
-or above the threshold. A hit counts when at least ``overlap`` of the item's five-word
+some passage. Items are numbered by length, so that neighbours have weights of one size. The
+greatest weights of the passage's words in a block of items, summed up, bound the scores of
+these items; blocks below the threshold are skipped. In the others block-max WAND returns
+every item at or above the threshold. A hit counts when at least ``overlap`` of the item's five-word
 shingles stand in the passage, and at least half of the words of its question and of its answer.
 
 The index is broadcast in shards of at most ``SHARD_BYTES`` of item text (one for any usual
@@ -32,10 +33,11 @@ from pyspark.sql import functions as F
 
 from annolink.llm.common import shared, texts, without
 
-SHARD_BYTES = 16 * 1024 * 1024
+SHARD_BYTES = 4 * 1024 * 1024
 K1, B = 1.2, 0.75
-BLOCK = 32
-MIN_SCORE, OVERLAP, SHINGLE = 0.5, 0.8, 5
+# Postings of a block, and blocks of items of a shard for the bounds of passages.
+BLOCK, ITEM_BLOCKS = 32, 32
+MIN_SCORE, OVERLAP, SHINGLE = 0.6, 0.8, 5
 
 _CUT = bytes(
     32 if 33 <= c <= 47 or 58 <= c <= 64 or 91 <= c <= 96 or 123 <= c <= 126 else c + 32 if 65 <= c <= 90 else c
@@ -54,7 +56,7 @@ class Index:
         self.ids, self.words, self.numbers = [], [], {}
         self.cut = []
         postings: list[list[tuple[int, float]]] = []
-        for item_id, text in items:
+        for item_id, text in sorted(items, key=lambda item: (len(words_of(item[1])), item)):
             question, _, answer = text.rpartition(b"\n")
             head = words_of(question) if question.strip() else words_of(text)
             words = words_of(text)
@@ -80,6 +82,10 @@ class Index:
         self.ends = [p[BLOCK - 1 :: BLOCK] + p[-1:] * (len(p) % BLOCK > 0) for p in self.items]
         self.block_max = [[max(w[i : i + BLOCK]) for i in range(0, len(w), BLOCK)] for w in self.weights]
         self.most = np.array([max(w) for w in self.weights] or [0.0])
+        self.step = max(1, -(-len(self.ids) // ITEM_BLOCKS))
+        self.bounds = np.zeros((len(self.most), ITEM_BLOCKS), np.float32)
+        for term, (held, weights) in enumerate(zip(self.items, self.weights, strict=True)):
+            np.maximum.at(self.bounds[term], np.array(held) // self.step, np.array(weights, np.float32))
         self.longest = max(map(len, self.words), default=1)
         self.shingles = [self.shingles_of(w) for w in self.words]
 
@@ -88,11 +94,16 @@ class Index:
         size = min(SHINGLE, len(words))
         return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
 
-    def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
-        """All items with a score of at least ``threshold``: block-max WAND."""
+    def search(self, terms: list[int], threshold: float, first: int = 0, end: int | None = None) -> list[tuple[int, float]]:
+        """All items from ``first`` to before ``end`` with a score of at least ``threshold``: block-max WAND."""
         found = []
         # A cursor is [current item, term, place].
-        cursors = [[self.items[t][0], t, 0] for t in terms]
+        end = len(self.ids) if end is None else end
+        cursors = []
+        for term in terms:
+            place = bisect.bisect_left(self.items[term], first)
+            if place < len(self.items[term]) and self.items[term][place] < end:
+                cursors.append([self.items[term][place], term, place])
         slack = threshold - 1e-9
         while cursors:
             cursors.sort()
@@ -107,12 +118,12 @@ class Index:
             item = cursors[pivot][0]
             while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == item:
                 pivot += 1
-            reach, end = 0.0, math.inf
+            reach, block_end = 0.0, math.inf
             for _, term, _ in cursors[: pivot + 1]:
                 block = bisect.bisect_left(self.ends[term], item)
                 if block < len(self.ends[term]):
                     reach += self.block_max[term][block]
-                    end = min(end, self.ends[term][block])
+                    block_end = min(block_end, self.ends[term][block])
             if reach >= slack:
                 if cursors[0][0] == item:
                     score = sum(self.weights[t][p] for i, t, p in cursors[: pivot + 1] if i == item)
@@ -123,7 +134,7 @@ class Index:
                     goal = item
             else:
                 # No item up to the end of these blocks, nor before the next cursor, can reach it.
-                goal = end + 1 if end < math.inf else item + 1
+                goal = block_end + 1 if block_end < math.inf else item + 1
                 if pivot + 1 < len(cursors):
                     goal = min(goal, cursors[pivot + 1][0])
                 goal = max(goal, item + 1)
@@ -132,7 +143,7 @@ class Index:
                 if cursor[0] < goal:
                     held = self.items[cursor[1]]
                     cursor[2] = bisect.bisect_left(held, goal, cursor[2])
-                    if cursor[2] == len(held):
+                    if cursor[2] == len(held) or held[cursor[2]] >= end:
                         continue
                     cursor[0] = held[cursor[2]]
                 moved.append(cursor)
@@ -168,12 +179,16 @@ def _hits(index: Index, text: bytes, min_score: float, overlap: float) -> dict[i
     width = len(index.most)
     passage = places // step
     keys = np.unique(np.concatenate([passage * width + terms, np.maximum(passage - 1, 0) * width + terms]))
-    bounds = np.bincount(keys // width, index.most[keys % width])
+    own, number = keys % width, keys // width
+    starts = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
+    ends = np.r_[starts[1:], len(keys)]
+    bounds = np.add.reduceat(index.bounds[own], starts, axis=0)
     best: dict[int, tuple] = {}
-    for at in np.flatnonzero(bounds >= min_score):
-        first, last = np.searchsorted(keys, (at * width, (at + 1) * width))
+    for k, block in zip(*np.nonzero(bounds >= min_score - 1e-4), strict=True):
+        at = int(number[starts[k]])
         part = words[at * step : (at + 2) * step]
-        for item, score in index.search((keys[first:last] % width).tolist(), min_score):
+        found = index.search(own[starts[k] : ends[k]].tolist(), min_score, int(block) * index.step, (int(block) + 1) * index.step)
+        for item, score in found:
             shares = index.verify(item, part)
             if shares[0] >= overlap and min(shares[1:]) >= 0.5:
                 best[item] = max(best.get(item, (0.0,)), (score, *shares))
