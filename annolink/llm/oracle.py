@@ -43,4 +43,59 @@ ORACLE = {
                     + greatest(0, least(size, budget % source_size - before)) AS BIGINT) AS taken
         FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
     """,
+    "op8_near_dedup": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), t AS (
+            SELECT doc_id, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM d WHERE len(w) >= 3
+        ), three AS (
+            SELECT doc_id, a || ' ' || lead(a) OVER r || ' ' || lead(a, 2) OVER r AS s
+            FROM t WINDOW r AS (PARTITION BY doc_id ORDER BY i)
+        ), s AS (
+            SELECT DISTINCT doc_id, s FROM three WHERE s IS NOT NULL
+            UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 2
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), p AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+            FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+        ), e AS (
+            SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+        ), ways AS (
+            SELECT a, b FROM e UNION ALL SELECT b, a FROM e
+        ), reach(a, b) AS (
+            SELECT a, b FROM ways UNION SELECT reach.a, ways.b FROM reach JOIN ways ON reach.b = ways.a
+        ), c AS (
+            SELECT a, min(b) AS b FROM reach GROUP BY a
+        )
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(least(c.b, d.doc_id), d.doc_id) AS component_id,
+               coalesce(least(c.b, d.doc_id), d.doc_id) = d.doc_id AS kept
+        FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = d.doc_id
+    """,
+    "op9_substring_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), t AS (
+            SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d
+        ), h AS (
+            SELECT doc_id, i, md5(string_agg(word, ' ') OVER r) AS h, count(*) OVER r AS n
+            FROM t WINDOW r AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)
+        ), f AS (
+            SELECT h, min(doc_id) AS m FROM h WHERE n = 50 GROUP BY h
+        ), r AS (
+            SELECT h.doc_id, h.i FROM h JOIN f USING (h) WHERE h.n = 50 AND h.doc_id > f.m
+        ), c AS (
+            SELECT t.doc_id, t.i, t.word, max(CASE WHEN r.i IS NULL THEN 0 ELSE 1 END) OVER (
+                   PARTITION BY t.doc_id ORDER BY t.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+            FROM t LEFT JOIN r ON t.doc_id = r.doc_id AND t.i = r.i
+        ), k AS (
+            SELECT doc_id, sum(gone) AS n, string_agg(word, ' ' ORDER BY i) FILTER (gone = 0) AS kept FROM c GROUP BY doc_id
+        )
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN k USING (doc_id)
+    """,
 }
