@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import standins as s
-from annolink.fixed_values import KINDS
+from annolink.fixed_values import KINDS, LATIN_NAMES
 from annolink.functions import scalar
 from annolink.functions.lists import encode_list
 from annolink.operators import (
@@ -160,7 +161,7 @@ def multiword_names(spark, sf):
 @_query
 def valid_rows(spark, sf):
     """Ids that were never normalised are not valid."""
-    raw = s.mentions_raw(spark, sf).where(F.col("kind") == "genes")
+    raw = s.mentions_raw(spark, sf)
     clean_rows = raw.withColumn("doc_raw", scalar.normalise_doc_id(F.col("doc_raw")))
     rows = raw.unionByName(clean_rows).select(
         "kind",
@@ -280,7 +281,53 @@ def distinct_counts(spark, sf):
 
 @_query
 def approximate_counts(spark, sf):
-    return stats.approximate_counts(s.labelled(spark, sf))
+    """Whether the sketches are within a tenth of the exact counts."""
+    labelled = stage(s.labelled(spark, sf))
+    exact = stats.distinct_counts(labelled)
+    sketch = stats.approximate_counts(labelled).toDF("kind", "s_documents", "s_entities")
+
+    def close(a, b):
+        return F.abs(F.col(a) - F.col(b)) <= 0.1 * F.col(b)
+
+    return exact.join(sketch, "kind").select(
+        "kind",
+        close("s_documents", "n_documents").alias("documents_close"),
+        close("s_entities", "n_entities").alias("entities_close"),
+    )
+
+
+@_query
+def release_stats(spark, sf):
+    return jobs.release_stats(stage(s.labelled(spark, sf)))
+
+
+@_query
+def evaluation_terms(spark, sf):
+    """How the services are asked for genes and species, which the suppliers stand for."""
+    genes = F.array(*[F.lit(g) for g in ("BRCA2", "Myc", "APC", "DCC")])
+    species = F.array(*[F.lit(name) for name, _, _ in LATIN_NAMES], F.lit("other"))
+    rows = s.table(spark, sf, "supplier").select(
+        "s_suppkey",
+        F.get(genes, (F.col("s_suppkey") % 4).cast("int")).alias("gene"),
+        F.get(species, (F.col("s_nationkey") % 5).cast("int")).alias("species"),
+    )
+    return evaluate.with_query_terms(rows)
+
+
+@_query
+def refuse_then_replace(spark, sf):
+    """Output that exists is refused, then replaced on demand: the second table is read."""
+    path = new_folder(spark, "replaced")
+    labelled = s.labelled(spark, sf)
+    writers.write_corpus({"facts": labelled.where(F.col("kind") == "genes")}, path)
+    species = {"facts": labelled.where(F.col("kind") == "species")}
+    try:
+        writers.write_corpus(species, path)
+    except AnalysisException:
+        writers.write_corpus(species, path, "overwrite")
+    else:
+        raise AssertionError("existing output was not refused")
+    return readers.read_facts(spark, path)
 
 
 @_query
@@ -455,7 +502,7 @@ def transactions(spark, sf):
 
 @_query
 def tag_documents(spark, sf):
-    return tagging.tag_documents(s.documents(spark, sf), s.word_dictionary(spark, sf), max_words=2)
+    return tagging.tag_documents(s.documents(spark, sf), s.word_dictionary(spark, sf))
 
 
 @_query

