@@ -32,7 +32,7 @@ from oracle import ORACLE
 
 # The operators for training data are a subpackage of their own, which may be absent.
 try:
-    from annolink.llm import queries as llm
+    import annolink.llm.queries as llm
 except ModuleNotFoundError as missing:
     if missing.name not in ("annolink.llm", "annolink.llm.queries", "corpus_pipeline"):
         raise
