@@ -269,8 +269,11 @@ def _fit(train: DataFrame, held, fit_rows: int) -> np.ndarray:
     return GRID[table.argmax(axis=1)]
 
 
-def train_model(train: DataFrame, frequent: int = FREQUENT, fit_rows: int = FIT_ROWS) -> tuple[Model, DataFrame]:
-    """The model of (doc_id, text) rows, and the exact counts (key, c) of all words."""
+def train_model(train: DataFrame, frequent: int = FREQUENT, fit_rows: int = FIT_ROWS) -> tuple:
+    """The model of (doc_id, text) rows, its broadcast, and the exact counts (key, c) of all words.
+
+    The broadcast is made once; weights are set where the model is used.
+    """
     spark = train.sparkSession
     summed = _grams(train).repartition("segment").groupBy("segment", "size", "key").agg(F.sum("n").alias("n"))
     built = stage(_segments(summed.select("segment", "size", "key", "n")))
@@ -289,19 +292,21 @@ def train_model(train: DataFrame, frequent: int = FREQUENT, fit_rows: int = FIT_
     means[0] = 0.0
     top = words.orderBy(F.desc("c"), "key").limit(frequent).toArrow()
     model = Model(Filter(bits, means), top["key"].to_numpy().view(np.uint64), top["c"].to_numpy(), n_tokens, n_words)
-    model.weights = _fit(train, shared(spark, model), fit_rows)
-    return model, words
+    held = shared(spark, model)
+    model.weights = _fit(train, held, fit_rows)
+    return model, held, words
 
 
 def lm_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, frequent: int = FREQUENT, fit_rows: int = FIT_ROWS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = texts(docs).select("doc_id", F.col("text").cast("binary"), (remainder(F.col("doc_id"), folds) == held_out).alias("held_out"))
-    model, words = train_model(rows.where(~F.col("held_out")).select("doc_id", "text"), frequent, fit_rows)
-    held = shared(docs.sparkSession, model)
+    model, held, words = train_model(rows.where(~F.col("held_out")).select("doc_id", "text"), frequent, fit_rows)
+    weights, total = model.weights, float(model.total)
 
     def task(batches):
         model, hashes = held(), WordHash()
+        model.weights = weights
         rest_kind = pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64())]))
         for batch in batches:
             for own, tokens, document, firsts in _chunks(batch.column(1), hashes):
@@ -333,7 +338,7 @@ def lm_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, frequent: int
     count = F.coalesce("c", F.lit(0))
     sums = rest.groupBy("row").agg(
         F.sum(F.when(count > 0, F.col("n")).otherwise(0)).alias("_known"),
-        F.sum(F.col("n") * F.log10((count + 0.5) / F.lit(float(model.total)))).alias("_base"),
+        F.sum(F.col("n") * F.log10((count + 0.5) / F.lit(total))).alias("_base"),
     )
     return scored.drop("rest").join(sums, "row", "left").select(
         "doc_id",

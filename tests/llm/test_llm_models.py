@@ -47,7 +47,7 @@ def test_lm_scores(documents, odd_rows):
 def test_filter_gives_counts_back_and_probabilities_sum_to_one(spark):
     text = [f"{prose(i % 7, 40, 5)}" for i in range(40)]
     docs = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(text)], "doc_id long, text binary")
-    model, words = lm_scoring.train_model(docs, frequent=20, fit_rows=20)
+    model, _, words = lm_scoring.train_model(docs, frequent=20, fit_rows=20)
     hashes = lm_scoring.WordHash()
     pairs = Counter(p for t in text for w in [t.split()] for p in zip(w, w[1:], strict=False))
     names = list(pairs)
