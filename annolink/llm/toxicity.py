@@ -6,8 +6,10 @@
    repeated three times and more are decoded: each run of a character is an arc set of a
    lattice (as it is, a letter it looks like, left out, one or two of a repeated letter), each
    arc with the cost of the channel, and the Viterbi path under the language model is the
-   word that was meant. Letters set apart by blanks are joined first. Other words are what
-   they seem; runs of three and more signs at either end of a word are ornament.
+   word that was meant. Words are decoded whole; the cost grows with their runs. Letters set
+   apart by blanks are joined first and decoded from each letter on, as many runs as the
+   longest beginning takes. Other words are what they seem; runs of three and more signs at
+   either end of a word are ornament.
 3. Beginnings of restored words, of 3 to 8 letters, and whole words are weighed by how often
    documents that have them are labelled, shrunk to the share of all documents.
 4. A document's figures are its greatest word weight, and the number of its distinct words
@@ -64,6 +66,9 @@ _SPACED = re.compile(r"(?<!\S)\w(?: \w){2,}(?!\S)")
 _ORNAMENT = re.compile(r"^([^\w\s])\1{2,}|([^\w\s])\2{2,}$|^[\"'(\[{]+|[.,;:!?\"')\]}]+$")
 _PLAIN = re.compile(r"^[^\W\d_]*$")
 _REPEATED = re.compile(r"(.)\1\1")
+_RUN = re.compile(r"(.)\1*", re.DOTALL)
+# Runs that a piece of spaced letters begins with.
+PIECE = 24
 
 
 def class_of(character: str) -> int:
@@ -91,6 +96,14 @@ def trigram_counts(docs: DataFrame) -> np.ndarray:
     return counts
 
 
+def _letters(tail: tuple | None) -> list[str]:
+    found = []
+    while tail is not None:
+        tail, letters = tail
+        found.append(letters)
+    return found[::-1]
+
+
 class Decoder:
     """The most likely word behind a disguised one."""
 
@@ -102,6 +115,7 @@ class Decoder:
         second = (pairs + 5 * single) / (pairs.sum(axis=1, keepdims=True) + 5)
         third = (cube + 5 * second[None]) / (cube.sum(axis=2, keepdims=True) + 5)
         self.log = np.log(third).tolist()
+        self.known: dict[tuple, list] = {}
 
     @staticmethod
     def arcs(character: str, length: int) -> list[tuple[str, float]]:
@@ -120,26 +134,37 @@ class Decoder:
                 ways.append((letter * 2, 2 * COST_LOOK))
         return ways
 
+    def ways(self, character: str, length: int) -> list[tuple[str, list[int], float]]:
+        """The arcs of a run, with the classes of their letters."""
+        known = self.known.get((character, length))
+        if known is None:
+            known = [(letters, [class_of(c) for c in letters], cost) for letters, cost in self.arcs(character, length)]
+            if length <= 3 and len(self.known) < REMEMBERED:
+                self.known[character, length] = known
+        return known
+
     def decode(self, word: str) -> str:
-        paths = {(BLANK, BLANK): (0.0, "")}
-        i = 0
-        while i < len(word):
-            end = i + 1
-            while end < len(word) and word[end] == word[i]:
-                end += 1
+        log, said = self.log, []
+        # State: score, and the letters since all paths were last the same one, as (all before, last).
+        paths: dict[tuple, tuple] = {(BLANK, BLANK): (0.0, None)}
+        for run in _RUN.finditer(word):
+            ways = self.ways(run[1], run.end() - run.start())
             following: dict[tuple, tuple] = {}
-            for (a, b), (score, said) in paths.items():
-                for letters, cost in self.arcs(word[i], end - i):
+            for (a, b), (score, tail) in paths.items():
+                for letters, codes, cost in ways:
                     p, q, value = a, b, score - cost
-                    for letter in letters:
-                        r = class_of(letter)
-                        value += self.log[p][q][r]
+                    for r in codes:
+                        value += log[p][q][r]
                         p, q = q, r
                     if (p, q) not in following or following[p, q][0] < value:
-                        following[p, q] = (value, said + letters)
+                        following[p, q] = (value, (tail, letters))
             paths = following
-            i = end
-        return max((score + self.log[a][b][BLANK], said) for (a, b), (score, said) in paths.items())[1]
+            if len(paths) == 1:
+                ((state, (_, tail)),) = paths.items()
+                said += _letters(tail)
+                paths = {state: (0.0, None)}
+        tail = max(((score + log[a][b][BLANK], tail) for (a, b), (score, tail) in paths.items()), key=lambda path: path[0])[1]
+        return "".join(said + _letters(tail))
 
     def restore(self, word: str) -> str:
         """The word that was meant, in lower case, without ornament."""
@@ -148,7 +173,28 @@ class Decoder:
             bare = cut
         if _PLAIN.match(bare) and not _REPEATED.search(bare):
             return bare
-        return self.decode(bare[:64]) + bare[64:]
+        return self.decode(bare)
+
+    def pieces(self, letters: str) -> list[str]:
+        """What joined letters may mean: a disguised word may start at any of them.
+
+        Each piece has as many runs as it takes for the longest beginning.
+        """
+        found, starts = [], [run.start() for run in _RUN.finditer(letters)] + [len(letters)]
+        for at, end in enumerate(starts[1:]):
+            # A run of three letters and more means the same at any length.
+            for start in {starts[at], max(end - 2, starts[at]), end - 1}:
+                if len(letters) - start < SHORTEST:
+                    continue
+                runs = PIECE
+                while True:
+                    upto = starts[min(at + runs, len(starts) - 1)]
+                    word = self.restore(letters[start:upto])
+                    if len(word) > LONGEST or upto == len(letters):
+                        break
+                    runs *= 2
+                found.append(word)
+        return found
 
 
 def features(word: str) -> list[str]:
@@ -174,8 +220,7 @@ class _Words:
             found.append(value)
         for spaced in _SPACED.findall(text):
             letters = spaced.replace(" ", "")
-            # A disguised word may start at any of the letters.
-            found += [self.of_word(self.decoder.restore(letters[i : i + 24])) for i in range(len(letters) - SHORTEST + 1)]
+            found += [self.of_word(piece) for piece in self.decoder.pieces(letters)]
         return found
 
 

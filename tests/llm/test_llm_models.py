@@ -208,6 +208,25 @@ def test_toxicity(documents, spark):
     assert toxicity.toxicity(documents([]), table).count() == 0
 
 
+def decoder():
+    counts = np.zeros(toxicity.CLASSES**3)
+    text = ("you are an idiot and a fool with no manners, said the man to his stupid friend in the hot summer sun. " * 50).encode()
+    codes = np.r_[0, 0, toxicity._CLASS_OF_BYTE[np.frombuffer(text, np.uint8)], 0]
+    grams = codes[:-2] * toxicity.CLASSES**2 + codes[1:-1] * toxicity.CLASSES + codes[2:]
+    return toxicity.Decoder(counts + np.bincount(grams, minlength=toxicity.CLASSES**3))
+
+
+def test_words_are_decoded_whole_at_any_length():
+    found = decoder()
+    assert found.restore("i" * 70 + "diot") == "idiot"
+    assert found.restore("1" * 70 + "di0t") == "idiot"
+    assert found.restore("-" * 300 + "s-t-u-p-1-d") == "stupid"
+    assert found.restore("m@nners" * 30) == "manners" * 30
+    assert "idiot" in found.pieces("i" * 40 + "d" * 30 + "iot")
+    assert any(p.startswith("idiot") for p in found.pieces("idiot" + "x" * 30 + "y"))
+    assert len(found.restore("a1" * 100_000)) >= 100_000
+
+
 # 5: token counts
 
 
