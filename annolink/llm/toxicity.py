@@ -3,13 +3,16 @@
 1. A character language model (trigrams over the letters a to z, one class each for other
    letters, for blanks and for all else) is counted over all documents.
 2. Words with look-alike characters, characters inside that are no letters, or letters
-   repeated three times and more are decoded: each run of a character is an arc set of a
-   lattice (as it is, a letter it looks like, left out, one or two of a repeated letter), each
-   arc with the cost of the channel, and the Viterbi path under the language model is the
-   word that was meant. Words are decoded whole; the cost grows with their runs. Letters set
-   apart by blanks are joined first and decoded from each letter on, as many runs as the
-   longest beginning takes. Other words are what they seem; runs of three and more signs at
-   either end of a word are ornament.
+   repeated are decoded: each run of a character is an arc set of a lattice (as it is, a letter
+   it looks like, left out, one or two of a repeated letter), each arc with the cost of the
+   channel, and the Viterbi path under the language model is the word that was meant. Words are
+   decoded whole; the cost grows with their runs. A word of letters only with a doubled one may
+   also be what it seems, so both readings count. Short tokens that follow each other, whatever
+   blanks are between them (a character, also repeated, or two with one that is no letter;
+   three characters in all), are decoded together: with the blanks as arcs that may be left
+   out, and joined, from each character on, as many runs as the longest beginning takes. Pairs
+   of letters set apart ("id io t") are words of their own. Other words are what they seem;
+   runs of three and more signs at either end of a word are ornament.
 3. Beginnings of restored words, of 3 to 8 letters, and whole words are weighed by how often
    documents that have them are labelled, shrunk to the share of all documents.
 4. A document's figures are its greatest word weight, and the number of its distinct words
@@ -62,10 +65,12 @@ _CLASS_OF_BYTE[65:91] = np.arange(1, 27)
 _CLASS_OF_BYTE[128:] = HIGH
 _CLASS_OF_BYTE[[9, 10, 11, 12, 13, 32]] = BLANK
 
-_SPACED = re.compile(r"(?<!\S)\w(?: \w){2,}(?!\S)")
 _ORNAMENT = re.compile(r"^([^\w\s])\1{2,}|([^\w\s])\2{2,}$|^[\"'(\[{]+|[.,;:!?\"')\]}]+$")
 _PLAIN = re.compile(r"^[^\W\d_]*$")
-_REPEATED = re.compile(r"(.)\1\1")
+_DOUBLED = re.compile(r"(.)\1")
+_TRIPLED = re.compile(r"(.)\1\1")
+# One character, also repeated, or two of which one is no letter; quotes and stops around it.
+_SHORT = re.compile(r"[\"'(\[{]*((\S)\2*|[^\W\d_][\W\d_]|[\W\d_]\S)[.,;:!?\"')\]}]*")
 _RUN = re.compile(r"(.)\1*", re.DOTALL)
 # Runs that a piece of spaced letters begins with.
 PIECE = 24
@@ -73,6 +78,8 @@ PIECE = 24
 
 def class_of(character: str) -> int:
     code = ord(character)
+    if character == " ":
+        return BLANK
     return code - 96 if 97 <= code <= 122 else HIGH if character.isalpha() else OTHER
 
 
@@ -125,6 +132,8 @@ class Decoder:
             if length == 2:
                 return [(character * 2, 0.0), (character, COST_DOUBLE)]
             return [(character, COST_COLLAPSE), (character * 2, COST_COLLAPSE)]
+        if character == " ":
+            return [("", COST_OMIT), (" ", 0.0)]
         ways = [("", COST_LOSE if character in LOOKS else COST_OMIT)]
         if character not in LOOKS or character.isdigit():
             ways.append((character * length, COST_KEEP))
@@ -149,6 +158,13 @@ class Decoder:
         paths: dict[tuple, tuple] = {(BLANK, BLANK): (0.0, None)}
         for run in _RUN.finditer(word):
             ways = self.ways(run[1], run.end() - run.start())
+            if len(paths) == len(ways) == 1:
+                ((p, q),), ((letters, codes, _),) = paths, ways
+                for r in codes:
+                    p, q = q, r
+                said.append(letters)
+                paths = {(p, q): (0.0, None)}
+                continue
             following: dict[tuple, tuple] = {}
             for (a, b), (score, tail) in paths.items():
                 for letters, codes, cost in ways:
@@ -168,15 +184,21 @@ class Decoder:
 
     def restore(self, word: str) -> str:
         """The word that was meant, in lower case, without ornament."""
+        return self.readings(word)[-1]
+
+    def readings(self, word: str) -> list[str]:
+        """What a word may mean. One with doubled letters may be what it seems, too."""
         bare = word
-        while bare and (cut := _ORNAMENT.sub("", bare)) != bare:
+        while not bare.isalpha() and bare and (cut := _ORNAMENT.sub("", bare)) != bare:
             bare = cut
-        if _PLAIN.match(bare) and not _REPEATED.search(bare):
-            return bare
-        return self.decode(bare)
+        if not _PLAIN.match(bare) or _TRIPLED.search(bare):
+            return [self.decode(bare)]
+        if not _DOUBLED.search(bare) or (meant := self.decode(bare)) == bare:
+            return [bare]
+        return [bare, meant]
 
-    def pieces(self, letters: str) -> list[str]:
-        """What joined letters may mean: a disguised word may start at any of them.
+    def pieces(self, letters: str) -> list[list[str]]:
+        """Readings of joined letters: a disguised word may start at any of them.
 
         Each piece has as many runs as it takes for the longest beginning.
         """
@@ -189,38 +211,78 @@ class Decoder:
                 runs = PIECE
                 while True:
                     upto = starts[min(at + runs, len(starts) - 1)]
-                    word = self.restore(letters[start:upto])
-                    if len(word) > LONGEST or upto == len(letters):
+                    readings = self.readings(letters[start:upto])
+                    if min(map(len, readings)) > LONGEST or upto == len(letters):
                         break
                     runs *= 2
-                found.append(word)
+                found.append(readings)
         return found
 
+    def spaced(self, tokens: list[str]) -> list[list[str]]:
+        """Readings of letters set apart: each start, and the words with blanks as they are likely."""
+        return self.pieces("".join(tokens)) + [[word] for word in self.decode(" ".join(tokens)).split()]
+
 
 def features(word: str) -> list[str]:
     """Beginnings of a word, and the whole word marked as such."""
     return [word[:k] for k in range(SHORTEST, min(LONGEST, len(word)) + 1)] + ["=" + word]
 
 
+def as_short(token: str) -> str:
+    """What a token is as a short one, "" if it is none."""
+    if len(token) > 2 and token.isalpha() and token.count(token[0]) < len(token):
+        return ""
+    match = _SHORT.fullmatch(token)
+    return match[1] if match else ""
+
+
+def spaced_runs(tokens: list[str], short: dict[str, str]) -> list[list[str]]:
+    """Runs of short tokens, as what ``short`` gives for them."""
+    found, run, last = [], [], -1
+    for at in [*(i for i, token in enumerate(tokens) if token in short), len(tokens) + 1]:
+        if at > last + 1:
+            if len(run) > 1 and sum(map(len, run)) >= SHORTEST and any(c.isalnum() or c in LOOKS for part in run for c in part):
+                found.append(run)
+            run = []
+        if at < len(tokens):
+            run.append(short[tokens[at]])
+        last = at
+    return found
+
+
 class _Words:
-    """Distinct restored words of a text, with what is known of a word remembered."""
+    """Distinct words of a text by their readings, with what is known of a word remembered."""
 
     def __init__(self, decoder: Decoder, of_word):
-        self.decoder, self.of_word, self.known = decoder, of_word, {}
+        self.decoder, self.of_word = decoder, of_word
+        # What was used since the last change, and before it.
+        self.known, self.before, self.joined, self.size = {}, {}, {}, 0
 
     def of(self, data: bytes) -> list:
         text = data.decode("utf-8", "replace").lower()
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        found, known = [], self.known
-        for word in set(text.split()):
-            value = known.get(word)
-            if value is None:
-                value = known[word] = self.of_word(self.decoder.restore(word))
-            found.append(value)
-        for spaced in _SPACED.findall(text):
-            letters = spaced.replace(" ", "")
-            found += [self.of_word(piece) for piece in self.decoder.pieces(letters)]
+        if len(self.known) > REMEMBERED // 2:
+            self.known, self.before = {}, self.known
+        if self.size > REMEMBERED:
+            self.joined, self.size = {}, 0
+        found, short, known = [], {}, self.known
+        tokens = text.split()
+        for word in set(tokens):
+            held = known.get(word)
+            if held is None:
+                held = self.before.get(word)
+                if held is None:
+                    held = self.of_word(self.decoder.readings(word)), as_short(word)
+                known[word] = held
+            found.append(held[0])
+            if held[1]:
+                short[word] = held[1]
+        for run in spaced_runs(tokens, short) if short else ():
+            at = " ".join(run)
+            values = self.joined.get(at)
+            if values is None:
+                values = self.joined[at] = [self.of_word(readings) for readings in self.decoder.spaced(run)]
+                self.size += len(values)
+            found += values
         return found
 
 
@@ -231,8 +293,8 @@ def _figures(rows: DataFrame, counts, weights: dict[str, float], extra: str, ext
     def task(batches):
         counts, weights = held()
 
-        def weigh(word: str) -> float:
-            return max(weights.get(f, 0.0) for f in features(word))
+        def weigh(readings: list[str]) -> float:
+            return max(weights.get(f, 0.0) for word in readings for f in features(word))
 
         words = _Words(Decoder(counts), weigh)
         for batch in batches:
@@ -253,7 +315,7 @@ def _weights(rows: DataFrame, counts, share: float) -> dict[str, float]:
     held = shared(rows.sparkSession, counts)
 
     def task(batches):
-        words, sums = _Words(Decoder(held()), features), (Counter(), Counter())
+        words, sums = _Words(Decoder(held()), lambda readings: [f for word in readings for f in features(word)]), (Counter(), Counter())
 
         def out():
             names = list(set(sums[0]) | set(sums[1]))

@@ -222,11 +222,31 @@ def test_words_are_decoded_whole_at_any_length():
     assert found.restore("1" * 70 + "di0t") == "idiot"
     assert found.restore("-" * 300 + "s-t-u-p-1-d") == "stupid"
     assert found.restore("m@nners" * 30) == "manners" * 30
-    assert "idiot" in found.pieces("i" * 40 + "d" * 30 + "iot")
-    assert any(p.startswith("idiot") for p in found.pieces("idiot" + "x" * 30 + "y"))
+    assert ["idiot"] in found.pieces("i" * 40 + "d" * 30 + "iot")
+    assert any(p[-1].startswith("idiot") for p in found.pieces("idiot" + "x" * 30 + "y"))
     assert len(found.restore("a1" * 100_000)) >= 100_000
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "i d ! o t", "1 d i 0 t", "you i  d  i  o  t there", "i\td\ti\to\tt", "i\nd\ni\no\nt", "i d\u00a0i o t.", "ii d 1 oo t",
+        "i d !0 t", "iidiot", "idiiot", "idioot!", "i - d - i - o - t", "a i d ! o t a", "\"i d i o t\", they",
+    ],
+)
+def test_spacing_symbols_and_doubling_together(text):
+    words = toxicity._Words(decoder(), lambda readings: any("idiot" in toxicity.features(w) for w in readings))
+    assert any(words.of(text.encode()))
+
+
+def test_words_with_doubled_letters_keep_their_own_reading():
+    assert decoder().readings("summer")[0] == "summer"
+    assert decoder().readings("iidiot") == ["iidiot", "idiot"]
+    assert "stupid" in decoder().spaced(list("$tup1d"))[0]
+    tokens = "if it is to be of use , so i  d ! o t".split()
+    assert toxicity.spaced_runs(tokens, {t: p for t in tokens if (p := toxicity.as_short(t))}) == [list("id!ot")]
+
+
 # 5: token counts
 
 
