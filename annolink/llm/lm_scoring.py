@@ -5,15 +5,16 @@
 2. Each segment of the filter is built where its counts are. A pair with count c is stored
    under every level 1 .. 1 + log(c) / log(``BASE``); a probe asks for one level after the
    other until one is missing, and the last one found stands for the mean count of all that
-   have this level. The filter has a fixed size, ``SEGMENTS * SEGMENT_BITS`` bits (64 MB),
-   which bounds the broadcast. A segment that would be more than half full leaves out its
-   rarest pairs, whole counts at a time; as keys are spread evenly, all segments do so at the
-   same count. Counts and statistics themselves always cover all training documents.
+   have this level. A segment is divided by further bits of the key until no part is more than
+   half full, so the filter grows with what is counted and keeps every level of every key.
 3. The model mixes two estimates, p = w * c(h, t) / c(h) + (1 - w) * p(t), where p(t) is the
    smoothed share of the word that the base score uses as well. The weight w depends on the
-   size of c(h). It is the best of a grid on ``fit_rows`` training documents, each scored by
-   what the other documents have counted.
-4. All documents are scored in one pass with the filter and the ``frequent`` commonest words.
+   size of c(h). It is the best of a grid on all training documents (``fit_rows`` of them, if
+   given), each scored by what the other documents have counted.
+4. A filter of up to ``BROADCAST_PARTS`` parts (64 MB) is broadcast. A larger one stays where
+   it is: documents are packed in chunks, the keys of a chunk travel to the shards of the
+   filter (``SHARD_PARTS`` parts, 16 MB), and their levels travel back. Both ways give the same
+   scores. The ``frequent`` commonest words are broadcast with their exact counts.
    The base score needs exact counts: those of all other words are joined by the word's
    64-bit hash.
 
@@ -40,7 +41,8 @@ SEGMENTS, SEGMENT_BITS, PROBES = 1024, 1 << 19, 3
 BASE = math.sqrt(2)
 LEVELS = 128
 FREQUENT = 200_000
-FIT_ROWS = 4_000
+# Parts of SEGMENT_BITS that are broadcast at most, and that a task holds otherwise.
+BROADCAST_PARTS, SHARD_PARTS = 1024, 256
 # Tokens that are handled together.
 CHUNK = 200_000
 GRID = np.array([0, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95])
@@ -69,7 +71,10 @@ def places_of(keys: np.ndarray, level: np.ndarray | int) -> list[np.ndarray]:
 
 
 def segment_bits(keys: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """A filled segment; rarest keys are left out, a level at a time, if it gets too full."""
+    """A filled segment; rarest keys are left out, a level at a time, if it gets too full.
+
+    ``divided`` calls it for parts that are not too full only.
+    """
     most = int(SEGMENT_BITS * math.log(2) / PROBES)
     bits = np.zeros(SEGMENT_BITS, bool)
     inserted = np.cumsum(np.bincount(levels, minlength=LEVELS)[::-1] * np.arange(LEVELS)[::-1])[::-1]
@@ -81,15 +86,34 @@ def segment_bits(keys: np.ndarray, levels: np.ndarray) -> np.ndarray:
     return np.packbits(bits, bitorder="little")
 
 
+def divided(keys: np.ndarray, levels: np.ndarray) -> list[np.ndarray]:
+    """Filled parts of one segment, as many (a power of two) as keep every level of every key."""
+    most, depth = int(SEGMENT_BITS * math.log(2) / PROBES), 0
+    while True:
+        part = part_of(keys, np.full(SEGMENTS, depth)) % (1 << depth)
+        if np.bincount(part, levels, 1).max() <= most:
+            return [segment_bits(keys[part == k], levels[part == k]) for k in range(1 << depth)]
+        depth += 1
+
+
+def part_of(keys: np.ndarray, depths: np.ndarray) -> np.ndarray:
+    """The part of the filter a key belongs to, where segment s has 2 ** depths[s] parts."""
+    segment = segment_of(keys)
+    depth = depths[segment].astype(np.uint64)
+    first = np.r_[0, np.cumsum(1 << depths)[:-1]]
+    inside = (keys >> (np.uint64(54) - depth)) & ((np.uint64(1) << depth) - np.uint64(1))
+    return first[segment] + inside.astype(np.int64)
+
+
 class Filter:
-    """Counts of keys by repeated membership probes."""
+    """Counts of keys by repeated membership probes; ``bits`` are the parts from ``first`` on."""
 
-    def __init__(self, bits: np.ndarray, means: np.ndarray):
-        self.bits, self.means = bits, means
+    def __init__(self, bits: np.ndarray, means: np.ndarray, depths: np.ndarray, first: int = 0):
+        self.bits, self.means, self.depths, self.first = bits, means, depths, first
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         found = np.zeros(len(keys), np.int64)
-        active, base = np.arange(len(keys)), segment_of(keys) * SEGMENT_BITS
+        active, base = np.arange(len(keys)), (part_of(keys, self.depths) - self.first) * SEGMENT_BITS
         for level in range(1, LEVELS):
             own = keys[active]
             inside = np.ones(len(own), bool)
@@ -106,6 +130,16 @@ class Filter:
         return self.means[self.levels(keys)]
 
 
+class Answers:
+    """Counts of the keys of a chunk, whose levels were looked up elsewhere."""
+
+    def __init__(self, keys: np.ndarray, levels: np.ndarray, means: np.ndarray):
+        self.keys, self.found, self.means = keys, levels, means
+
+    def counts(self, keys: np.ndarray) -> np.ndarray:
+        return self.means[self.found[np.searchsorted(self.keys, keys)]]
+
+
 class Model:
     """Everything that scoring needs: filter, commonest words, totals and weights."""
 
@@ -114,6 +148,8 @@ class Model:
         self.filter, self.words, self.counts = held, words[order], counts[order].astype(np.float64)
         self.n_tokens, self.total = n_tokens, n_tokens + 0.5 * (n_words + 1)
         self.weights = np.zeros(BUCKETS)
+        # Parts of the filter as a table, if it is not broadcast.
+        self.table: DataFrame | None = None
 
     def exact(self, tokens: np.ndarray) -> np.ndarray:
         """Counts of the commonest words, -1 for others."""
@@ -211,7 +247,7 @@ def _grams(train: DataFrame) -> DataFrame:
 
 def _segments(counts: DataFrame) -> DataFrame:
     """Per segment its bits and sums by level, and a row for every word with its exact count."""
-    schema = "segment int, bits binary, level_n array<long>, level_sum array<long>, key long, n long"
+    schema = "segment int, part int, bits binary, level_n array<long>, level_sum array<long>, key long, n long"
 
     def task(batches):
         for part in groups(batches):
@@ -219,49 +255,159 @@ def _segments(counts: DataFrame) -> DataFrame:
             words = size == 1
             lists, count = pa.list_(pa.int64()), int(words.sum())
             yield pa.RecordBatch.from_arrays(
-                [*(pa.nulls(count, kind) for kind in (pa.int32(), pa.binary(), lists, lists)), pa.array(keys[words]), pa.array(n[words])],
-                ["segment", "bits", "level_n", "level_sum", "key", "n"],
+                [*(pa.nulls(count, kind) for kind in (pa.int32(), pa.int32(), pa.binary(), lists, lists)), pa.array(keys[words]), pa.array(n[words])],
+                ["segment", "part", "bits", "level_n", "level_sum", "key", "n"],
             )
             starts = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
             for start, end in zip(starts, np.r_[starts[1:], len(segment)], strict=True):
                 own, counted = keys[start:end].view(np.uint64), n[start:end]
                 levels = level_of(counted)
-                bits = segment_bits(own, levels).tobytes()
+                parts = divided(own, levels)
                 sums = [np.bincount(levels, weights, LEVELS).astype(np.int64).tolist() for weights in (None, counted)]
+                # Sums of the segment are in the row of its first part.
+                for k, bits in enumerate(parts):
+                    row = [int(segment[start]), k, bits.tobytes(), *(sums if k == 0 else ([], [])), None, None]
+                    kinds = (pa.int32(), pa.int32(), pa.binary(), lists, lists, pa.int64(), pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([v], kind) for v, kind in zip(row, kinds, strict=True)],
+                        ["segment", "part", "bits", "level_n", "level_sum", "key", "n"],
+                    )
+
+    return counts.sortWithinPartitions("segment").mapInArrow(task, schema)
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """(chunk, ids, flags, lengths, tokens) of (doc_id, text, held_out) rows, some documents a row."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def task(batches):
+        hashes = WordHash()
+        for batch in batches:
+            for own, tokens, document, _ in _chunks(batch.column(1), hashes):
+                ids, flags = (batch.column(i).take(pa.array(own)) for i in (0, 2))
+                ends = pa.array([0, len(own)], pa.int32())
+                lengths = pa.array(np.bincount(document, minlength=len(own)).astype(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([segment[start]], pa.int32()), pa.array([bits]), *(pa.array([s], pa.list_(pa.int64())) for s in sums), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())],
-                    ["segment", "bits", "level_n", "level_sum", "key", "n"],
+                    [*(pa.ListArray.from_arrays(ends, values) for values in (ids, flags, lengths)), pa.array([tokens.tobytes()], pa.binary())],
+                    ["ids", "flags", "lengths", "tokens"],
                 )
 
-    return counts.sortWithinPartitions("segment").mapInArrow(task, schema)
+    packed = docs.select("doc_id", "text", "held_out").mapInArrow(task, f"ids array<{kind}>, flags array<boolean>, lengths array<bigint>, tokens binary")
+    return stage(packed.withColumn("chunk", F.monotonically_increasing_id()))
+
+
+def _wanted(model: Model, tokens: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Keys of a chunk that the filter is asked for, in order."""
+    before = np.r_[START, tokens[:-1]]
+    before[firsts] = START
+    return np.unique(np.r_[tokens[model.exact(tokens) < 0], pair_keys(before, tokens)])
+
 
+def _unpacked(lengths, tokens) -> tuple:
+    lengths = np.asarray(lengths.values)
+    return np.frombuffer(tokens.as_buffer(), np.uint64), np.repeat(np.arange(len(lengths)), lengths), np.r_[0, np.cumsum(lengths)[:-1]]
 
-def _fit(train: DataFrame, held, fit_rows: int) -> np.ndarray:
+
+def _answered(packed: DataFrame, model: Model, held, shard_parts: int) -> DataFrame:
+    """Packed chunks with the levels of their keys, looked up in the shards of the filter."""
+    schema = "shard int, part int, chunk long, data binary"
+
+    def ask(batches):
+        model = held()
+        for batch in batches:
+            for chunk, lengths, tokens in zip(*batch.columns, strict=True):
+                tokens, _, firsts = _unpacked(lengths, tokens)
+                keys = _wanted(model, tokens, firsts)
+                shards, starts = np.unique(part_of(keys, model.filter.depths) // shard_parts, return_index=True)
+                data = [keys[i:j].tobytes() for i, j in zip(starts, [*starts[1:], len(keys)], strict=True)]
+                n = len(shards)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shards, pa.int32()), pa.array(np.zeros(n), pa.int32()), pa.array([chunk.as_py()] * n, pa.int64()), pa.array(data, pa.binary())],
+                    ["shard", "part", "chunk", "data"],
+                )
+
+    def answer(batches):
+        model, width, current, bits = held(), SEGMENT_BITS // 8, None, None
+        for batch in batches:
+            names, found = [], []
+            for shard, part, chunk, data in zip(*batch.columns, strict=True):
+                shard, part, chunk = shard.as_py(), part.as_py(), chunk.as_py()
+                if shard != current:
+                    current, bits = shard, np.zeros(shard_parts * width, np.uint8)
+                if chunk < 0:
+                    at = (part - shard * shard_parts) * width
+                    bits[at : at + width] = np.frombuffer(data.as_buffer(), np.uint8)
+                else:
+                    own = Filter(bits, model.filter.means, model.filter.depths, shard * shard_parts)
+                    names.append((chunk, shard))
+                    found.append(own.levels(np.frombuffer(data.as_buffer(), np.uint64)).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([c for c, _ in names], pa.int64()), pa.array([s for _, s in names], pa.int32()), pa.array(found, pa.binary())],
+                ["chunk", "shard", "levels"],
+            )
+
+    asked = packed.select("chunk", "lengths", "tokens").mapInArrow(ask, schema)
+    both = model.table.select(F.expr(f"cast(part div {shard_parts} as int)").alias("shard"), "part", F.lit(-1).cast("long").alias("chunk"), F.col("bits").alias("data"))
+    # Keys are hashes, so no shard is hot; a shard's parts come before its questions.
+    dealt = both.unionByName(asked).repartition("shard").sortWithinPartitions("shard", "chunk")
+    answers = dealt.mapInArrow(answer, "chunk long, shard int, levels binary")
+    lists = answers.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("shard", "levels"))).alias("answers"))
+    return packed.join(lists.hint("merge"), "chunk").select("ids", "lengths", "flags", "tokens", F.col("answers.levels").alias("levels"))
+
+
+def _loaded(batches, model: Model, packed: bool):
+    """(ids, flags, tokens, row of each token, first token of each row), some documents at a time.
+
+    The model's filter answers for these documents until the next ones are taken.
+    """
+    hashes = WordHash()
+    means = model.filter.means
+    for batch in batches:
+        if not packed:
+            for own, tokens, document, firsts in _chunks(batch.column(1), hashes):
+                yield *(batch.column(i).take(pa.array(own)) for i in (0, 2)), tokens, document, firsts
+            continue
+        for ids, lengths, flags, tokens, levels in zip(*batch.columns, strict=True):
+            tokens, document, firsts = _unpacked(lengths, tokens)
+            found = np.frombuffer(b"".join(levels.as_py()), np.uint8)
+            model.filter = Answers(_wanted(model, tokens, firsts), found, means)
+            yield ids.values, flags.values, tokens, document, firsts
+
+
+def _readable(docs: DataFrame, model: Model, held, shard_parts: int) -> DataFrame:
+    """What ``_loaded`` reads of (doc_id, text, held_out) rows."""
+    docs = docs.select("doc_id", "text", "held_out")
+    return docs if model.table is None else _answered(_packed(docs), model, held, shard_parts)
+
+
+def _fit(train: DataFrame, model: Model, held, fit_rows: int | None, shard_parts: int) -> np.ndarray:
     """The best weight per size of the context, over documents that are scored by the others."""
-    sample = train.orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id").limit(fit_rows)
-    sample = stage(sample.coalesce(1)).select(F.col("doc_id").alias("_fit")).distinct()
-    rows = train.join(F.broadcast(sample), F.col("doc_id") == F.col("_fit"), "left_semi").select("text")
+    rows = train.withColumn("held_out", F.lit(False))
+    if fit_rows is not None:
+        sample = train.orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id").limit(fit_rows)
+        sample = stage(sample.coalesce(1)).select(F.col("doc_id").alias("_fit")).distinct()
+        rows = rows.join(F.broadcast(sample), F.col("doc_id") == F.col("_fit"), "left_semi")
+    packed = model.table is not None
 
     def task(batches):
-        model, hashes = held(), WordHash()
+        model = held()
         total = np.zeros((BUCKETS, len(GRID)))
-        for batch in batches:
-            for _, tokens, document, firsts in _chunks(batch.column(0), hashes):
-                word, context, before, keys, pair = model.parts(tokens, model.exact(tokens), firsts)
-                own = []
-                for key in (tokens, before, keys):
-                    _, _, n, place = _summed(key, document)
-                    own.append(n[place])
-                word, context, pair = (np.maximum(c - o, 0) for c, o in zip((word, context, pair), own, strict=True))
-                share = (word + 0.5) / model.total
-                ratio = np.divide(np.minimum(pair, context), context, out=np.zeros(len(pair)), where=context > 0)
-                buckets = model.bucket(context)
-                for k, weight in enumerate(GRID):
-                    total[:, k] += np.bincount(buckets, np.log(weight * ratio + (1 - weight) * share) * (context > 0), BUCKETS)
+        for _, _, tokens, document, firsts in _loaded(batches, model, packed):
+            word, context, before, keys, pair = model.parts(tokens, model.exact(tokens), firsts)
+            own = []
+            for key in (tokens, before, keys):
+                _, _, n, place = _summed(key, document)
+                own.append(n[place])
+            word, context, pair = (np.maximum(c - o, 0) for c, o in zip((word, context, pair), own, strict=True))
+            share = (word + 0.5) / model.total
+            ratio = np.divide(np.minimum(pair, context), context, out=np.zeros(len(pair)), where=context > 0)
+            buckets = model.bucket(context)
+            for k, weight in enumerate(GRID):
+                total[:, k] += np.bincount(buckets, np.log(weight * ratio + (1 - weight) * share) * (context > 0), BUCKETS)
         at = np.arange(BUCKETS)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(list(total), pa.list_(pa.float64()))], ["bucket", "sums"])
 
-    found = rows.mapInArrow(task, "bucket long, sums array<double>")
+    found = _readable(rows, model, held, shard_parts).mapInArrow(task, "bucket long, sums array<double>")
     sums = found.select("bucket", F.posexplode("sums").alias("k", "s")).groupBy("bucket", "k").agg(F.sum("s").alias("s"))
     table = np.zeros((BUCKETS, len(GRID)))
     for bucket, k, value in sums.collect():  # BUCKETS * len(GRID) rows
@@ -269,7 +415,9 @@ def _fit(train: DataFrame, held, fit_rows: int) -> np.ndarray:
     return GRID[table.argmax(axis=1)]
 
 
-def train_model(train: DataFrame, frequent: int = FREQUENT, fit_rows: int = FIT_ROWS) -> tuple:
+def train_model(
+    train: DataFrame, frequent: int = FREQUENT, fit_rows: int | None = None, broadcast_parts: int = BROADCAST_PARTS, shard_parts: int = SHARD_PARTS
+) -> tuple:
     """The model of (doc_id, text) rows, its broadcast, and the exact counts (key, c) of all words.
 
     The broadcast is made once; weights are set where the model is used.
@@ -279,61 +427,73 @@ def train_model(train: DataFrame, frequent: int = FREQUENT, fit_rows: int = FIT_
     built = stage(_segments(summed.select("segment", "size", "key", "n")))
     words = built.where(F.col("key").isNotNull()).select("key", F.col("n").alias("c"))
     n_tokens, n_words = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    # SEGMENTS rows of SEGMENT_BITS / 8 bytes each.
-    parts = built.where(F.col("segment").isNotNull()).select("segment", "bits", "level_n", "level_sum").toArrow()
-    bits = np.zeros(SEGMENTS * SEGMENT_BITS // 8, np.uint8)
-    width = SEGMENT_BITS // 8
-    level_n, level_sum = np.zeros(LEVELS), np.zeros(LEVELS)
-    for segment, own, n, total in zip(*(parts.column(i) for i in range(4)), strict=True):
-        bits[segment.as_py() * width : (segment.as_py() + 1) * width] = np.frombuffer(own.as_buffer(), np.uint8)
-        level_n += np.asarray(n.values)
-        level_sum += np.asarray(total.values)
+    parts = built.where(F.col("segment").isNotNull())
+    depths, level_n, level_sum = np.zeros(SEGMENTS, np.int64), np.zeros(LEVELS), np.zeros(LEVELS)
+    # At most SEGMENTS rows.
+    sums = parts.groupBy("segment").agg(F.count("*").alias("n"), F.max("level_n").alias("level_n"), F.max("level_sum").alias("level_sum"))
+    for segment, n, counted, total in sums.toLocalIterator():
+        depths[segment] = n.bit_length() - 1
+        level_n += np.array(counted)
+        level_sum += np.array(total)
+    first = np.r_[0, np.cumsum(1 << depths)]
+    firsts = F.broadcast(spark.createDataFrame(list(zip(range(SEGMENTS), first[:-1].tolist(), strict=True)), "segment int, first int"))
+    parts = parts.join(firsts, "segment").select((F.col("first") + F.col("part")).alias("part"), "bits")
+    whole, bits = first[-1] <= broadcast_parts, None
+    if whole:
+        # At most broadcast_parts rows of SEGMENT_BITS / 8 bytes each.
+        width, held_parts = SEGMENT_BITS // 8, parts.toArrow()
+        bits = np.zeros(int(first[-1]) * width, np.uint8)
+        for part, own in zip(*held_parts.columns, strict=True):
+            bits[part.as_py() * width : (part.as_py() + 1) * width] = np.frombuffer(own.as_buffer(), np.uint8)
     means = np.divide(level_sum, level_n, out=BASE ** np.maximum(np.arange(LEVELS) - 0.5, 0), where=level_n > 0)
     means[0] = 0.0
     top = words.orderBy(F.desc("c"), "key").limit(frequent).toArrow()
-    model = Model(Filter(bits, means), top["key"].to_numpy().view(np.uint64), top["c"].to_numpy(), n_tokens, n_words)
+    model = Model(Filter(bits, means, depths), top["key"].to_numpy().view(np.uint64), top["c"].to_numpy(), n_tokens, n_words)
     held = shared(spark, model)
-    model.weights = _fit(train, held, fit_rows)
+    if not whole:
+        model.table = parts
+    model.weights = _fit(train, model, held, fit_rows, shard_parts)
     return model, held, words
 
 
-def lm_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, frequent: int = FREQUENT, fit_rows: int = FIT_ROWS) -> DataFrame:
+def lm_scores(
+    docs: DataFrame, folds: int = 5, held_out: int = 1, frequent: int = FREQUENT, fit_rows: int | None = None,
+    broadcast_parts: int = BROADCAST_PARTS, shard_parts: int = SHARD_PARTS,
+) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = texts(docs).select("doc_id", F.col("text").cast("binary"), (remainder(F.col("doc_id"), folds) == held_out).alias("held_out"))
-    model, held, words = train_model(rows.where(~F.col("held_out")).select("doc_id", "text"), frequent, fit_rows)
-    weights, total = model.weights, float(model.total)
+    model, held, words = train_model(rows.where(~F.col("held_out")).select("doc_id", "text"), frequent, fit_rows, broadcast_parts, shard_parts)
+    weights, total, packed = model.weights, float(model.total), model.table is not None
 
     def task(batches):
-        model, hashes = held(), WordHash()
+        model = held()
         model.weights = weights
         rest_kind = pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64())]))
-        for batch in batches:
-            for own, tokens, document, firsts in _chunks(batch.column(1), hashes):
-                exact = model.exact(tokens)
-                common, size = exact >= 0, len(own)
-                base = np.bincount(document, np.where(common, np.log10((exact.clip(0) + 0.5) / model.total), 0.0), size)
-                score = np.bincount(document, model.log10(tokens, exact, firsts), size)
-                rare = np.flatnonzero(~common)
-                key, of, n, _ = _summed(tokens[rare], document[rare])
-                ends = pa.array(np.r_[0, np.cumsum(np.bincount(of, minlength=size))], pa.int32())
-                rest = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"]))
-                take = pa.array(own)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(take),
-                        batch.column(2).take(take),
-                        pa.array(np.bincount(document, minlength=size).astype(np.int64)),
-                        pa.array(np.bincount(document, common, size).astype(np.int64)),
-                        pa.array(base),
-                        pa.array(score),
-                        rest.cast(rest_kind),
-                    ],
-                    ["doc_id", "held_out", "n_tokens", "common", "base", "score", "rest"],
-                )
+        for ids, flags, tokens, document, firsts in _loaded(batches, model, packed):
+            exact = model.exact(tokens)
+            common, size = exact >= 0, len(ids)
+            base = np.bincount(document, np.where(common, np.log10((exact.clip(0) + 0.5) / model.total), 0.0), size)
+            score = np.bincount(document, model.log10(tokens, exact, firsts), size)
+            rare = np.flatnonzero(~common)
+            key, of, n, _ = _summed(tokens[rare], document[rare])
+            ends = pa.array(np.r_[0, np.cumsum(np.bincount(of, minlength=size))], pa.int32())
+            rest = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    ids,
+                    flags,
+                    pa.array(np.bincount(document, minlength=size).astype(np.int64)),
+                    pa.array(np.bincount(document, common, size).astype(np.int64)),
+                    pa.array(base),
+                    pa.array(score),
+                    rest.cast(rest_kind),
+                ],
+                ["doc_id", "held_out", "n_tokens", "common", "base", "score", "rest"],
+            )
 
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, common long, base double, score double, rest array<struct<key:bigint,n:bigint>>"
-    scored = stage(rows.mapInArrow(task, schema).withColumn("row", F.monotonically_increasing_id()))
+    scored = stage(_readable(rows, model, held, shard_parts).mapInArrow(task, schema).withColumn("row", F.monotonically_increasing_id()))
     rest = scored.select("row", F.inline("rest")).join(words.hint("merge"), "key", "left")
     count = F.coalesce("c", F.lit(0))
     sums = rest.groupBy("row").agg(

@@ -73,6 +73,29 @@ def test_a_full_filter_leaves_out_the_rarest():
     assert all(bits[p[:1_000]].all() for p in lm_scoring.places_of(keys, 1))
 
 
+def test_a_segment_is_divided_until_it_keeps_every_level():
+    keys = lm_scoring.mix64(np.arange(400_000, dtype=np.uint64)) >> np.uint64(10) | np.uint64(7 << 54)
+    levels = lm_scoring.level_of(np.where(np.arange(400_000) < 1_000, 9, 1))
+    parts = lm_scoring.divided(keys, levels)
+    assert all(0 < np.unpackbits(p).mean() < 0.51 for p in parts)
+    depths = np.zeros(lm_scoring.SEGMENTS, np.int64)
+    depths[7] = len(parts).bit_length() - 1
+    held = lm_scoring.Filter(np.concatenate(parts), np.arange(lm_scoring.LEVELS), depths, first=7)
+    assert len(parts) == 1 << depths[7] and (held.levels(keys) >= levels).all()
+    assert (held.levels(keys) == levels).mean() > 0.8
+
+
+def test_a_filter_in_shards_gives_the_same_scores(documents, odd_rows):
+    docs = documents(odd_rows + [(100 + i, prose(i, 30, 20)) for i in range(60)])
+    at_once = lm_scoring.lm_scores(docs, frequent=50).collect()
+    in_shards = lm_scoring.lm_scores(docs, frequent=50, broadcast_parts=0, shard_parts=100).collect()
+
+    def rows(found):
+        return sorted((str(tuple(r)[:5]), round(r.base_score, 6), round(r.score, 6)) for r in found)
+
+    assert rows(at_once) == rows(in_shards)
+
+
 def test_lm_scores_of_nothing(documents):
     assert lm_scoring.lm_scores(documents([])).count() == 0
 
