@@ -9,16 +9,19 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from annolink.llm import (
+    bpe,
     decontaminate,
     exact_dedup,
     html_extraction,
     lm_scoring,
+    merkle_manifest,
     mixing,
     near_dedup,
     quality,
     substring_dedup,
     token_counts,
     toxicity,
+    vector_codes,
 )
 from annolink.llm.common import table
 from annolink.llm.oracle import ORACLE as _ORACLE
@@ -87,6 +90,53 @@ def op10_mixing(spark, sf):
     return mixing.mix(table(spark, sf, "documents"))
 
 
+@_query
+def op11_vector_codes(spark, sf):
+    coded, books = vector_codes.vector_codes(table(spark, sf, "embeddings"))
+    return vector_codes.with_label_errors(coded).select(
+        F.col("id").alias("vec_id"),
+        vector_codes.code_text(F.col("codes")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(vector_codes.codebooks_digest(books)).alias("codebooks_sha256"),
+    )
+
+
+@_query
+def op12_merkle_manifest(spark, sf):
+    docs = table(spark, sf, "documents")
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    lower = F.translate("text", letters, letters.lower())
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    values = [lower if c == "text" else F.col(c) for c in merkle_manifest.COLUMNS]
+    tampered = F.when(hit, merkle_manifest.leaf_digest(values))
+    tree = merkle_manifest.manifest(docs, carry={"tampered": tampered})
+    tree = tree.withColumn("folded_root", merkle_manifest.folded(F.coalesce("tampered", "leaf"), F.col("path")))
+    return tree.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle_manifest.digest(merkle_manifest.siblings(F.col("path"))).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+@_query
+def op13_bpe(spark, sf):
+    import public_tokenizers
+
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    decoded = bpe.decode(bpe.encode(table(spark, sf, "documents"), tokenizer), tokenizer)
+    return decoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 @_query
 def pipeline(spark, sf):
     return corpus_pipeline.run(spark, sf)
