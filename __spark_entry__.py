@@ -17,6 +17,7 @@ from annolink.operators import (
     clean,
     combine,
     evaluate,
+    factorised,
     label,
     publications,
     rules,
@@ -227,6 +228,29 @@ def search_columns(spark, sf):
     return clean.with_search_columns(wide)
 
 
+@_query
+def combination_counts(spark, sf):
+    """Rows of the combined table per document, none of them written out."""
+    return factorised.combination_counts(combine.factorised_kinds(s.kept(spark, sf)))
+
+
+@_query
+def combinations_of_entries(spark, sf):
+    """In how many rows of the labelled wide table each entity takes part."""
+    cells = combine.factorised_labels(s.kept(spark, sf), s.entity_labels(spark, sf))
+    return factorised.entry_counts(cells, list(KINDS), "entity_id")
+
+
+@_query
+def wide_rows_found(spark, sf):
+    """Rows of the wide table by search copies: filtered as lists, then written out."""
+    cells = combine.factorised_labels(s.kept(spark, sf), s.entity_labels(spark, sf))
+    cells = combine.with_search_fields(cells)
+    cells = factorised.keep_entries(cells, list(KINDS), "terms_do", lambda e: e["search"].startswith("promo"))
+    cells = factorised.keep_entries(cells, list(KINDS), "terms_go", lambda e: e["score"] >= 25)
+    return combine.wide_with_search(cells)
+
+
 @_query
 def publication_attributes(spark, sf):
     return publications.publications(s.kept(spark, sf).select("doc_id"), s.dims(spark, sf))
@@ -253,7 +277,20 @@ def entity_frequency(spark, sf):
 @_query
 def entity_lists(spark, sf):
     lists = publications.entity_lists(stage(s.labelled(spark, sf)))
-    return publications.encode_lists(lists).drop("part")
+    return publications.encode_lists(lists)
+
+
+@_query
+def ranked_entries(spark, sf):
+    """The lists as one row per entry, with its rank."""
+    return publications.ranked_entries(s.labelled(spark, sf))
+
+
+@_query
+def entity_list_parts(spark, sf):
+    """The lists in parts of one entry per kind: the second part and the following ones."""
+    entries = publications.ranked_entries(s.labelled(spark, sf))
+    return publications.encode_lists(publications.list_parts(entries, first=1, part_entries=1))
 
 
 @_query
@@ -262,9 +299,7 @@ def publication_table(spark, sf):
     mentions = stage(s.kept(spark, sf))
     facts_table = stage(label.label(mentions, s.entity_labels(spark, sf)))
     pubs = publications.publications(mentions.select("doc_id"), s.dims(spark, sf))
-    return publications.encode_lists(
-        publications.with_entity_lists(pubs, facts_table)
-    ).drop("part")
+    return publications.encode_lists(publications.with_entity_lists(pubs, facts_table))
 
 
 @_query
@@ -625,20 +660,36 @@ def build_corpus(spark, sf):
         s.entity_labels(spark, sf),
         s.dims(spark, sf),
     )
-    return publications.encode_lists(tables["publications"]).drop("part")
+    return publications.encode_lists(tables["publications"])
 
 
-@_query
-def build_wide(spark, sf):
+def _wide(spark, sf) -> dict[str, DataFrame]:
     return jobs.build_wide(
         s.mentions_raw(spark, sf),
         s.species_dictionary(spark, sf),
         s.taxonomy(spark, sf),
         s.entity_labels(spark, sf),
+        s.dims(spark, sf),
         search_columns=True,
     )
 
 
+@_query
+def build_wide(spark, sf):
+    return _wide(spark, sf)["wide"]
+
+
+@_query
+def build_wide_publications(spark, sf):
+    return _wide(spark, sf)["publications"]
+
+
+@_query
+def build_wide_counts(spark, sf):
+    """Rows of the denormalised table per document, none of them written out."""
+    return factorised.combination_counts(_wide(spark, sf)["cells"])
+
+
 @_query
 def mine_rules(spark, sf):
     genes = clean.for_taxon(readers.split_gene_taxon(s.gene_taxon(spark, sf)), "2")

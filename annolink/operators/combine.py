@@ -8,118 +8,55 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annolink.fixed_values import KINDS
-from annolink.operators.skew import HOT_ROWS, hot_keys, number_copies
-from annolink.unions import append
+from annolink.operators.clean import search_copy
+from annolink.operators.factorised import expand, factorise, with_entry_field
+from annolink.operators.skew import HOT_ROWS
 
-# A hot document is spread over GRID x GRID tasks in each join.
-GRID = 8
+LABELLED = (("name", "name"), ("entity_id", "id"), ("score", "score"))
 
 
-def combine(
-    rows: DataFrame,
-    kinds: Sequence[str],
-    fields: Sequence[str],
-    hot_rows: int | None = HOT_ROWS,
-) -> DataFrame:
-    """One row per document and combination of its entries, one struct column per kind.
-
-    ``rows`` holds (kind, doc_id, *fields, alive). A kind that a document lacks gives NULL.
-    A document is dropped when it has entries of a kind and none of them is alive; dead
-    entries never appear.
-    """
-    hot = hot_keys(rows, "doc_id", hot_rows)
-    if hot is None:
-        return _by_lists(rows, kinds, fields)
-    keys = hot.select("doc_id")
-    ordinary = _by_lists(rows.join(keys, "doc_id", "left_anti"), kinds, fields)
-    return append(ordinary, combine_hot(rows.join(keys, "doc_id", "left_semi"), kinds, fields))
-
-
-def _by_lists(rows, kinds, fields) -> DataFrame:
-    # One shuffle: gather the lists of a document, then unfold them next to each other.
-    # Collecting does not shrink the rows, so they are shuffled before it, not after.
-    entry = F.struct(*fields)
-    lists = rows.repartition("doc_id").groupBy("doc_id").agg(
-        *[F.collect_list(F.when((F.col("kind") == k) & F.col("alive"), entry)).alias(k) for k in kinds],
-        *[F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{k}") for k in kinds],
-    )
-    for k in kinds:
-        lists = lists.where((F.size(k) > 0) | (F.col(f"n_{k}") == 0))
-    lists = lists.select("doc_id", *kinds)
-    for k in kinds:
-        lists = lists.withColumn(k, F.explode_outer(k))
-    return lists
-
-
-def combine_hot(
-    rows: DataFrame, kinds: Sequence[str], fields: Sequence[str], required: bool = False
-) -> DataFrame:
-    """``combine`` for documents that are too large for one task.
-
-    Inner joins on a grid of salts; documents without a kind get one empty entry of it,
-    which makes the inner joins complete, or are dropped when all kinds are ``required``.
-    """
-    counts = rows.groupBy("doc_id").agg(
-        *[F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{k}") for k in kinds],
-        *[F.count(F.when((F.col("kind") == k) & F.col("alive"), 1)).alias(f"a_{k}") for k in kinds],
-    )
-    for k in kinds:
-        n, alive = F.col(f"n_{k}"), F.col(f"a_{k}")
-        counts = counts.where(alive > 0 if required else (n == 0) | (alive > 0))
-    alive_rows = rows.where("alive").drop("alive").join(counts.select("doc_id"), "doc_id", "left_semi")
-    numbered = number_copies(alive_rows)
-    wide = None
-    for k in kinds:
-        side = numbered.where(F.col("kind") == k).select(
-            "doc_id", F.struct(*fields).alias(k), F.col("copy").alias(f"copy_{k}")
-        )
-        empty = F.lit(None).cast(side.schema[k].dataType).alias(k)
-        side = append(
-            side,
-            counts.where(F.col(f"n_{k}") == 0).select(
-                "doc_id", empty, F.lit(0).cast("long").alias(f"copy_{k}")
-            ),
-        )
-        if wide is None:
-            wide = side
-            continue
-        salt = F.sequence(F.lit(0), F.lit(GRID - 1))
-        left = wide.withColumn("i", F.pmod(F.xxhash64(*wide.columns), F.lit(GRID)).cast("int"))
-        left = left.withColumn("j", F.explode(salt))
-        right = side.withColumn("j", F.pmod(F.xxhash64(*side.columns), F.lit(GRID)).cast("int"))
-        right = right.withColumn("i", F.explode(salt))
-        wide = left.join(right, ["doc_id", "i", "j"]).drop("i", "j")
-    return wide.select("doc_id", *kinds)
-
-
-def _spread(wide: DataFrame, fields: Sequence[tuple[str, str]]) -> DataFrame:
+def spread(wide: DataFrame, fields: Sequence[tuple[str, str]], kinds: Sequence[str] = tuple(KINDS)) -> DataFrame:
+    """The fields of each kind's entry as columns named after the kind."""
     return wide.select(
         "doc_id",
-        *[
-            F.col(kind)[field].alias(f"{short}_{label}")
-            for kind, short in KINDS.items()
-            for field, label in fields
-        ],
+        *[F.col(kind)[field].alias(f"{KINDS[kind]}_{label}") for kind in kinds for field, label in fields],
     )
 
 
 def combine_kinds(mentions: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Eleven columns: document, then id and score of each of the five kinds."""
+    return spread(expand(factorised_kinds(mentions, hot_rows), list(KINDS)), [("entity_id", "id"), ("score", "score")])
+
+
+def factorised_kinds(mentions: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """``combine_kinds`` before it is written out: cells of lists of (entity_id, score)."""
     rows = mentions.select("kind", "doc_id", "entity_id", "score", F.lit(True).alias("alive"))
-    wide = combine(rows, list(KINDS), ["entity_id", "score"], hot_rows=hot_rows)
-    return _spread(wide, [("entity_id", "id"), ("score", "score")])
+    return factorise(rows, list(KINDS), ["entity_id", "score"], hot_rows)
 
 
-def label_wide(
-    mentions: DataFrame, labels: DataFrame, hot_rows: int | None = HOT_ROWS
-) -> DataFrame:
+def label_wide(mentions: DataFrame, labels: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Sixteen columns: document, then name, id and score of each of the five kinds.
 
     Same rows as labelling the combined table and dropping every row with an unlabelled
     id, but the labels are joined before the rows multiply.
     """
+    return spread(expand(factorised_labels(mentions, labels, hot_rows), list(KINDS)), LABELLED)
+
+
+def factorised_labels(mentions: DataFrame, labels: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """``label_wide`` before it is written out: cells of lists of (name, entity_id, score)."""
     named = mentions.join(labels, ["entity_id", "kind"], "left")
     alive = F.col("entity_id").isNull() | F.col("name").isNotNull()
     rows = named.select("kind", "doc_id", "name", "entity_id", "score", alive.alias("alive"))
-    wide = combine(rows, list(KINDS), ["name", "entity_id", "score"], hot_rows=hot_rows)
-    return _spread(wide, [("name", "name"), ("entity_id", "id"), ("score", "score")])
+    return factorise(rows, list(KINDS), ["name", "entity_id", "score"], hot_rows)
+
+
+def with_search_fields(cells: DataFrame) -> DataFrame:
+    """Search copies of all names of factorised rows."""
+    return with_entry_field(cells, list(KINDS), "search", lambda e: search_copy(e["name"]))
+
+
+def wide_with_search(cells: DataFrame) -> DataFrame:
+    """Twenty-one columns from cells with search copies; a missing kind has a blank copy."""
+    wide = spread(expand(cells, list(KINDS)), LABELLED + (("search", "search"),))
+    return wide.withColumns({f"{s}_search": F.coalesce(f"{s}_search", F.lit("")) for s in KINDS.values()})

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annolink.fixed_values import KINDS
 from annolink.functions.lists import decode_list, encode_list
 from annolink.functions.scalar import link_out, score_band
-from annolink.operators.combine import combine_hot
+from annolink.operators.factorised import expand, factorise
 from annolink.operators.skew import HOT_ROWS, hot_keys, number_copies, with_position
 from annolink.unions import append
 
@@ -48,7 +48,7 @@ def publications(
     ]
     rows = append(*rows).join(keys, "doc_id", "left_semi").distinct()
     rows = rows.join(listed, "doc_id", "left_semi").withColumn("alive", F.lit(True))
-    wide = combine_hot(rows, list(dims), ["value"], required=how == "inner")
+    wide = expand(factorise(rows, list(dims), ["value"], hot_rows, required=how == "inner"), list(dims))
     wide = wide.select("doc_id", *[F.col(n)["value"].alias(n) for n in dims])
     return append(_attach(listed.join(keys, "doc_id", "left_anti"), ordinary, how), wide)
 
@@ -59,30 +59,74 @@ def _attach(docs: DataFrame, attributes: dict[str, DataFrame], how: str) -> Data
     return docs
 
 
+def ranked_entries(facts: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """The base form of the entity lists: (doc_id, kind, rank, name, entity_id, score), one row per entry.
+
+    Ranks count from 0 in each list: highest score first, then name, then id. Entries of hot documents
+    are ranked by a range sort over many tasks, so a list may have any length.
+    """
+    rows = facts.select("kind", "doc_id", "name", "entity_id", "score")
+    columns = ["doc_id", "kind", "rank", "name", "entity_id", "score"]
+    order = Window.partitionBy("doc_id", "kind").orderBy(F.desc("score"), "name", "entity_id")
+    rank = (F.row_number().over(order) - 1).cast("long")
+
+    def by_window(part: DataFrame) -> DataFrame:
+        return part.repartition("doc_id").withColumn("rank", rank).select(*columns)
+
+    hot = hot_keys(rows, "doc_id", hot_rows)
+    if hot is None:
+        return by_window(rows)
+    keys = hot.select("doc_id")
+    ranked = _ranked_by_range(rows.join(keys, "doc_id", "left_semi"))
+    return append(by_window(rows.join(keys, "doc_id", "left_anti")), ranked.select(*columns))
+
+
+def _ranked_by_range(entries: DataFrame) -> DataFrame:
+    numbered = with_position(number_copies(entries), "doc_id", "kind", F.desc("score"), "name", "entity_id", "copy")
+    # One row per hot document and kind.
+    starts = numbered.groupBy("doc_id", "kind").agg(F.min("position").alias("_start"))
+    return numbered.join(starts, ["doc_id", "kind"]).withColumn("rank", F.col("position") - F.col("_start"))
+
+
+def list_parts(
+    entries: DataFrame, first: int = 0, last: int | None = None, part_entries: int = HOT_ROWS
+) -> DataFrame:
+    """Lists as a view of ranked entries: (doc_id, part, five lists) of parts ``first`` to ``last``.
+
+    Part p of a document holds the entries of rank p * part_entries and following of each kind. Where
+    ``entries`` is a written table, the bounds on the rank are pushed to its scan.
+    """
+    rows = entries.where(F.col("rank") >= first * part_entries)
+    if last is not None:
+        rows = rows.where(F.col("rank") < (last + 1) * part_entries)
+    part = F.floor(F.col("rank") / part_entries).cast("int").alias("part")
+    entry = F.struct("rank", "name", "entity_id", "score")
+    gathered = rows.select("doc_id", "kind", part, entry.alias("entry")).repartition("doc_id", "part").groupBy("doc_id", "part").agg(
+        *[F.collect_list(F.when(F.col("kind") == k, F.col("entry"))).alias(k) for k in KINDS]
+    )
+    plain = {
+        k: F.transform(F.sort_array(k), lambda e: F.struct(e["name"], e["entity_id"], e["score"])) for k in KINDS
+    }
+    return gathered.select("doc_id", "part", *[c.alias(n) for n, c in plain.items()])
+
+
 def gather(
     rows: DataFrame, lists: dict[str, Column], part_entries: int | None = HOT_ROWS
 ) -> DataFrame:
     """Lists of (name, entity_id, score) per document: highest score first, then name, id.
 
-    The key is (doc_id, part): part p of a document holds the entries p * part_entries and
-    following of each kind, so every document has a part 0 and most have no other. Entries
-    of larger documents are numbered by a range sort over many tasks; no task or cell holds
-    all of them, and the parts do not depend on the partitioning.
+    The key is (doc_id, part), as in ``list_parts``; every document has a part 0 and most have no
+    other. Documents with ``part_entries`` entries at most are gathered at once, without ranks;
+    larger ones by their ranked entries. Both give the same rows.
     """
     hot = hot_keys(rows, "doc_id", part_entries)
     if hot is None:
         return _gather(rows, lists).withColumn("part", F.lit(0))
     keys = hot.select("doc_id")
     ordinary = _gather(rows.join(keys, "doc_id", "left_anti"), lists)
-    order = ["doc_id", "kind", F.desc("score"), "name", "entity_id", "copy"]
-    entries = rows.join(keys, "doc_id", "left_semi")
-    entries = number_copies(entries.select("kind", "doc_id", "name", "entity_id", "score"))
-    numbered = with_position(entries, *order)
-    # One row per hot document and kind.
-    starts = numbered.groupBy("doc_id", "kind").agg(F.min("position").alias("_start"))
-    rank = F.col("position") - F.col("_start")
-    part = F.floor(rank / F.lit(part_entries)).cast("int").alias("part")
-    stretches = numbered.join(starts, ["doc_id", "kind"]).select("kind", "doc_id", "name", "entity_id", "score", part)
+    entries = rows.join(keys, "doc_id", "left_semi").select("kind", "doc_id", "name", "entity_id", "score")
+    part = F.floor(F.col("rank") / F.lit(part_entries)).cast("int").alias("part")
+    stretches = _ranked_by_range(entries).select("kind", "doc_id", "name", "entity_id", "score", part)
     return append(ordinary.withColumn("part", F.lit(0)), _gather(stretches, lists, "part"))
 
 
@@ -124,20 +168,26 @@ def encode_lists(pubs: DataFrame) -> DataFrame:
     return pubs.withColumns({k: encode_list(F.col(k)) for k in KINDS})
 
 
-def decode_lists(pubs: DataFrame, selected: list[tuple[str, str]] | None = None) -> DataFrame:
+def decode_lists(
+    pubs: DataFrame, selected: list[tuple[str, str]] | None = None, part_entries: int = HOT_ROWS
+) -> DataFrame:
     """One row per list entry of encoded publications, with band, link and selection flag.
 
-    ``selected`` holds (kind, name or id) pairs chosen in a query.
+    ``selected`` holds (kind, name or id) pairs chosen in a query. ``rank`` counts through all parts
+    of a document; ``part_entries`` is what the lists were made with.
     """
+    part = F.col("part") if "part" in pubs.columns else F.lit(0)
     kinds = F.explode(
         F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("text")) for k in KINDS])
     )
-    entries = pubs.select("doc_id", kinds.alias("list")).select(
+    entries = pubs.select("doc_id", part.alias("part"), kinds.alias("list")).select(
         "doc_id",
+        "part",
         F.col("list.kind").alias("kind"),
-        F.posexplode(decode_list(F.col("list.text"))).alias("rank", "entity"),
+        F.posexplode(decode_list(F.col("list.text"))).alias("place", "entity"),
     )
-    rows = entries.select("doc_id", "kind", "rank", "entity.*")
+    rank = (F.col("part").cast("long") * part_entries + F.col("place")).alias("rank")
+    rows = entries.select("doc_id", "kind", rank, "entity.*")
     chosen = reduce(
         Column.__or__,
         [

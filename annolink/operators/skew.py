@@ -23,11 +23,13 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int | None = HOT_ROWS) -> DataFr
     """Keys with more than ``hot_rows`` rows and their count, or None if there are none.
 
     The question is put to the data at once, because the plan depends on the answer: it
-    reads the key column only. Pass None where the caller knows that no key is hot.
+    reads the key column only, once, as the answer is written. Pass None where the caller
+    knows that no key is hot.
     """
     if hot_rows is None:
         return None
-    hot = df.groupBy(key).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > hot_rows)
+    counts = df.groupBy(key).agg(F.count("*").alias("n_rows"))
+    hot = stage(counts.where(F.col("n_rows") > hot_rows))
     return None if hot.isEmpty() else hot
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annolink.fixed_values import MIN_CONFIDENCE, MIN_SUPPORT, SCORE_CUT, TOP_N
+from annolink.fixed_values import KINDS, MIN_CONFIDENCE, MIN_SUPPORT, SCORE_CUT, TOP_N
 from annolink.operators import clean, combine, evaluate, label, publications, rules, search, stats
+from annolink.operators.factorised import expand
 from annolink.sources.writers import REFUSE, write_corpus, write_lookup
 from annolink.staging import stage
 from annolink.unions import append
@@ -57,13 +58,25 @@ def build_wide(
     dictionary: DataFrame,
     taxonomy: DataFrame,
     labels: DataFrame,
+    dims: dict[str, DataFrame] | None = None,
     cut: int = SCORE_CUT,
     search_columns: bool = False,
-) -> DataFrame:
-    """The denormalised table: one row per document and combination of its entities."""
-    mentions = filtered_mentions(raw, dictionary, taxonomy, cut)
-    wide = combine.label_wide(mentions, label.readable_labels(labels))
-    return clean.with_search_columns(wide) if search_columns else wide
+    how: str = "inner",
+) -> dict[str, DataFrame]:
+    """Tables of the denormalised form: ``cells``, ``wide`` and, with ``dims``, ``publications``.
+
+    ``cells`` holds the rows of a document as the lists they are made of, ``wide`` writes them out:
+    one row per document and combination of its entities. Publications cover the documents
+    seen before labelling.
+    """
+    mentions = stage(filtered_mentions(raw, dictionary, taxonomy, cut))
+    cells = combine.factorised_labels(mentions, label.readable_labels(labels))
+    cells = stage(combine.with_search_fields(cells) if search_columns else cells)
+    wide = combine.wide_with_search(cells) if search_columns else combine.spread(expand(cells, list(KINDS)), combine.LABELLED)
+    tables = {"cells": cells, "wide": wide}
+    if dims is not None:
+        tables["publications"] = publications.publications(publications.document_ids(mentions), dims, how)
+    return tables
 
 
 def load_lookup(

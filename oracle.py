@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from annolink.fixed_values import GENE_IDS, LATIN_NAMES, SYMBOL_OVERRIDES
+from annolink.fixed_values import GENE_IDS, KINDS, LATIN_NAMES, SYMBOL_OVERRIDES
 
 # Inputs derived from the given tables; a text refers to them by name.
 VIEWS = {
@@ -94,6 +94,10 @@ VIEWS = {
         WHERE (gene_id IS NULL OR g.name IS NOT NULL) AND (species_id IS NULL OR s.name IS NOT NULL)
           AND (go_id IS NULL OR o.name IS NOT NULL) AND (do_id IS NULL OR d.name IS NOT NULL)
           AND (chebi_id IS NULL OR h.name IS NOT NULL)""",
+    "ranked": """
+        SELECT doc_id, kind, row_number() OVER (PARTITION BY doc_id, kind ORDER BY score DESC, name, entity_id) - 1 AS rank,
+               name, entity_id, score
+        FROM labelled""",
     "gold": "SELECT DISTINCT l_suppkey AS query_key, l_orderkey AS doc_id FROM lineitem WHERE l_returnflag = 'R'",
     "found": "SELECT DISTINCT l_suppkey AS query_key, l_orderkey AS doc_id FROM lineitem WHERE l_quantity >= 25",
     "counts": """
@@ -304,6 +308,13 @@ _BODIES = {
     "combine_kinds": "SELECT * FROM combined",
     "label_wide": "SELECT * FROM wide",
     "search_columns": f"SELECT *, {_SEARCH} FROM wide",
+    "combination_counts": "SELECT doc_id, cast(count(*) AS decimal(38, 0)) AS n_rows FROM combined GROUP BY doc_id",
+    "combinations_of_entries": "\nUNION ALL ".join(
+        f"SELECT '{kind}' AS kind, {s}_id AS entity_id, cast(count(*) AS decimal(38, 0)) AS n_rows FROM wide WHERE {s}_id IS NOT NULL GROUP BY {s}_id"
+        for kind, s in KINDS.items()
+    ),
+    "wide_rows_found": f"""
+        SELECT *, {_SEARCH} FROM wide WHERE starts_with(lower(do_name), 'promo') AND go_score >= 25""",
     "publication_attributes": "SELECT * FROM attributes WHERE doc_id IN (SELECT doc_id FROM kept)",
     "publication_attributes_left": """
         SELECT DISTINCT doc_id, pmid, doi, title, journal, year FROM (SELECT DISTINCT doc_id FROM kept)
@@ -314,14 +325,25 @@ _BODIES = {
         FROM (SELECT DISTINCT doi, 'a' AS a FROM result_a WHERE doi <> '')
         FULL JOIN (SELECT DISTINCT doi, 'b' AS b FROM result_b WHERE doi <> '') USING (doi)""",
     "entity_frequency": "SELECT kind, entity_id, count(*) AS n FROM labelled GROUP BY kind, entity_id",
-    "entity_lists": "SELECT * FROM list_table",
+    "entity_lists": "SELECT *, 0 AS part FROM list_table",
+    "ranked_entries": "SELECT * FROM ranked",
+    "entity_list_parts": """
+        SELECT doc_id, part,
+               coalesce(max(entry) FILTER (WHERE kind = 'genes'), '') AS genes,
+               coalesce(max(entry) FILTER (WHERE kind = 'species'), '') AS species,
+               coalesce(max(entry) FILTER (WHERE kind = 'terms_go'), '') AS terms_go,
+               coalesce(max(entry) FILTER (WHERE kind = 'terms_do'), '') AS terms_do,
+               coalesce(max(entry) FILTER (WHERE kind = 'terms_chebi'), '') AS terms_chebi
+        FROM (SELECT doc_id, cast(rank AS int) AS part, kind, concat(name, '@!@', entity_id, '@!@', cast(score AS string)) AS entry
+              FROM ranked WHERE rank >= 1)
+        GROUP BY doc_id, part""",
     "publication_table": """
         SELECT a.*, coalesce(genes, '') AS genes, coalesce(species, '') AS species, coalesce(terms_go, '') AS terms_go,
-               coalesce(terms_do, '') AS terms_do, coalesce(terms_chebi, '') AS terms_chebi
+               coalesce(terms_do, '') AS terms_do, coalesce(terms_chebi, '') AS terms_chebi, 0 AS part
         FROM attributes a LEFT JOIN list_table USING (doc_id) WHERE doc_id IN (SELECT doc_id FROM kept)""",
     "decode_lists": f"""
         SELECT doc_id, kind,
-               cast(row_number() OVER (PARTITION BY doc_id, kind ORDER BY score DESC, name, entity_id) - 1 AS int) AS rank,
+               row_number() OVER (PARTITION BY doc_id, kind ORDER BY score DESC, name, entity_id) - 1 AS rank,
                name, entity_id, score, {_BAND} AS band, {_LINKS} AS link,
                (kind = 'genes' AND name = 'small ring') OR (kind = 'terms_do' AND entity_id = 'DOID:12') AS is_selected
         FROM labelled""",
@@ -405,9 +427,11 @@ _BODIES = {
     "lookup_roundtrip": _GENE_PREFIX,
     "build_corpus": """
         SELECT a.*, coalesce(genes, '') AS genes, coalesce(species, '') AS species, coalesce(terms_go, '') AS terms_go,
-               coalesce(terms_do, '') AS terms_do, coalesce(terms_chebi, '') AS terms_chebi
+               coalesce(terms_do, '') AS terms_do, coalesce(terms_chebi, '') AS terms_chebi, 0 AS part
         FROM attributes a LEFT JOIN list_table USING (doc_id) WHERE doc_id IN (SELECT doc_id FROM kept)""",
     "build_wide": f"SELECT *, {_SEARCH} FROM wide",
+    "build_wide_publications": "SELECT * FROM attributes WHERE doc_id IN (SELECT doc_id FROM kept)",
+    "build_wide_counts": "SELECT doc_id, cast(count(*) AS decimal(38, 0)) AS n_rows FROM wide GROUP BY doc_id",
     "mine_rules": _rules("tx_entities", "0.3"),
     "strong_rules": f"SELECT * FROM ({_rules('tx_entities', '0.05')}) WHERE support >= 0.01",
     "evaluate_service": _metrics("service_counts"),
@@ -440,6 +464,10 @@ _JOB_VIEWS = {
 }
 
 
+for _name in ("build_wide_publications", "build_wide_counts"):
+    _JOB_VIEWS[_name] = _JOB_VIEWS["build_wide"]
+
+
 def _with_views(name: str, body: str) -> str:
     """The body with the views it needs, dependencies first."""
     views = {**VIEWS, **_JOB_VIEWS.get(name, {})}
