@@ -19,6 +19,7 @@ from annolink.operators import (
     evaluate,
     factorised,
     label,
+    postings,
     publications,
     rules,
     search,
@@ -497,7 +498,9 @@ def suggest_batch(spark, sf):
 
 
 def _found(spark, sf, clauses, **options):
-    facts_table = stage(s.facts(spark, sf))
+    # Only rows of the kinds that the clauses name are written and searched.
+    kinds = [search.COLUMNS[column][0] for column in clauses]
+    facts_table = stage(s.facts(spark, sf).where(F.col("kind").isin(kinds)))
     docs = search.matching_documents(facts_table, clauses)
     pubs = publications.publications(docs, s.prefixed_dims(spark, sf))
     return search.find_documents(facts_table, pubs, clauses, **options)
@@ -515,6 +518,40 @@ def find_documents_page(spark, sf):
     return _found(spark, sf, clauses, order_by_kind="terms_do", offset=25)
 
 
+def _index(spark, sf):
+    """An index of all facts and publications, written and read back."""
+    path = new_folder(spark, "index")
+    facts_table = s.facts(spark, sf)
+    pubs = publications.publications(facts_table.select("doc_id"), s.prefixed_dims(spark, sf))
+    jobs.load_index(facts_table, pubs, path)
+    return readers.read_index(spark, path)
+
+
+@_query
+def find_documents_indexed(spark, sf):
+    """The first page from posting bitmaps, with the five lists of its documents."""
+    clauses = {"go_name": ["small ring"], "do_name": ["PROMO"]}
+    page = postings.find_page(_index(spark, sf), clauses, order_by_kind="terms_do", not_empty="doi")
+    return publications.encode_lists(page)
+
+
+@_query
+def find_documents_seek(spark, sf):
+    """The second page, which begins after the last row of the first."""
+    index = _index(spark, sf)
+    clauses = {"go_name": ["small ring"], "do_name": ["PROMO"]}
+    last = postings.find_page(index, clauses, order_by_kind="terms_do").collect()[-1]
+    page = postings.find_page(index, clauses, order_by_kind="terms_do", after=(last["best_score"], last["doc_id"]))
+    return publications.encode_lists(page)
+
+
+@_query
+def index_postings(spark, sf):
+    """Numbers of documents per searchable value, from the bitmaps."""
+    words = _index(spark, sf).postings
+    return words.groupBy("attr", "value").agg(F.sum(F.bit_count("bits")).cast("long").alias("n"))
+
+
 @_query
 def documents_of(spark, sf):
     rows = search.documents_of(s.facts(spark, sf), ["12", "675"], "genes")

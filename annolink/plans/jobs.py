@@ -6,9 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annolink.fixed_values import KINDS, MIN_CONFIDENCE, MIN_SUPPORT, SCORE_CUT, TOP_N
-from annolink.operators import clean, combine, evaluate, label, publications, rules, search, stats
+from annolink.operators import (
+    clean,
+    combine,
+    evaluate,
+    label,
+    postings,
+    publications,
+    rules,
+    search,
+    stats,
+)
 from annolink.operators.factorised import expand
-from annolink.sources.writers import REFUSE, write_corpus, write_lookup
+from annolink.sources.writers import REFUSE, write_corpus, write_index, write_lookup
 from annolink.staging import stage
 from annolink.unions import append
 
@@ -87,6 +97,11 @@ def load_lookup(
     write_lookup(search.lookup_table(facts, strict_prefix), path, mode)
 
 
+def load_index(facts: DataFrame, pubs: DataFrame, path: str, mode: str = REFUSE) -> None:
+    """Facts and publications to the index that document queries are answered from."""
+    write_index(postings.index_tables(facts, pubs), path, mode)
+
+
 def release_stats(facts: DataFrame, strict_ids: bool = False) -> DataFrame:
     """Figures of a release: those of the corpus, then documents and entities of each kind."""
     own = stats.distinct_counts(facts)

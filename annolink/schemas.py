@@ -39,3 +39,21 @@ LOOKUP = T.StructType(
         for n in ("value", "doc_id", "name", "entity_id", "score", "value_lower", "prefix", "attr", "first")
     ]
 )
+
+
+def _table(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in columns.items()])
+
+
+# The tables of a document index whose columns are the same for every corpus.
+INDEX = {
+    "documents": _table(doc_id=T.StringType(), number=T.LongType()),
+    "postings": _table(
+        value=T.StringType(), word=T.LongType(), bits=T.LongType(), attr=T.StringType(), first=T.StringType()
+    ),
+    "scores": _table(score=T.IntegerType(), word=T.LongType(), bits=T.LongType(), kind=T.StringType()),
+    "entries": _table(
+        doc_id=T.StringType(), kind=T.StringType(), rank=T.LongType(),
+        name=T.StringType(), entity_id=T.StringType(), score=T.IntegerType(),
+    ),
+}

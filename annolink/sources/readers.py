@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from annolink import schemas
 from annolink.fixed_values import KINDS, PUBLICATION_ATTRIBUTES
+from annolink.operators.postings import Index
 from annolink.unions import append
 
 
@@ -116,3 +117,9 @@ def read_facts(spark: SparkSession, path: str) -> DataFrame:
 
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.LOOKUP).parquet(path)
+
+
+def read_index(spark: SparkSession, path: str) -> Index:
+    """A document index as written by ``write_index``; publications keep their own columns."""
+    tables = {n: spark.read.schema(t).parquet(f"{path}/{n}") for n, t in schemas.INDEX.items()}
+    return Index(publications=spark.read.parquet(f"{path}/publications"), **tables)

@@ -42,6 +42,23 @@ def write_lookup(lookup: DataFrame, path: str, mode: str = REFUSE) -> None:
     )
 
 
+def write_index(tables: dict[str, DataFrame], path: str, mode: str = REFUSE) -> None:
+    """Write the tables of a document index, each sorted by what queries look it up by.
+
+    Range partitioning includes the word, so a value or score of most documents fills many files.
+    """
+    layout = {
+        "documents": ((), ["number"]),
+        "postings": (("attr", "first"), ["attr", "first", "value", "word"]),
+        "scores": (("kind",), ["kind", "score", "word"]),
+        "publications": ((), ["doc_id"]),
+        "entries": ((), ["doc_id", "kind", "rank"]),
+    }
+    for name, (folders, order) in layout.items():
+        sorted_rows = tables[name].repartitionByRange(*order).sortWithinPartitions(*order)
+        sorted_rows.write.mode(mode).partitionBy(*folders).parquet(f"{path}/{name}")
+
+
 def export_tsv(
     df: DataFrame, path: str, readable_headers: bool = False, mode: str = REFUSE
 ) -> None:

@@ -73,6 +73,17 @@ VIEWS = {
                coalesce(max(entries) FILTER (WHERE kind = 'terms_do'), '') AS terms_do,
                coalesce(max(entries) FILTER (WHERE kind = 'terms_chebi'), '') AS terms_chebi
         FROM list_texts GROUP BY doc_id""",
+    "fact_texts": """
+        SELECT doc_id, kind, string_agg(concat(name, '@!@', entity_id, '@!@', cast(score AS string)), '#!#'
+                                        ORDER BY score DESC, name, entity_id) AS entries
+        FROM facts GROUP BY doc_id, kind""",
+    "fact_lists": """
+        SELECT doc_id, max(entries) FILTER (WHERE kind = 'genes') AS genes,
+               max(entries) FILTER (WHERE kind = 'species') AS species,
+               max(entries) FILTER (WHERE kind = 'terms_go') AS terms_go,
+               max(entries) FILTER (WHERE kind = 'terms_do') AS terms_do,
+               max(entries) FILTER (WHERE kind = 'terms_chebi') AS terms_chebi
+        FROM fact_texts GROUP BY doc_id""",
     "combined": """
         SELECT doc_id, gene_id, gene_score, species_id, species_score, go_id, go_score,
                do_id, do_score, chebi_id, chebi_score
@@ -237,6 +248,19 @@ def _find(hits: str, kind: str, offset: int) -> str:
         ORDER BY best_score DESC, m.doc_id LIMIT 25 OFFSET {offset}"""
 
 
+def _find_listed(hits: str, kind: str, offset: int, filled: str = "TRUE") -> str:
+    return f"""
+        SELECT m.doc_id, best_score, pmid, doi, title, journal, year, count(*) OVER () AS total,
+               coalesce(genes, '') AS genes, coalesce(species, '') AS species, coalesce(terms_go, '') AS terms_go,
+               coalesce(terms_do, '') AS terms_do, coalesce(terms_chebi, '') AS terms_chebi
+        FROM ({hits}) m
+        JOIN (SELECT doc_id, max(score) AS best_score FROM facts WHERE kind = '{kind}' GROUP BY doc_id) b ON b.doc_id = m.doc_id
+        JOIN attributes a ON concat('PMC', a.doc_id) = m.doc_id
+        LEFT JOIN fact_lists l ON l.doc_id = m.doc_id
+        WHERE {filled}
+        ORDER BY best_score DESC, m.doc_id LIMIT 25 OFFSET {offset}"""
+
+
 _LINKS = """CASE kind
     WHEN 'genes' THEN concat('http://www.ncbi.nlm.nih.gov/gene/', entity_id)
     WHEN 'species' THEN concat('http://www.ncbi.nlm.nih.gov/Taxonomy/Browser/wwwtax.cgi?mode=Info&id=', entity_id)
@@ -398,6 +422,18 @@ _BODIES = {
         QUALIFY row_number() OVER (PARTITION BY text, attr ORDER BY value) <= 5""",
     "find_documents": _find(_HITS_A, "genes", 0),
     "find_documents_page": _find(_HITS_B, "terms_do", 25),
+    "find_documents_indexed": _find_listed(_HITS_B, "terms_do", 0, "doi <> ''"),
+    "find_documents_seek": _find_listed(_HITS_B, "terms_do", 25),
+    "index_postings": """
+        SELECT attr, value, count(*) AS n FROM (
+            SELECT DISTINCT concat(short, '_name') AS attr, name AS value, doc_id FROM lookup
+            UNION ALL SELECT DISTINCT concat(short, '_id'), entity_id, doc_id FROM lookup
+            UNION ALL SELECT DISTINCT 'doc_id', doc_id, doc_id FROM facts
+            UNION ALL SELECT 'filled', k, concat('PMC', doc_id) FROM (
+                SELECT doc_id, unnest(['doc_id', 'pmid', 'doi', 'title', 'journal', 'year']) AS k,
+                       unnest([doc_id, pmid, doi, title, journal, year]) AS v FROM attributes) WHERE v <> '')
+        WHERE substr(doc_id, 4) IN (SELECT doc_id FROM attributes) AND doc_id IN (SELECT doc_id FROM facts)
+        GROUP BY attr, value""",
     "documents_of": """
         SELECT doc_id, string_agg(concat(name, '@!@', entity_id, '@!@', cast(score AS string)), '#!#'
                                   ORDER BY score DESC, name, entity_id) AS entities

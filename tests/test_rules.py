@@ -63,3 +63,37 @@ def test_strong_rules(spark):
     rules = association_rules(df, 0.0001, 0.95)
     assert [(r["lhs"], r["rhs"]) for r in strong_rules(rules, 0.2).collect()] == [("b", "a")]
     assert strong_rules(rules, 0.21).count() == 0
+
+
+def test_a_document_with_all_items_at_a_low_confidence(spark):
+    """400 items, one document has them all: no pairs of that document are looked at, none is lost."""
+    items = [f"i{j:03}" for j in range(400)]
+    tx = [("all", i) for i in items]
+    tx += [(f"d{j}_{k}", items[j]) for j in range(400) for k in range(6)]
+    tx += [(f"d{j}_{k}", items[(j + 1) % 400]) for j in range(0, 400, 10) for k in range(3)]
+    got = found(spark, tx, 0.0001, 0.3)
+    want = brute(tx, 0.0001, 0.3)
+    assert same(got, want) and len(want) == 80
+    made = rows_made(association_rules(spark.createDataFrame(tx, "doc_id string, item string"), 0.0001, 0.3))
+    assert made < 159_600 / 10
+
+
+def rows_made(df):
+    """The largest number of rows that a join of the plan gives, when it has run."""
+    df.collect()
+    plans, most = [df._jdf.queryExecution().executedPlan()], 0
+    while plans:
+        node = plans.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            node = node.executedPlan()
+            plans.append(node)
+            continue
+        metrics = node.metrics()
+        if "Join" in name and metrics.contains("numOutputRows"):
+            most = max(most, metrics.apply("numOutputRows").value())
+        children = node.children()
+        plans += [children.apply(i) for i in range(children.size())]
+        if name.endswith("QueryStage"):
+            plans.append(node.plan())
+    return most
