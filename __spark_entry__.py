@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import standins as s
-from annolink.fixed_values import KINDS, LATIN_NAMES
+from annolink.fixed_values import KINDS
 from annolink.functions import scalar
 from annolink.functions.lists import encode_list
 from annolink.operators import (
@@ -337,16 +338,57 @@ def release_stats(spark, sf):
     return jobs.release_stats(stage(s.labelled(spark, sf)))
 
 
+def _batches(spark, sf) -> DataFrame:
+    """Facts in batches of the documents' last digit."""
+    return s.facts(spark, sf).withColumn("batch", F.concat(F.lit("b"), F.substr("doc_id", F.lit(-1))))
+
+
+@_query
+def batches_replaced(spark, sf):
+    """All batches written, then two of them again: one with fewer kinds, one without any facts."""
+    path = new_folder(spark, "batches")
+    rows = stage(_batches(spark, sf))
+    writers.write_batches(rows, path)
+    again = rows.where((F.col("batch") == "b1") & (F.col("kind") != "genes"))
+    writers.write_batches(again, path, ["b1", "b2"])
+    return readers.read_batches(spark, path)
+
+
+@_query
+def batch_list(spark, sf):
+    path = new_folder(spark, "batches")
+    rows = stage(_batches(spark, sf))
+    writers.write_batches(rows, path)
+    writers.write_batches(rows.where(F.col("batch") == "b1"), path, ["b2"])
+    return readers.read_batch_list(spark, path)
+
+
+@_query
+def sketched_stats(spark, sf):
+    """Whether the figures united from the batches' sketches are within 4 % of the exact ones."""
+    rows = stage(_batches(spark, sf))
+    sketches = stage(stats.batch_sketches(rows))
+    exact = stats.corpus_stats(rows).withColumnRenamed("value", "exact")
+    close = F.abs(F.col("value") - F.col("exact")) <= 0.04 * F.col("exact")
+    return stats.sketched_stats(sketches).join(exact, "figure").select("figure", close.alias("close"))
+
+
+@_query
+def publication_table_colocated(spark, sf):
+    """The central product from tables bucketed by document: nothing is shuffled once they are written."""
+    mentions = stage(s.kept(spark, sf))
+    tables = {"facts": label.label(mentions, s.entity_labels(spark, sf)), "docs": publications.document_ids(mentions)}
+    dims = s.dims(spark, sf)
+    prefix = f"colocated_{uuid.uuid4().hex}"
+    held = writers.write_colocated({**tables, **dims}, prefix, spark.sparkContext.defaultParallelism)
+    pubs = publications.colocated_publications(held["docs"], {n: held[n] for n in dims}, held["facts"])
+    return publications.encode_lists(pubs)
+
+
 @_query
 def evaluation_terms(spark, sf):
     """How the services are asked for genes and species, which the suppliers stand for."""
-    genes = F.array(*[F.lit(g) for g in ("BRCA2", "Myc", "APC", "DCC")])
-    species = F.array(*[F.lit(name) for name, _, _ in LATIN_NAMES], F.lit("other"))
-    rows = s.table(spark, sf, "supplier").select(
-        "s_suppkey",
-        F.get(genes, (F.col("s_suppkey") % 4).cast("int")).alias("gene"),
-        F.get(species, (F.col("s_nationkey") % 5).cast("int")).alias("species"),
-    )
+    rows = s.gene_requests(spark, sf).withColumnRenamed("query_key", "s_suppkey")
     return evaluate.with_query_terms(rows)
 
 
@@ -701,7 +743,7 @@ def build_corpus(spark, sf):
 
 
 def _wide(spark, sf) -> dict[str, DataFrame]:
-    return jobs.build_wide(
+    return jobs.build_wide_tables(
         s.mentions_raw(spark, sf),
         s.species_dictionary(spark, sf),
         s.taxonomy(spark, sf),
@@ -764,8 +806,35 @@ def evaluate_service(spark, sf):
     )
 
 
+@_query
+def evaluate_genes(spark, sf):
+    """Genes asked for by symbol and species: recoded to ids, looked up, and measured."""
+    published = (
+        s.gold(spark, sf)
+        .join(s.table(spark, sf, "orders").withColumnRenamed("o_orderkey", "doc_id"), "doc_id")
+        .select("query_key", scalar.with_id_prefix(F.col("doc_id").cast("string")).alias("doc_id"), F.col("o_orderdate").alias("date"))
+    )
+    open_access = s.table(spark, sf, "orders").where(F.col("o_orderstatus") != "P")
+    open_access = open_access.select(scalar.with_id_prefix(F.col("o_orderkey").cast("string")).alias("doc_id"))
+    return jobs.evaluate_service(published, "2000-08-15", open_access, s.facts(spark, sf), s.gene_requests(spark, sf))
+
+
+def _compared(spark, sf) -> dict[str, DataFrame]:
+    a, b = s.results(spark, sf)
+    return jobs.compare_services(a, b, 1993, 2003)
+
+
 @_query
 def compare_services(spark, sf):
     """Totals of two results."""
-    a, b = s.results(spark, sf)
-    return jobs.compare_services(a, b, 1993, 2003)["totals"]
+    return _compared(spark, sf)["totals"]
+
+
+@_query
+def compare_services_overlap(spark, sf):
+    return _compared(spark, sf)["overlap"]
+
+
+@_query
+def compare_services_years(spark, sf):
+    return _compared(spark, sf)["years"]

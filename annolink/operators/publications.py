@@ -130,12 +130,13 @@ def gather(
     return append(ordinary.withColumn("part", F.lit(0)), _gather(stretches, lists, "part"))
 
 
-def _gather(rows: DataFrame, lists: dict[str, Column], *part: str) -> DataFrame:
+def _gather(rows: DataFrame, lists: dict[str, Column], *part: str, placed: bool = False) -> DataFrame:
     # Ascending order of the negated score puts the highest score first.
     entry = F.struct((-F.col("score")).alias("minus"), "name", "entity_id")
     # Collecting does not shrink the rows, so they are shuffled before it, not after; a
     # join of the lists by document needs no further shuffle.
-    gathered = rows.repartition("doc_id", *part).groupBy("doc_id", *part).agg(
+    rows = rows if placed else rows.repartition("doc_id", *part)
+    gathered = rows.groupBy("doc_id", *part).agg(
         *[F.collect_list(F.when(condition, entry)).alias(name) for name, condition in lists.items()]
     )
     plain = {
@@ -153,6 +154,22 @@ def entity_lists(facts: DataFrame, part_entries: int | None = HOT_ROWS) -> DataF
     return gather(facts, {k: F.col("kind") == k for k in KINDS}, part_entries)
 
 
+def colocated_publications(
+    docs: DataFrame, dims: dict[str, DataFrame], facts: DataFrame, how: str = "inner"
+) -> DataFrame:
+    """Publications with their lists, from tables bucketed by document with the same number of buckets.
+
+    All joins, distinct rows and lists find the rows of a document in one place: nothing is shuffled.
+    For documents whose entries one task can gather; others are for ``with_entity_lists``.
+    """
+    pubs = docs.select("doc_id").distinct()
+    for name, dim in dims.items():
+        pubs = pubs.join(dim.select("doc_id", name).distinct().hint("merge"), "doc_id", how)
+    lists = _gather(facts, {k: F.col("kind") == k for k in KINDS}, placed=True)
+    empty = {k: F.coalesce(F.col(k), F.array().cast(lists.schema[k].dataType)) for k in KINDS}
+    return pubs.join(lists.hint("merge"), "doc_id", "left").withColumns(empty).withColumn("part", F.lit(0))
+
+
 def with_entity_lists(
     pubs: DataFrame, facts: DataFrame, part_entries: int | None = HOT_ROWS
 ) -> DataFrame:

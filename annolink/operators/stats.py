@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from annolink.fixed_values import FIRST_CHART_YEAR, KINDS, ONTOLOGIES, TOP_N
 from annolink.unions import append
 
+# Registers of a sketch, as a power of two.
+SKETCH_LG_K = 14
+
 
 def entity_frequency(facts: DataFrame, kind: str | None = None) -> DataFrame:
     """Rows per entity; of one kind, or of each."""
@@ -46,6 +49,37 @@ def approximate_counts(facts: DataFrame, error: float = 0.02) -> DataFrame:
     )
 
 
+def batch_sketches(facts: DataFrame, by: tuple[str, ...] = ("batch",), lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """(*by, kind, documents, entities): sketches of distinct values, at most some KB each, to be kept per batch.
+
+    Sketches of any batches can be united later, so a release is counted without its facts. The
+    relative standard error of an estimate is about 1.04 / sqrt(2 ** lg_k): 0.8 % with 2 ** 14.
+    """
+    key = F.concat_ws(":", "kind", "entity_id")
+    return facts.groupBy(*by, "kind").agg(
+        F.hll_sketch_agg("doc_id", lg_k).alias("documents"), F.hll_sketch_agg(key, lg_k).alias("entities")
+    )
+
+
+def sketched_stats(sketches: DataFrame) -> DataFrame:
+    """The figures of ``corpus_stats`` from sketches of any number of batches: (figure, value), estimated.
+
+    Ontologies, and all kinds, are united from the kinds' sketches: no value is counted again.
+    """
+    kind = F.col("kind")
+    groups = {"genes": kind == "genes", "species": kind == "species", "terms": kind.isin(*ONTOLOGIES)}
+
+    def united(column: str, condition: Column) -> Column:
+        estimate = F.hll_sketch_estimate(F.hll_union_agg(F.when(condition, F.col(column))))
+        return F.coalesce(estimate, F.lit(0).cast("long"))
+
+    figures = {"publications": united("documents", F.lit(True))}
+    figures |= {f"publications with {name}": united("documents", c) for name, c in groups.items()}
+    figures |= {f"distinct {k}": united("entities", kind == k) for k in KINDS}
+    figures["distinct ontology terms"] = united("entities", groups["terms"])
+    return _figures(sketches.agg(*[column.alias(name) for name, column in figures.items()]))
+
+
 def corpus_stats(facts: DataFrame, strict_ids: bool = False) -> DataFrame:
     """Published statistics, one row per figure.
 

@@ -63,7 +63,7 @@ def build_corpus(
     return tables
 
 
-def build_wide(
+def build_wide_tables(
     raw: DataFrame,
     dictionary: DataFrame,
     taxonomy: DataFrame,
@@ -89,6 +89,18 @@ def build_wide(
     return tables
 
 
+def build_wide(
+    raw: DataFrame,
+    dictionary: DataFrame,
+    taxonomy: DataFrame,
+    labels: DataFrame,
+    cut: int = SCORE_CUT,
+    search_columns: bool = False,
+) -> DataFrame:
+    """The denormalised table alone."""
+    return build_wide_tables(raw, dictionary, taxonomy, labels, None, cut, search_columns)["wide"]
+
+
 def load_lookup(
     labelled: DataFrame, path: str, mode: str = REFUSE, strict_prefix: bool = False
 ) -> None:
@@ -139,12 +151,18 @@ def evaluate_service(
 
     ``published`` (query_key, doc_id, date) is the gold set before it is bounded by date
     and by the open-access list; ``requests`` (query_key, kind, entity_id) are looked up
-    in ``facts`` as one join.
+    in ``facts`` as one join. Requests may instead hold (gene, species) and no ids: then
+    they are recoded to gene ids first, and the rows carry the terms that each service is asked by.
     """
+    terms = None
+    if "entity_id" not in requests.columns:
+        terms = evaluate.with_query_terms(requests)
+        requests = terms.select("query_key", F.lit("genes").alias("kind"), F.col("gene_id").alias("entity_id"))
     gold = clean.published_until(published, until).join(open_access, "doc_id", "left_semi")
     found = search.lookup_batch(facts, requests)
     counts = evaluate.confusion(gold.select("query_key", "doc_id"), found, ["query_key"])
-    return evaluate.evaluation_metrics(counts)
+    metrics = evaluate.evaluation_metrics(counts)
+    return metrics if terms is None else metrics.join(terms.drop("gene_id"), "query_key")
 
 
 def compare_services(

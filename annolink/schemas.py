@@ -24,6 +24,9 @@ ENTITY = T.StructType(
 FACTS = T.StructType(
     [T.StructField("kind", T.StringType()), T.StructField("doc_id", T.StringType()), *ENTITY.fields]
 )
+# The kind of the first row of a batch.
+BATCH_HEADER = "_batch"
+BATCHES = T.StructType([*FACTS.fields, T.StructField("batch", T.StringType())])
 EVALUATION = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("gene", "species", "service")]
     + [T.StructField(n, T.LongType()) for n in ("gold", "found", "tp", "fp", "fn")]

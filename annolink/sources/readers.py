@@ -115,6 +115,18 @@ def read_facts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.FACTS).parquet(f"{path}/facts").select(*schemas.FACTS.names)
 
 
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """Facts of all batches, with their ``batch``, as written by ``write_batches``."""
+    rows = spark.read.schema(schemas.BATCHES).parquet(path)
+    return rows.where(F.col("kind") != schemas.BATCH_HEADER).select("batch", *schemas.FACTS.names)
+
+
+def read_batch_list(spark: SparkSession, path: str) -> DataFrame:
+    """(batch, n_facts) of every batch written, also of those without facts."""
+    rows = spark.read.schema(schemas.BATCHES).parquet(path)
+    return rows.groupBy("batch").agg(F.count(F.when(F.col("kind") != schemas.BATCH_HEADER, 1)).alias("n_facts"))
+
+
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.LOOKUP).parquet(path)
 

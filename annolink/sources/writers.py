@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from annolink.fixed_values import EVALUATION_COLUMNS, HEADINGS
 from annolink.functions.lists import encode_list
+from annolink.schemas import BATCH_HEADER, FACTS
+from annolink.unions import append
 
 REFUSE = "errorifexists"
 
@@ -42,6 +44,37 @@ def write_lookup(lookup: DataFrame, path: str, mode: str = REFUSE) -> None:
     )
 
 
+def write_batches(facts: DataFrame, path: str, batches: list[str] | None = None) -> None:
+    """Facts with a ``batch`` column to a table that holds every batch once.
+
+    A batch that was there is replaced as a whole, others are not touched. Each batch begins with a header
+    row of its own, so one that has lost all its facts is replaced, too, when it is named in ``batches``;
+    by default the batches are those of the rows. Two jobs may write different batches.
+    """
+    rows = facts.select("batch", *FACTS.names)
+    named = rows.select("batch").distinct()
+    if batches is not None:
+        listed = facts.sparkSession.createDataFrame([(b,) for b in batches], "batch string")
+        named = append(named, listed).distinct()
+    blank = {n: F.lit(None).cast(FACTS[n].dataType) for n in FACTS.names}
+    headers = named.withColumns(blank | {"kind": F.lit(BATCH_HEADER)}).select("batch", *FACTS.names)
+    # Only the batch is a folder: with the kind as one, a kind that a batch has lost would stay.
+    out = append(rows, headers).hint("rebalance", "batch").sortWithinPartitions("batch", "kind", "doc_id")
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+
+
+def write_colocated(tables: dict[str, DataFrame], prefix: str, buckets: int, mode: str = REFUSE) -> dict[str, DataFrame]:
+    """Tables of the session's catalog, all bucketed and sorted by document: joins and groups by document
+    need no shuffle. The number of buckets suits the largest table; all have the same."""
+    spark = next(iter(tables.values())).sparkSession
+    held = {}
+    for name, table in tables.items():
+        rows = table.repartition(buckets, "doc_id")
+        rows.write.mode(mode).bucketBy(buckets, "doc_id").sortBy("doc_id").format("parquet").saveAsTable(f"{prefix}_{name}")
+        held[name] = spark.table(f"{prefix}_{name}")
+    return held
+
+
 def write_index(tables: dict[str, DataFrame], path: str, mode: str = REFUSE) -> None:
     """Write the tables of a document index, each sorted by what queries look it up by.
 

@@ -132,11 +132,11 @@ VIEWS = {
         UNION SELECT 'doc_id', doc_id FROM facts""",
     "typed": """
         SELECT DISTINCT trim(t) AS text FROM (
-            SELECT substring(name, 1, 3) AS t FROM entity_labels
-            UNION ALL SELECT substring(entity_id, 1, 6) FROM entity_labels)
+            SELECT substring(v, 1, n) AS t FROM (
+                SELECT name AS v FROM entity_labels UNION SELECT entity_id FROM entity_labels), range(2, 7) r(n))
         WHERE length(trim(t)) >= 2""",
     "word_items": """
-        SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{4,}', 0)) AS item FROM documents""",
+        SELECT DISTINCT doc_id, unnest(words) AS item FROM document_words""",
     "tx_words": """
         SELECT doc_id, item FROM word_items WHERE item IN (
             SELECT item FROM (SELECT item, count(*) AS n FROM word_items GROUP BY item
@@ -380,6 +380,13 @@ _BODIES = {
     + """
         UNION ALL SELECT concat('documents with ', kind), count(DISTINCT doc_id) FROM labelled GROUP BY kind
         UNION ALL SELECT concat('entities of ', kind), count(DISTINCT entity_id) FROM labelled GROUP BY kind""",
+    "batches_replaced": """
+        SELECT concat('b', right(doc_id, 1)) AS batch, * FROM facts
+        WHERE right(doc_id, 1) <> '2' AND (right(doc_id, 1) <> '1' OR kind <> 'genes')""",
+    "batch_list": """
+        SELECT concat('b', right(doc_id, 1)) AS batch, count(*) FILTER (WHERE right(doc_id, 1) <> '2') AS n_facts
+        FROM facts GROUP BY ALL""",
+    "sketched_stats": f"SELECT figure, TRUE AS close FROM ({_stats('TRUE')})",
     "evaluation_terms": _TERMS,
     "refuse_then_replace": "SELECT kind, doc_id, name, entity_id, score FROM labelled WHERE kind = 'species'",
     "corpus_stats": _stats("TRUE"),
@@ -439,7 +446,7 @@ _BODIES = {
                                   ORDER BY score DESC, name, entity_id) AS entities
         FROM facts WHERE kind = 'genes' AND entity_id IN ('12', '675') GROUP BY doc_id""",
     "lookup_batch": """
-        SELECT DISTINCT concat(kind, '/', entity_id) AS query_key, doc_id FROM facts WHERE kind IN ('genes', 'species')""",
+        SELECT DISTINCT concat(kind, '/', entity_id) AS query_key, doc_id FROM facts""",
     "transactions": "SELECT * FROM tx_entities",
     "tag_documents": """
         SELECT 'terms_go' AS kind, doc_id, phrase AS entity_id, cast(count(*) AS int) AS score
@@ -471,6 +478,9 @@ _BODIES = {
     "mine_rules": _rules("tx_entities", "0.3"),
     "strong_rules": f"SELECT * FROM ({_rules('tx_entities', '0.05')}) WHERE support >= 0.01",
     "evaluate_service": _metrics("service_counts"),
+    "evaluate_genes": f"""
+        SELECT m.*, gene, species, symbol, latin_name, filter_name
+        FROM ({_metrics("gene_counts")}) m JOIN gene_terms ON s_suppkey = query_key""",
     "compare_services": """
         SELECT 'in_a' AS source, count(*) AS n FROM result_a UNION ALL SELECT 'in_b', count(*) FROM result_b""",
 }
@@ -500,6 +510,20 @@ _JOB_VIEWS = {
 }
 
 
+_JOB_VIEWS["evaluate_genes"] = {
+    "gene_terms": _TERMS,
+    "gene_gold": """
+        SELECT DISTINCT l_suppkey AS query_key, concat('PMC', cast(l_orderkey AS string)) AS doc_id
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        WHERE l_returnflag = 'R' AND o_orderstatus <> 'P' AND o_orderdate <= DATE '2000-08-15'""",
+    "gene_found": """
+        SELECT DISTINCT s_suppkey AS query_key, doc_id FROM gene_terms JOIN facts ON kind = 'genes' AND entity_id = gene_id""",
+    "gene_counts": """
+        SELECT query_key, count(g) AS gold, count(f) AS found, count(g + f) AS tp,
+               count(f) - count(g + f) AS fp, count(g) - count(g + f) AS fn
+        FROM (SELECT *, 1 AS g FROM gene_gold) FULL JOIN (SELECT *, 1 AS f FROM gene_found) USING (query_key, doc_id)
+        GROUP BY query_key""",
+}
 for _name in ("build_wide_publications", "build_wide_counts"):
     _JOB_VIEWS[_name] = _JOB_VIEWS["build_wide"]
 
@@ -522,4 +546,7 @@ def _with_views(name: str, body: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({text})" for n, text in ordered.items()) + "\n" + body
 
 
+_BODIES["publication_table_colocated"] = _BODIES["publication_table"]
+_BODIES["compare_services_overlap"] = _BODIES["overlap"]
+_BODIES["compare_services_years"] = _BODIES["year_histogram"]
 ORACLE = {name: _with_views(name, body) for name, body in _BODIES.items()}

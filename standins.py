@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from annolink.fixed_values import LATIN_NAMES
 from annolink.operators.clean import cut_below, parse_mentions, with_id_prefix
 from annolink.operators.label import label
 from annolink.operators.tagging import words_of
@@ -171,8 +172,8 @@ def results(spark, sf) -> tuple[DataFrame, DataFrame]:
 
 
 def word_items(spark, sf) -> DataFrame:
-    """Distinct (doc_id, item): words of four or more letters in each document."""
-    words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0)))
+    """Distinct (doc_id, item): all words of each document."""
+    words = F.explode(F.array_distinct(words_of(F.col("text"))))
     return documents(spark, sf).select("doc_id", words.alias("item")).distinct()
 
 
@@ -190,14 +191,25 @@ def word_dictionary(spark, sf) -> DataFrame:
 
 
 def query_texts(spark, sf) -> DataFrame:
-    """Texts that users might type: beginnings of names and ids."""
+    """Texts that users type on their way to a name or an id: its first 2 to 6 characters."""
     labels = entity_labels(spark, sf)
-    names = labels.select(F.substring("name", 1, 3).alias("text"))
-    ids = labels.select(F.substring("entity_id", 1, 6).alias("text"))
-    return names.unionByName(ids).distinct()
+    values = labels.select(F.col("name").alias("value")).unionByName(labels.select(F.col("entity_id").alias("value")))
+    begun = F.explode(F.transform(F.sequence(F.lit(2), F.lit(6)), lambda n: F.substr("value", F.lit(1), n)))
+    return values.distinct().select(begun.alias("text")).distinct()
 
 
 def entity_requests(spark, sf) -> DataFrame:
-    """One request per labelled gene and species, keyed by kind and id."""
-    asked = entity_labels(spark, sf).where(F.col("kind").isin("genes", "species"))
+    """One request per labelled entity, keyed by kind and id."""
+    asked = entity_labels(spark, sf)
     return asked.select(F.concat_ws("/", "kind", "entity_id").alias("query_key"), "kind", "entity_id")
+
+
+def gene_requests(spark, sf) -> DataFrame:
+    """(query_key, gene, species): suppliers stand for pairs of a gene and a species to be asked for."""
+    genes = F.array(*[F.lit(g) for g in ("BRCA2", "Myc", "APC", "DCC")])
+    species = F.array(*[F.lit(name) for name, _, _ in LATIN_NAMES], F.lit("other"))
+    return table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("query_key"),
+        F.get(genes, (F.col("s_suppkey") % 4).cast("int")).alias("gene"),
+        F.get(species, (F.col("s_nationkey") % 5).cast("int")).alias("species"),
+    )
