@@ -11,10 +11,12 @@
    blanks are between them (a character, also repeated, or two with one that is no letter;
    three characters in all), are decoded together: with the blanks as arcs that may be left
    out, and joined, from each character on, as many runs as the longest beginning takes. Pairs
-   of letters set apart ("id io t") are words of their own. Other words are what they seem;
+   of letters set apart ("id io t") are words of their own. Signs among short tokens that look
+   like no letter set them apart as blanks do. Other words are what they seem;
    runs of three and more signs at either end of a word are ornament.
 3. Beginnings of restored words, of 3 to 8 letters, and whole words are weighed by how often
-   documents that have them are labelled, shrunk to the share of all documents.
+   documents that have them are labelled, shrunk to the share of all documents. The
+   ``MAX_FEATURES`` greatest weights are kept: the size of the model.
 4. A document's figures are its greatest word weight, and the number of its distinct words
    above ``STRONG``. A logistic model of both, fitted on labelled rows that were not used for
    the weights, gives the score.
@@ -22,7 +24,10 @@
 Labels come from rows outside the held-out fold only, from at most ``labelled_rows`` of them
 by order of a hash of the id. Scores use the text alone.
 
-Cases: a null or empty text has no words and the score of such a text. Labels that are null
+The time grows in proportion to the text, whatever it holds: a piece of spaced letters ends after 96
+letters and look-alikes (of which a word of 8 letters would have to lose 88).
+
+Cases: very long texts and words are taken whole. Further columns do not matter. A null or empty text has no words and the score of such a text. Labels that are null
 are left out; of contradicting ones the larger counts. Without labels of both kinds all
 scores are 0. Rows are scored each, also without or with one id. An empty table gives an
 empty result.
@@ -30,6 +35,7 @@ empty result.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -47,8 +53,8 @@ MAX_FEATURES = 100_000
 STRONG = 2.0
 PRIOR_DOCUMENTS = 10
 SHORTEST, LONGEST = 3, 8
-# Restored words that a task remembers.
-REMEMBERED = 100_000
+# Words that a task remembers by their weight, and by their features; readings of spaced letters.
+WORDS, REMEMBERED = 300_000, 100_000
 
 # Look-alike characters and the letters they may stand for.
 LOOKS = {
@@ -65,15 +71,18 @@ _CLASS_OF_BYTE[65:91] = np.arange(1, 27)
 _CLASS_OF_BYTE[128:] = HIGH
 _CLASS_OF_BYTE[[9, 10, 11, 12, 13, 32]] = BLANK
 
+# Quotes, brackets and stops around words.
+_OPENING, _CLOSING = "\"'([{", ".,;:!?\"')]}"
 _ORNAMENT = re.compile(r"^([^\w\s])\1{2,}|([^\w\s])\2{2,}$|^[\"'(\[{]+|[.,;:!?\"')\]}]+$")
 _PLAIN = re.compile(r"^[^\W\d_]*$")
-_DOUBLED = re.compile(r"(.)\1")
-_TRIPLED = re.compile(r"(.)\1\1")
+_DOUBLED = re.compile(r"(.)\1(\1?)")
 # One character, also repeated, or two of which one is no letter; quotes and stops around it.
 _SHORT = re.compile(r"[\"'(\[{]*((\S)\2*|[^\W\d_][\W\d_]|[\W\d_]\S)[.,;:!?\"')\]}]*")
 _RUN = re.compile(r"(.)\1*", re.DOTALL)
-# Runs that a piece of spaced letters begins with.
-PIECE = 24
+# Runs of letters and look-alikes that a piece of spaced letters begins with, and ends with at the latest.
+PIECE, LAST_PIECE = 24, 96
+# Whole words above this length are told by a hash.
+SPELLED = 64
 
 
 def class_of(character: str) -> int:
@@ -123,6 +132,7 @@ class Decoder:
         third = (cube + 5 * second[None]) / (cube.sum(axis=2, keepdims=True) + 5)
         self.log = np.log(third).tolist()
         self.known: dict[tuple, list] = {}
+        self.read: dict[str, list[str]] = {}
 
     @staticmethod
     def arcs(character: str, length: int) -> list[tuple[str, float]]:
@@ -188,20 +198,41 @@ class Decoder:
 
     def readings(self, word: str) -> list[str]:
         """What a word may mean. One with doubled letters may be what it seems, too."""
-        bare = word
-        while not bare.isalpha() and bare and (cut := _ORNAMENT.sub("", bare)) != bare:
-            bare = cut
-        if not _PLAIN.match(bare) or _TRIPLED.search(bare):
+        bare = word if word.isalpha() else word.lstrip(_OPENING).rstrip(_CLOSING)
+        if not bare.isalpha():
+            bare = word
+            while not bare.isalpha() and bare and (cut := _ORNAMENT.sub("", bare)) != bare:
+                bare = cut
+            if not _PLAIN.match(bare):
+                return [self.decode(bare)]
+        doubled = list(_DOUBLED.finditer(bare))
+        if any(d[2] for d in doubled):
             return [self.decode(bare)]
-        if not _DOUBLED.search(bare) or (meant := self.decode(bare)) == bare:
+        once = [at for d in doubled if self.is_one(bare, at := d.start())]
+        if not once:
             return [bare]
-        return [bare, meant]
+        return [bare, "".join(bare[a:b] for a, b in zip([0, *(at + 1 for at in once)], [*once, len(bare)], strict=True))]
+
+    def is_one(self, word: str, at: int) -> bool:
+        """Whether the doubled letter at this place is more likely one letter.
+
+        Both paths meet at the next letter, so one doubled letter decides nothing about another: this
+        is the Viterbi path of a word of letters without longer runs.
+        """
+        before = class_of(word[at - 1]) if at else BLANK
+        letter = class_of(word[at])
+        after = class_of(word[at + 2]) if at + 2 < len(word) else BLANK
+        log = self.log
+        return log[before][letter][after] - COST_DOUBLE > log[before][letter][letter] + log[letter][letter][after]
 
     def pieces(self, letters: str) -> list[list[str]]:
         """Readings of joined letters: a disguised word may start at any of them.
 
-        Each piece has as many runs as it takes for the longest beginning.
+        Signs that look like no letter are left out, so a start at one is the next start. Each
+        piece has as many runs as it takes for the longest beginning, and ``LAST_PIECE`` at most,
+        so the time grows with the number of letters.
         """
+        letters = "".join(filter(_tells, letters))
         found, starts = [], [run.start() for run in _RUN.finditer(letters)] + [len(letters)]
         for at, end in enumerate(starts[1:]):
             # A run of three letters and more means the same at any length.
@@ -211,21 +242,58 @@ class Decoder:
                 runs = PIECE
                 while True:
                     upto = starts[min(at + runs, len(starts) - 1)]
-                    readings = self.readings(letters[start:upto])
-                    if min(map(len, readings)) > LONGEST or upto == len(letters):
+                    readings = self.piece(letters[start:upto])
+                    if min(map(len, readings)) > LONGEST or upto == len(letters) or runs >= LAST_PIECE:
                         break
                     runs *= 2
                 found.append(readings)
         return found
 
+    def piece(self, letters: str) -> list[str]:
+        """Readings of a piece, remembered."""
+        readings = self.read.get(letters)
+        if readings is None:
+            if len(self.read) >= REMEMBERED:
+                self.read.clear()
+            readings = self.readings(letters)
+            if len(letters) <= 2 * LAST_PIECE:
+                self.read[letters] = readings
+        return readings
+
     def spaced(self, tokens: list[str]) -> list[list[str]]:
         """Readings of letters set apart: each start, and the words with blanks as they are likely."""
         return self.pieces("".join(tokens)) + [[word] for word in self.decode(" ".join(tokens)).split()]
 
 
+def _tells(character: str) -> bool:
+    """Whether a character may stand for a letter."""
+    return character.isalnum() or character in LOOKS
+
+
 def features(word: str) -> list[str]:
     """Beginnings of a word, and the whole word marked as such."""
-    return [word[:k] for k in range(SHORTEST, min(LONGEST, len(word)) + 1)] + ["=" + word]
+    return [word[:k] for k in range(SHORTEST, min(LONGEST, len(word)) + 1)] + [whole(word)]
+
+
+def whole(word: str) -> str:
+    """The feature of a whole word; a long one is told by its hash, so that all features are short."""
+    return "=" + (word if len(word) <= SPELLED else hashlib.md5(word.encode()).hexdigest())
+
+
+class Weights:
+    """The greatest weight of a word's features. Most words begin like no feature: one look tells."""
+
+    def __init__(self, weights: dict[str, float]):
+        self.weights, self.starts = weights, {f[:SHORTEST] for f in weights if not f.startswith("=")}
+
+    def of(self, readings: list[str]) -> float:
+        most = 0.0
+        for word in readings:
+            if word[:SHORTEST] in self.starts:
+                most = max(most, *(self.weights.get(f, 0.0) for f in features(word)))
+            else:
+                most = max(most, self.weights.get(whole(word), 0.0))
+        return most
 
 
 def as_short(token: str) -> str:
@@ -239,43 +307,52 @@ def as_short(token: str) -> str:
 def spaced_runs(tokens: list[str], short: dict[str, str]) -> list[list[str]]:
     """Runs of short tokens, as what ``short`` gives for them."""
     found, run, last = [], [], -1
+    # Tokens without a letter or look-alike set others apart, as blanks do.
+    telling = {token: part for token, part in short.items() if any(map(_tells, part))}
     for at in [*(i for i, token in enumerate(tokens) if token in short), len(tokens) + 1]:
         if at > last + 1:
-            if len(run) > 1 and sum(map(len, run)) >= SHORTEST and any(c.isalnum() or c in LOOKS for part in run for c in part):
+            if len(run) > 1 and sum(map(len, run)) >= SHORTEST:
                 found.append(run)
             run = []
-        if at < len(tokens):
-            run.append(short[tokens[at]])
+        if at < len(tokens) and (part := telling.get(tokens[at])) is not None:
+            run.append(part)
         last = at
     return found
 
 
+_USUAL = (0.0, "")
+
+
 class _Words:
     """Distinct words of a text by their readings, with what is known of a word remembered."""
 
-    def __init__(self, decoder: Decoder, of_word):
-        self.decoder, self.of_word = decoder, of_word
+    def __init__(self, decoder: Decoder, of_word, words: int = REMEMBERED):
+        self.decoder, self.of_word, self.words = decoder, of_word, words
         # What was used since the last change, and before it.
         self.known, self.before, self.joined, self.size = {}, {}, {}, 0
 
     def of(self, data: bytes) -> list:
         text = data.decode("utf-8", "replace").lower()
-        if len(self.known) > REMEMBERED // 2:
+        if len(self.known) > self.words // 2:
             self.known, self.before = {}, self.known
         if self.size > REMEMBERED:
             self.joined, self.size = {}, 0
-        found, short, known = [], {}, self.known
+        short, known = {}, self.known
         tokens = text.split()
-        for word in set(tokens):
-            held = known.get(word)
+        distinct = set(tokens)
+        for word in distinct.difference(known):
+            held = self.before.get(word)
             if held is None:
-                held = self.before.get(word)
-                if held is None:
-                    held = self.of_word(self.decoder.readings(word)), as_short(word)
-                known[word] = held
-            found.append(held[0])
-            if held[1]:
-                short[word] = held[1]
+                held = self.of_word(self.decoder.readings(word)), as_short(word)
+                # Most words are like this one.
+                held = _USUAL if held == _USUAL else held
+            known[word] = held
+        found = []
+        for word in distinct:
+            value, part = known[word]
+            found.append(value)
+            if part:
+                short[word] = part
         for run in spaced_runs(tokens, short) if short else ():
             at = " ".join(run)
             values = self.joined.get(at)
@@ -292,11 +369,7 @@ def _figures(rows: DataFrame, counts, weights: dict[str, float], extra: str, ext
 
     def task(batches):
         counts, weights = held()
-
-        def weigh(readings: list[str]) -> float:
-            return max(weights.get(f, 0.0) for word in readings for f in features(word))
-
-        words = _Words(Decoder(counts), weigh)
+        words = _Words(Decoder(counts), Weights(weights).of, WORDS)
         for batch in batches:
             most, strong = [], []
             for text in batch.column(0):
@@ -337,7 +410,7 @@ def _weights(rows: DataFrame, counts, share: float) -> dict[str, float]:
     p = (F.col("toxic") + PRIOR_DOCUMENTS * share) / (n + PRIOR_DOCUMENTS)
     weight = F.log(p / (1 - p)) - math.log(share / (1 - share))
     top = sums.select("feature", weight.alias("weight")).where("weight > 0.5").orderBy(F.desc("weight"), "feature").limit(MAX_FEATURES)
-    table = top.where(F.length("feature") <= 64).toArrow()
+    table = top.toArrow()
     return dict(zip(table["feature"].to_pylist(), table["weight"].to_pylist(), strict=True))
 
 
