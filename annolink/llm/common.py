@@ -10,6 +10,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from annolink.staging import stage
+
 # Words are what lies between ASCII blanks and control blanks; ``bytes.split()`` cuts there too.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -31,11 +33,35 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs``, whatever their columns are called, whose id is not in ``ids``."""
-    held = docs.select(F.struct(*docs.columns).alias("_row"))
+# Added to the numbers of rows without an id, so that rows with one come first.
+_LATER = 1 << 62
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(_row, _key): the rows of ``docs``, whatever their columns are called, and a key for each.
+
+    The key is the id where every row has one of its own, else a number; the numbered rows are written,
+    so that all uses see the same numbers. A table of the ids' counts tells which.
+    """
+    row = F.struct(*docs.columns).alias("_row")
+    unsure = docs.groupBy("doc_id").count().where((F.col("count") > 1) | F.col("doc_id").isNull())
+    if unsure.isEmpty():
+        return docs.select(row, F.col("doc_id").cast("long").alias("_key"))
+    later = F.when(F.col("doc_id").isNull(), F.lit(_LATER)).otherwise(F.lit(0))
+    return stage(docs.select(row, (F.monotonically_increasing_id() + later).alias("_key")))
+
+
+def without(docs: DataFrame, rejected: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows of ``docs`` that are not rejected, with all their columns.
+
+    ``rejected`` gets the rows with an id for each and returns the ids of those that go: rows without an
+    id, or that share one, are decided one by one.
+    """
+    held = keyed(docs)
+    others = [F.col("_row")[c].alias(c) for c in docs.columns if c != "doc_id"]
+    ids = rejected(held.select(F.col("_key").alias("doc_id"), *others))
     out = ids.select(F.col(ids.columns[0]).alias("_out")).distinct()
-    return held.join(out.hint("merge"), F.col("_row.doc_id").eqNullSafe(F.col("_out")), "left_anti").select("_row.*")
+    return held.join(out.hint("merge"), F.col("_key") == F.col("_out"), "left_anti").select("_row.*")
 
 
 def remainder(id_column: Column, modulus: int) -> Column:

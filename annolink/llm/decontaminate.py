@@ -2,7 +2,10 @@
 
 The test items are the indexed collection, the passages of the training documents are the
 queries. Weights are divided by the weight of the whole item, so a passage that holds all
-words of an item scores 1 and one threshold serves all items. Every document is cut into
+words of an item scores 1. The threshold of an item is the least score that a passage can have
+which passes the verification below: the item's words less the greatest weight that can be missing
+where no more than the allowed share of its shingles is. So the search loses no hit; weights are
+divided by the threshold, and one bound serves all items. Every document is cut into
 passages of twice the longest item, half overlapping, so every copy of an item lies whole in
 some passage. Items are numbered by length, so that neighbours have weights of one size. The
 greatest weights of the passage's words in a block of items, summed up, bound the scores of
@@ -16,14 +19,16 @@ benchmark), one pass over the documents each; word statistics are those of all i
 Cases: words are lower-case, split at blanks and ASCII punctuation. The answer is what
 follows the last line break of an item; an item of one line is a question only. An item of
 fewer than five words is one shingle; an item without words is skipped. A null or empty text
-has no passages. Repeated items and documents give one hit per document id and item id. Rows
-without an id are compared, and their hits have a null id. Empty tables give an empty result.
+has no passages; a very long one is cut into passages whole. Repeated items and documents give one
+hit per document id and item id. Rows without an id are compared, documents and items, and their hits
+have a null id. Further columns do not matter. Empty tables give an empty result.
 """
 
 from __future__ import annotations
 
 import bisect
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,12 +37,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annolink.llm.common import shared, texts, without
+from annolink.staging import stage
 
 SHARD_BYTES = 4 * 1024 * 1024
 K1, B = 1.2, 0.75
 # Postings of a block, and blocks of items of a shard for the bounds of passages.
 BLOCK, ITEM_BLOCKS = 32, 32
-MIN_SCORE, OVERLAP, SHINGLE = 0.6, 0.8, 5
+# Where a caller asks for no overlap, an item is found by any share of its weight above this one.
+LEAST = 1e-3
+OVERLAP, SHINGLE = 0.8, 5
 
 _CUT = bytes(
     32 if 33 <= c <= 47 or 58 <= c <= 64 or 91 <= c <= 96 or 123 <= c <= 126 else c + 32 if 65 <= c <= 90 else c
@@ -49,14 +57,60 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_CUT).split()
 
 
+def word_weights(words: list[bytes], frequency: dict[bytes, int], n_items: int, mean_length: float) -> dict[bytes, float]:
+    """BM25 weights of an item's words."""
+    weights = {}
+    for word, count in Counter(words).items():
+        rarity = math.log(1 + (n_items - frequency[word] + 0.5) / (frequency[word] + 0.5))
+        weights[word] = rarity * count * (K1 + 1) / (count + K1 * (1 - B + B * len(words) / mean_length))
+    return weights
+
+
+def least_score(words: list[bytes], weights: dict[bytes, float], overlap: float) -> float:
+    """The least share of the weights that a passage with ``overlap`` of the item's shingles holds.
+
+    The greatest weight of missing words, over all choices of missing places that spoil no more
+    shingles than may be missing. The choices are searched by place, number of spoilt shingles, and
+    places since the last missing one. A word that occurs again counts in parts, a repeated
+    shingle once: both can only make the result lower.
+    """
+    size = min(SHINGLE, len(words))
+    shingles = [tuple(words[i : i + size]) for i in range(len(words) - size + 1)]
+    n = len(set(shingles))
+    spare = n - math.ceil(overlap * n - 1e-9)
+    if spare <= 0:
+        return 1.0
+    if spare >= n:
+        return 0.0
+    count = Counter(words)
+    met: set[tuple] = set()
+    # best[k][j]: weight lost with j shingles spoilt, the last missing place k places back (size: farther).
+    best = np.full((size + 1, spare + 1), -np.inf)
+    best[size, 0] = 0.0
+    for i, word in enumerate(words):
+        following = np.full_like(best, -np.inf)
+        following[1:size] = best[: size - 1]
+        following[size] = np.maximum(best[size - 1], best[size])
+        following[0] = best.max(axis=0) + weights[word] / count[word]
+        if i >= size - 1 and (shingle := shingles[i - size + 1]) not in met:
+            met.add(shingle)
+            following[:size, 1:] = following[:size, :-1]
+            following[:size, 0] = -np.inf
+        best = following
+    return max(0.0, 1 - float(best.max()) / sum(weights.values()))
+
+
 class Index:
-    """Postings with a greatest weight per word and per block of postings."""
+    """Postings with a greatest weight per word and per block of postings.
 
-    def __init__(self, items: list[tuple[int, bytes]], frequency: dict[bytes, int], n_items: int, mean_length: float):
+    ``items`` holds (id, text, least score); weights are divided by the whole item's and by the least score.
+    """
+
+    def __init__(self, items: list[tuple[int, bytes, float]], frequency: dict[bytes, int], n_items: int, mean_length: float):
         self.ids, self.words, self.numbers = [], [], {}
-        self.cut = []
+        self.cut, self.least = [], []
         postings: list[list[tuple[int, float]]] = []
-        for item_id, text in sorted(items, key=lambda item: (len(words_of(item[1])), item)):
+        for item_id, text, least in sorted(items, key=lambda item: (len(words_of(item[1])), item[1], str(item[0]))):
             question, _, answer = text.rpartition(b"\n")
             head = words_of(question) if question.strip() else words_of(text)
             words = words_of(text)
@@ -66,12 +120,9 @@ class Index:
             self.ids.append(item_id)
             self.words.append(words)
             self.cut.append(len(head) if question.strip() else len(words))
-            weights = {}
-            for word in set(words):
-                count = words.count(word)
-                rarity = math.log(1 + (n_items - frequency[word] + 0.5) / (frequency[word] + 0.5))
-                weights[word] = rarity * count * (K1 + 1) / (count + K1 * (1 - B + B * len(words) / mean_length))
-            whole = sum(weights.values())
+            weights = word_weights(words, frequency, n_items, mean_length)
+            self.least.append(max(least, LEAST))
+            whole = sum(weights.values()) * self.least[-1]
             for word in sorted(weights):
                 if word not in self.numbers:
                     self.numbers[word] = len(postings)
@@ -94,8 +145,8 @@ class Index:
         size = min(SHINGLE, len(words))
         return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
 
-    def search(self, terms: list[int], threshold: float, first: int = 0, end: int | None = None) -> list[tuple[int, float]]:
-        """All items from ``first`` to before ``end`` with a score of at least ``threshold``: block-max WAND."""
+    def search(self, terms: list[int], first: int = 0, end: int | None = None) -> list[tuple[int, float]]:
+        """All items from ``first`` to before ``end`` at or above their least score, by block-max WAND, with their score."""
         found = []
         # A cursor is [current item, term, place].
         end = len(self.ids) if end is None else end
@@ -104,7 +155,7 @@ class Index:
             place = bisect.bisect_left(self.items[term], first)
             if place < len(self.items[term]) and self.items[term][place] < end:
                 cursors.append([self.items[term][place], term, place])
-        slack = threshold - 1e-9
+        slack = 1 - 1e-9
         while cursors:
             cursors.sort()
             bound, pivot = 0.0, -1
@@ -128,7 +179,7 @@ class Index:
                 if cursors[0][0] == item:
                     score = sum(self.weights[t][p] for i, t, p in cursors[: pivot + 1] if i == item)
                     if score >= slack:
-                        found.append((item, score))
+                        found.append((item, score * self.least[item]))
                     goal = item + 1
                 else:
                     goal = item
@@ -168,7 +219,7 @@ class _Numbers(dict):
         return -1
 
 
-def _hits(index: Index, text: bytes, min_score: float, overlap: float) -> dict[int, tuple[float, float, float, float]]:
+def _hits(index: Index, text: bytes, overlap: float, min_score: float = 0.0) -> dict[int, tuple[float, float, float, float]]:
     words = words_of(text)
     numbers = np.fromiter(map(index.numbers.__getitem__, words), np.int64, len(words))
     places = np.flatnonzero(numbers >= 0)
@@ -184,20 +235,22 @@ def _hits(index: Index, text: bytes, min_score: float, overlap: float) -> dict[i
     ends = np.r_[starts[1:], len(keys)]
     bounds = np.add.reduceat(index.bounds[own], starts, axis=0)
     best: dict[int, tuple] = {}
-    for k, block in zip(*np.nonzero(bounds >= min_score - 1e-4), strict=True):
+    for k, block in zip(*np.nonzero(bounds >= 1 - 1e-4), strict=True):
         at = int(number[starts[k]])
         part = words[at * step : (at + 2) * step]
-        found = index.search(own[starts[k] : ends[k]].tolist(), min_score, int(block) * index.step, (int(block) + 1) * index.step)
+        found = index.search(own[starts[k] : ends[k]].tolist(), int(block) * index.step, (int(block) + 1) * index.step)
         for item, score in found:
+            if score < min_score:
+                continue
             shares = index.verify(item, part)
             if shares[0] >= overlap and min(shares[1:]) >= 0.5:
                 best[item] = max(best.get(item, (0.0,)), (score, *shares))
     return best
 
 
-def _shards(items: DataFrame, shard_bytes: int) -> Iterator[Index]:
+def _shards(items: DataFrame, shard_bytes: int, overlap: float) -> Iterator[Index]:
     """Indexes over disjoint parts of the items, each of bounded size, with common statistics."""
-    rows = items.where(F.col("item_id").isNotNull()).select(
+    rows = items.select(
         F.col("item_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")
     )
 
@@ -215,29 +268,44 @@ def _shards(items: DataFrame, shard_bytes: int) -> Iterator[Index]:
         return
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0]
     n_shards = math.ceil(total / shard_bytes)
-    shard = F.pmod(F.xxhash64("item_id"), F.lit(n_shards))
-    counts = tokens.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_shards))
+    counts = stage(tokens.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")))
     for number in range(n_shards):
         part = rows.where(shard == number)
         own = part.mapInArrow(task, "words array<binary>, length long").select(F.explode("words").alias("word")).distinct()
         frequency = {bytes(w): n for w, n in counts.join(own, "word", "left_semi").collect()}
-        yield Index([(i, bytes(t)) for i, t in part.collect()], frequency, n_items, mean_length)
+        held = shared(items.sparkSession, (frequency, n_items, mean_length))
+
+        def least(batches, held=held):
+            frequency, n_items, mean_length = held()
+            for batch in batches:
+                scores = []
+                for text in batch.column(1):
+                    words = words_of(text.as_py())
+                    scores.append(least_score(words, word_weights(words, frequency, n_items, mean_length), overlap) if words else 1.0)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], ["item_id", "text", "least"])
+
+        with_least = part.mapInArrow(least, "item_id long, text binary, least double")
+        yield Index([(i, bytes(t), s) for i, t, s in with_least.collect()], frequency, n_items, mean_length)
 
 
 def contaminated(
     docs: DataFrame,
     items: DataFrame,
-    min_score: float = MIN_SCORE,
+    min_score: float = 0.0,
     overlap: float = OVERLAP,
     shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
-    """doc_id, item_id, score, overlap, question_overlap, answer_overlap of every verified hit."""
+    """doc_id, item_id, score, overlap, question_overlap, answer_overlap of every verified hit.
+
+    A ``min_score`` above 0 leaves out hits that verification would accept.
+    """
     spark = docs.sparkSession
     schema = "doc_id long, item_id long, score double, overlap double, question_overlap double, answer_overlap double"
     names = ["doc_id", "item_id", "score", "overlap", "question_overlap", "answer_overlap"]
     rows = texts(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
     result = spark.createDataFrame([], schema)
-    for index in _shards(items, shard_bytes):
+    for index in _shards(items, shard_bytes, overlap):
         index.numbers = _Numbers(index.numbers)
         held = shared(spark, index)
 
@@ -247,7 +315,7 @@ def contaminated(
                 found = [
                     (doc, index.ids[item], *values)
                     for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
-                    for item, values in _hits(index, text.as_py(), min_score, overlap).items()
+                    for item, values in _hits(index, text.as_py(), overlap, min_score).items()
                 ]
                 columns = list(zip(*found, strict=True)) or [[] for _ in names]
                 types = [pa.int64()] * 2 + [pa.float64()] * 4
@@ -260,4 +328,4 @@ def contaminated(
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` without a verified hit, with all their columns."""
-    return without(docs, contaminated(docs, items, **options).select("doc_id"))
+    return without(docs, lambda rows: contaminated(rows, items, **options).select("doc_id"))

@@ -8,8 +8,9 @@
    Spark can split the rows of a hot group over several tasks.
 
 Cases: a null text is an empty text. Rows without an id are below all ids; a group of such
-rows only has a null ``keep_id`` and keeps all of them. Repeated rows of one id share the
-decision. An empty table gives an empty result. Further columns do not matter.
+rows only has a null ``keep_id``, and ``exact_groups`` marks all of them as kept, as it does repeated
+rows of the id that stays; ``drop_exact_copies`` keeps one row of every group. Texts of any length are
+compared whole. An empty table gives an empty result. Further columns do not matter.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annolink.llm.common import texts
+from annolink.llm.common import keyed, texts
 
 Digest = Callable[[Column], Column]
 
@@ -69,12 +70,16 @@ def drop_exact_copies(
     keep: str = "max",
     digest: Digest = content_hash,
 ) -> DataFrame:
-    """The rows of ``docs`` whose document stays, with all their columns; repeated rows once."""
-    held = docs.select(F.struct(*docs.columns).alias("_row"))
+    """One row of each group of equal texts, with all its columns: that of the id that stays.
+
+    Of several rows with this id, and of rows without any, the one with the greatest key stays.
+    """
+    held = keyed(docs)
     text = F.coalesce(F.col("_row")[text_col], F.lit(""))
+    own = F.col("_row")[id_col]
+    # Rows with an id come before rows without one, whichever end is kept.
+    first = (own.isNotNull() if keep == "max" else own.isNull()).alias("first")
+    rows = held.select(F.struct(first, own.alias("id"), F.col("_key").alias("key")).alias("doc_id"), text.alias("text"))
     named = _named(held, text, digest)
-    groups = _groups(texts(docs, id_col, text_col), keep, digest)
-    stays = F.coalesce(
-        F.col("_row")[id_col] == F.col("keep_id"), F.col("keep_id").isNull()
-    )
-    return named.join(groups, ["_hash", "_sha"]).where(stays).select("_row.*")
+    groups = _groups(rows, keep, digest)
+    return named.join(groups, ["_hash", "_sha"]).where(F.col("_key") == F.col("keep_id.key")).select("_row.*")

@@ -5,8 +5,10 @@
 2. Every element gets figures: text, tags, links and punctuation of its subtree, tokens of its
    attributes, tag, depth, place and size among its siblings, kinds of its ancestors.
 3. A gradient-boosted ensemble of small trees says how likely the element holds main text.
-   There are no labels of pages; it is trained on the pages themselves, with the meaning of
-   tags and attribute tokens as teacher, on ``TRAINING_PAGES`` pages by order of a hash, on
+   There are no labels of pages; it is trained on the pages themselves. The teacher goes by the
+   meaning of tags and attribute tokens, and where they leave next to no text, by where most of the
+   page's long pieces stand. It is trained on ``TRAINING_PAGES`` pages by order of a hash (at most
+   ``TRAINING_NODES`` elements of each, evenly spaced), on
    copies of these with their text rearranged under other tags and tokens, and once more with
    tags and tokens hidden, so that it also learns what main text looks like.
 4. Hierarchical decoding: each element is kept or removed, and nothing is kept under a removed
@@ -16,7 +18,7 @@
 
 Cases: a null or empty page, or one without main text, gives an empty text. A page without
 any element that the trees accept keeps nothing. Rows are extracted each, also with null or
-repeated ids. Without pages to learn from, the teacher alone decides. Very long pages are
+repeated ids; further columns do not matter. Without pages to learn from, the teacher alone decides. Very long pages are
 read whole. An empty table gives an empty result.
 """
 
@@ -59,6 +61,14 @@ AWAY_TOKENS = set(
     "newsletter subscribe subscription signup login form search share sharing social related recommended recommendations comment comments disqus "
     "reply replies respond discussion pagination pager tags skip copyright legal disclaimer toolbar tooltip hidden complementary contentinfo".split()
 )
+# Names of parts that may hold more text than the article.
+COMMENT_TOKENS = set("comment comments disqus reply replies respond discussion".split())
+# Words of names that tell of the page's state: what follows them is no name of this element.
+FLAG_TOKENS = {"has", "with", "without", "no", "not"}
+# Pieces of text from this length on look like sentences; most of them, and next to none of them.
+LONG_PIECE, MOST, SCANT = 60, 0.6, 0.2
+# With fewer long pieces than these, names are all there is to go by.
+FEW = 3
 # Headers count as such outside the main text only, where they may hold the title.
 HEADER_TOKENS = {"header", "masthead", "topbar", "banner"}
 MAIN_TOKENS = set("article content main post entry body story text articlebody maincontent postcontent entrycontent".split())
@@ -90,7 +100,11 @@ class Page:
                 elif name in ("hidden", "aria-hidden"):
                     hidden |= name == "hidden" or value.lower() == "true"
                 else:
-                    tokens += [t.lower() for t in _TOKEN.findall(value)]
+                    for part in value.split():
+                        for token in map(str.lower, _TOKEN.findall(part)):
+                            if token in FLAG_TOKENS:
+                                break
+                            tokens.append(token)
         self.tags.append(tag)
         self.parents.append(stack[-1])
         self.tokens.append(tuple(tokens))
@@ -163,23 +177,84 @@ N_HINTS = 9
 HIDDEN_HINTS = np.array([0, 0, 0, 0, 0, len(KINDS), 0, 0, 0], float)
 
 
-def _hints(page: Page) -> tuple[list[tuple], list[bool], list[bool]]:
-    """Per element (away tag, main tag, away tokens, main tokens); away and main, itself or above."""
-    own, away, main = [], [], []
-    for tag, tokens, parent, hidden in zip(page.tags, page.tokens, page.parents, page.hidden, strict=True):
-        under_away, under_main = (away[parent], main[parent]) if parent >= 0 else (False, False)
+def _marks_of(page: Page, released: set[int], region: int) -> tuple[list[tuple], list[bool], list[bool]]:
+    own, away, main, named = [], [], [], []
+    for i, (tag, tokens, parent, hidden) in enumerate(zip(page.tags, page.tokens, page.parents, page.hidden, strict=True)):
+        under_away, under_main, under_named = (away[parent], main[parent], named[parent]) if parent >= 0 else (False, False, False)
         away_tokens, main_tokens = 0, 0
         if tag not in _WHOLE:
-            away_tokens = sum(t in AWAY_TOKENS or t in HEADER_TOKENS and not under_main for t in tokens)
+            if i not in released:
+                away_tokens = sum(t in AWAY_TOKENS or t in HEADER_TOKENS and not under_named for t in tokens)
             main_tokens = sum(t in MAIN_TOKENS for t in tokens)
-        away_tag = tag in AWAY_TAGS or tag == "header" and not under_main
+        if i == region:
+            main_tokens = max(1, main_tokens)
+        away_tag = tag in AWAY_TAGS or tag == "header" and not under_named
         own.append((away_tag, tag in MAIN_TAGS, away_tokens, main_tokens))
         is_away = away_tag or away_tokens > 0 or hidden
+        is_main = tag in MAIN_TAGS or main_tokens > 0
         away.append(under_away or is_away)
-        main.append(under_main or (tag in MAIN_TAGS or main_tokens > 0) and not is_away)
+        main.append(under_main or is_main and not is_away)
+        # The page as a whole may be the region, but its headers are no headers of the text.
+        named.append(under_named or is_main and not is_away and tag not in ("#root", "html", "body"))
     return own, away, main
 
 
+def _long_texts(page: Page) -> tuple[list[int], list[int]]:
+    """Per element, the text of its subtree in long pieces that are no link, and their number."""
+    n = len(page.tags)
+    linked, whole, count = [False] * n, [0] * n, [0] * n
+    for i in range(1, n):
+        linked[i] = page.tags[i] == "a" or linked[page.parents[i]]
+    for node, text in page.pieces:
+        if text is not None and not linked[node] and (size := len(text.strip())) >= LONG_PIECE:
+            whole[node] += size
+            count[node] += 1
+    for i in range(n - 1, 0, -1):
+        whole[page.parents[i]] += whole[i]
+        count[page.parents[i]] += count[i]
+    return whole, count
+
+
+def _hints(page: Page) -> tuple[list[tuple], list[bool], list[bool]]:
+    """Per element (away tag, main tag, away tokens, main tokens); away and main, itself or above.
+
+    Names are believed where they leave main text. Where they leave next to none, an element with most of
+    the page's long pieces is no part to be removed by its name, but a wrapper (comments but not so);
+    and where no name tells of main text, the smallest element with most long pieces stands for it.
+    """
+    marks = _marks_of(page, set(), -1)
+    whole, n_long = _long_texts(page)
+    total = whole[0]
+    if n_long[0] < FEW:
+        return marks
+
+    def kept(marks) -> int:
+        return sum(len(t.strip()) for node, t in page.pieces if t is not None and marks[2][node] and not marks[1][node] and len(t.strip()) >= LONG_PIECE)
+
+    if kept(marks) >= SCANT * total:
+        return marks
+    released = {
+        i for i, tokens in enumerate(page.tokens)
+        if marks[0][i][2] and n_long[i] >= FEW and whole[i] >= MOST * total and not page.hidden[i] and not marks[0][i][0] and COMMENT_TOKENS.isdisjoint(tokens)
+    }
+    if released:
+        marks = _marks_of(page, released, -1)
+        if kept(marks) >= SCANT * total:
+            return marks
+    # From the root down to the element that no single child speaks for.
+    free = _marks_of(page, released, 0)[1]
+    below: dict[int, list[int]] = {}
+    for i in range(1, len(page.tags)):
+        below.setdefault(page.parents[i], []).append(i)
+    region = 0
+    while True:
+        inner = [i for i in below.get(region, ()) if not free[i] and whole[i] >= MOST * whole[region] and page.tags[i] in BLOCK and page.tags[i] != "p"]
+        if not inner:
+            break
+        region = inner[0]
+    return _marks_of(page, released, region)
+
+
 def figures(page: Page) -> np.ndarray:
     """A row of NAMES for each element."""
     n, tags, parents = len(page.tags), page.tags, page.parents

@@ -408,4 +408,4 @@ def near_duplicates(
 
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that stand for their component, with all their columns."""
-    return without(docs, near_duplicates(docs, **options).where(~F.col("kept")).select("doc_id"))
+    return without(docs, lambda rows: near_duplicates(rows, **options).where(~F.col("kept")).select("doc_id"))

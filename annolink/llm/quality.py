@@ -238,5 +238,5 @@ def score(docs: DataFrame, model: CoTrained | None, threshold: float = 0.5) -> D
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
     """The rows of ``docs`` whose document is not rejected, with all their columns."""
-    scored = score(docs, train(docs, labels, **options), threshold)
-    return without(docs, scored.where(~F.col("kept")).select("doc_id"))
+    model = train(docs, labels, **options)
+    return without(docs, lambda rows: score(rows, model, threshold).where(~F.col("kept")).select("doc_id"))
