@@ -582,9 +582,10 @@ def find_documents_seek(spark, sf):
     """The second page, which begins after the last row of the first."""
     index = _index(spark, sf)
     clauses = {"go_name": ["small ring"], "do_name": ["PROMO"]}
-    last = postings.find_page(index, clauses, order_by_kind="terms_do").collect()[-1]
-    page = postings.find_page(index, clauses, order_by_kind="terms_do", after=(last["best_score"], last["doc_id"]))
-    return publications.encode_lists(page)
+    first = postings.find_page(index, clauses, order_by_kind="terms_do").select("best_score", "doc_id").collect()
+    # Nothing comes after a page without rows.
+    behind = {"after": tuple(first[-1])} if first else {"offset": 25}
+    return publications.encode_lists(postings.find_page(index, clauses, order_by_kind="terms_do", **behind))
 
 
 @_query
