@@ -4,7 +4,7 @@
    number, a 128-bit name of the set, and ``COORDINATES`` minwise values (the least image of
    the set under that many permutations). Documents with one set are one *class*; its
    smallest id stands for it.
-2. In each of ``trees`` independent trees a node chooses coordinates, by its own hash, and
+2. Each of ``trees`` trees has ``OWN`` coordinates of its own. A node chooses some of them, by its own hash, and
    sends each document to the child named by the document's minwise value there. A node
    chooses one coordinate, and a second one with probability 1 / threshold - 1, so that a
    pair at the threshold keeps one common child on average. The first two levels are taken
@@ -43,8 +43,9 @@ from annolink.llm.grouping import groups
 from annolink.llm.hashing import WordHash
 from annolink.staging import stage
 
-COORDINATES = 64
-TREES = 10
+# Coordinates in all, of one tree, and of the sketches that are compared.
+COORDINATES, OWN, SKETCH = 160, 16, 64
+TREES, MORE_TREES = 10, 9
 NODE_ROWS = 5_000
 # What one task compares exactly: documents, and shingles of all of them (16 MB of hashes).
 BLOCK_ROWS, BLOCK_SHINGLES = 3_000, 2_000_000
@@ -76,7 +77,7 @@ def minwise(sets: np.ndarray, odd: np.ndarray, add: np.ndarray) -> np.ndarray:
 
 
 def _signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, set_a, set_b, signature (binary of 32-bit values)."""
+    """doc_id, n_shingles, set_a, set_b, signature (binary: the low 16 bits of each minwise value)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, (odd, add) = WordHash(), _permutations()
@@ -88,7 +89,7 @@ def _signatures(docs: DataFrame, size: int) -> DataFrame:
                 with np.errstate(over="ignore"):
                     names_a.append(int(found.sum(dtype=np.uint64).view(np.int64)) if len(found) else 0)
                     names_b.append(int(mix64(found).sum(dtype=np.uint64).view(np.int64)) if len(found) else 0)
-                signatures.append(minwise(found, odd, add).tobytes() if len(found) else b"")
+                signatures.append(minwise(found, odd, add).astype(np.uint16).tobytes() if len(found) else b"")
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(names_a, pa.int64()), pa.array(names_b, pa.int64()), pa.array(signatures, pa.binary())],
                 ["doc_id", "n_shingles", "set_a", "set_b", "signature"],
@@ -101,8 +102,8 @@ def _signatures(docs: DataFrame, size: int) -> DataFrame:
 def _children(nodes: np.ndarray, values: np.ndarray, threshold: float, level: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """(rows, node) of the children of each row's node; ``values`` has a row per coordinate value."""
     salted = mix64(nodes + np.uint64(level * 0x9E3779B97F4A7C15 % 2**64))
-    first = (salted % np.uint64(COORDINATES)).astype(np.int64)
-    second = ((salted >> np.uint64(16)) % np.uint64(COORDINATES)).astype(np.int64)
+    first = (salted % np.uint64(OWN)).astype(np.int64)
+    second = ((salted >> np.uint64(16)) % np.uint64(OWN)).astype(np.int64)
     twice = ((salted >> np.uint64(40)) % np.uint64(10_000)).astype(np.int64) < (1 / threshold - 1) * 10_000
     twice &= first != second
     every = np.arange(len(nodes))
@@ -124,39 +125,53 @@ def _descend(nodes, values, threshold, levels, first_level=0):
     return rows, nodes
 
 
-def _first_nodes(members: DataFrame, threshold: float, trees: int) -> DataFrame:
-    """(node, doc_id, sketch) after two levels of every tree; a sketch has a byte per coordinate."""
+def own_coordinates(tree: int) -> np.ndarray:
+    """The coordinates of a tree: each its own as far as they go, then drawn from all."""
+    if (tree + 1) * OWN <= COORDINATES:
+        return np.arange(tree * OWN, (tree + 1) * OWN)
+    return np.random.default_rng(tree).choice(COORDINATES, OWN, replace=False)
+
+
+_NODES = "node long, doc_id long, sketch binary, own binary"
+
+
+def _first_nodes(members: DataFrame, threshold: float, trees: range) -> DataFrame:
+    """(node, doc_id, sketch, own) after two levels of every tree; a byte per coordinate, compared and of the tree."""
 
     def task(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            values = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(len(ids), COORDINATES)
+            values = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(len(ids), COORDINATES)
             # The low byte of a least value is all but uniform.
-            sketches = pa.array([row.tobytes() for row in (values & 0xFF).astype(np.uint8)], pa.binary())
-            for tree in range(trees):
+            low = (values & 0xFF).astype(np.uint8)
+            sketches = pa.array([row.tobytes() for row in low[:, :SKETCH]], pa.binary())
+            for tree in trees:
+                columns = own_coordinates(tree)
                 roots = mix64(np.full(len(ids), tree + 1, np.uint64))
-                rows, nodes = _descend(roots, values, threshold, 2)
+                rows, nodes = _descend(roots, values[:, columns], threshold, 2)
+                own = pa.array([row.tobytes() for row in low[:, columns]], pa.binary())
+                take = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes.view(np.int64)), pa.array(ids[rows]), sketches.take(pa.array(rows))],
-                    ["node", "doc_id", "sketch"],
+                    [pa.array(nodes.view(np.int64)), pa.array(ids[rows]), sketches.take(take), own.take(take)],
+                    ["node", "doc_id", "sketch", "own"],
                 )
 
-    return members.select("doc_id", "signature").mapInArrow(task, "node long, doc_id long, sketch binary")
+    return members.select("doc_id", "signature").mapInArrow(task, _NODES)
 
 
 def _next_nodes(rows: DataFrame, threshold: float, level: int) -> DataFrame:
     def task(batches):
         for batch in batches:
             nodes = batch.column(0).to_numpy().view(np.uint64)
-            values = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(len(nodes), COORDINATES)
+            values = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(len(nodes), OWN)
             at, below = _descend(nodes, values, threshold, 1, level)
             take = pa.array(at)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(below.view(np.int64)), batch.column(1).take(take), batch.column(2).take(take)],
-                ["node", "doc_id", "sketch"],
+                [pa.array(below.view(np.int64)), *(batch.column(i).take(take) for i in (1, 2, 3))],
+                ["node", "doc_id", "sketch", "own"],
             )
 
-    return rows.select("node", "doc_id", "sketch").mapInArrow(task, "node long, doc_id long, sketch binary")
+    return rows.select("node", "doc_id", "sketch", "own").mapInArrow(task, _NODES)
 
 
 def _spread(count: int, unreached_of) -> Iterator[tuple[int, np.ndarray]]:
@@ -179,7 +194,7 @@ def _sketch_forest(rows: DataFrame, least_equal: int) -> DataFrame:
     def task(batches):
         for table in groups(batches):
             nodes, ids = table.column(0).to_numpy(), table.column(1).to_numpy()
-            sketches = np.frombuffer(b"".join(table.column(2).to_pylist()), np.uint8).reshape(len(ids), COORDINATES)
+            sketches = np.frombuffer(b"".join(table.column(2).to_pylist()), np.uint8).reshape(len(ids), SKETCH)
             starts = np.flatnonzero(np.r_[True, nodes[1:] != nodes[:-1]])
             sizes = np.diff(np.r_[starts, len(nodes)])
             pairs = starts[sizes == 2]
@@ -201,7 +216,7 @@ def _pivot_forest(rows: DataFrame, least_equal: int) -> list[DataFrame]:
 
     def task(batches):
         for batch in batches:
-            own, pivots = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, COORDINATES) for i in (2, 4))
+            own, pivots = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SKETCH) for i in (2, 4))
             near = pa.array((own == pivots).sum(axis=1) >= least_equal)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), near], ["node", "doc_id", "sketch", "pivot", "near"])
 
@@ -219,9 +234,22 @@ def _pivot_forest(rows: DataFrame, least_equal: int) -> list[DataFrame]:
 
 
 def _candidate_edges(members: DataFrame, threshold: float, trees: int, node_rows: int) -> DataFrame:
-    slack = 5 * math.sqrt(COORDINATES * threshold * (1 - threshold))
-    least_equal = math.floor(COORDINATES * threshold - slack)
-    rows, level, edges = _first_nodes(members, threshold, trees), 2, []
+    edges, deep = _tree_edges(_first_nodes(members, threshold, range(trees)), threshold, node_rows)
+    if deep is not None:
+        again = members.join(deep.hint("merge"), F.col("doc_id") == F.col("_deep")).drop("_deep")
+        more = range(trees, trees + math.ceil(MORE_TREES * trees / TREES))
+        edges += _tree_edges(_first_nodes(again, threshold, more), threshold, node_rows)[0]
+    found = edges[0]
+    for more in edges[1:]:
+        found = found.union(more)
+    return found
+
+
+def _tree_edges(rows: DataFrame, threshold: float, node_rows: int) -> tuple[list[DataFrame], DataFrame | None]:
+    """Edges of all nodes below the given ones; and the documents in large nodes, if there are any."""
+    slack = 5 * math.sqrt(SKETCH * threshold * (1 - threshold))
+    least_equal = math.floor(SKETCH * threshold - slack)
+    level, edges, deep = 2, [], None
     while True:
         sizes = stage(rows.groupBy(F.col("node").alias("_of")).agg(F.count("*").alias("n")).where(F.col("n") > 1))
         rows = stage(rows.join(sizes.hint("merge"), F.col("node") == F.col("_of")).drop("_of"))
@@ -229,14 +257,13 @@ def _candidate_edges(members: DataFrame, threshold: float, trees: int, node_rows
         large = rows.where(F.col("n") > node_rows)
         if large.isEmpty():
             break
+        if deep is None:
+            deep = stage(large.select(F.col("doc_id").alias("_deep")).distinct())
         if level == DEEPEST:
             edges += _pivot_forest(large, least_equal)
             break
         rows, level = _next_nodes(large, threshold, level), level + 1
-    found = edges[0]
-    for more in edges[1:]:
-        found = found.union(more)
-    return found
+    return edges, deep
 
 
 class _Sets:

@@ -152,6 +152,27 @@ def test_rows_that_share_an_id_are_one_vertex(documents):
     assert got == {(1, 1), (5, 1), (7, 1)}
 
 
+@pytest.mark.parametrize("levels,more", [(2, 0), (4, near_dedup.MORE_TREES), (8, near_dedup.MORE_TREES)])
+@pytest.mark.parametrize("share", [0.85, 0.8])
+def test_isolated_pairs_at_the_threshold_meet(levels, more, share):
+    """Of 5,000 pairs at exactly the threshold, none is lost by all trees, at any depth."""
+    n, draw = 5_000, np.random.default_rng(levels)
+    a = draw.integers(0, 2**16, (n, near_dedup.COORDINATES)).astype(np.uint16)
+    b = np.where(draw.random(a.shape) < share, a, draw.integers(0, 2**16, a.shape).astype(np.uint16))
+    values, met = np.concatenate([a, b]), np.zeros(n, bool)
+    for tree in range(near_dedup.TREES + more):
+        own = values[:, near_dedup.own_coordinates(tree)]
+        roots = near_dedup.mix64(np.full(2 * n, tree + 1, np.uint64))
+        rows, nodes = near_dedup._descend(roots, own, share, 2)
+        at, below = near_dedup._descend(nodes, (own & 0xFF)[rows], share, levels - 2, 2)
+        rows, nodes = rows[at], below
+        pairs, both = rows % n, rows < n
+        left = set(zip(pairs[both].tolist(), nodes[both].tolist(), strict=True))
+        right = set(zip(pairs[~both].tolist(), nodes[~both].tolist(), strict=True))
+        met[[pair for pair, _ in left & right]] = True
+    assert (~met).sum() <= 1
+
+
 def test_no_pairs_of_a_group(documents):
     """A group of copies with small differences gives a forest, not pairs."""
     base = prose(3, 100)
