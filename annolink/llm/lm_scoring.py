@@ -1,14 +1,16 @@
 """Language-model scores from a log-frequency Bloom filter.
 
 1. Counts of all words and word pairs of the training documents: combined inside each task,
-   shuffled by filter segment (a hash of the pair, so no segment is hot), summed there.
+   shuffled by filter segment (a hash of the pair, so no segment is hot), summed there. The number
+   of segments grows with the training texts, so that one task can hold any of them.
 2. Each segment of the filter is built where its counts are. A pair with count c is stored
    under every level 1 .. 1 + log(c) / log(``BASE``); a probe asks for one level after the
    other until one is missing, and the last one found stands for the mean count of all that
    have this level. A segment is divided by further bits of the key until no part is more than
    half full, so the filter grows with what is counted and keeps every level of every key.
 3. The model mixes two estimates, p = w * c(h, t) / c(h) + (1 - w) * p(t), where p(t) is the
-   smoothed share of the word that the base score uses as well. The weight w depends on the
+   smoothed share of the word that the base score uses as well. As counts of pairs are means of
+   their levels, the probabilities after a word sum to one but for some per cent. The weight w depends on the
    size of c(h). It is the best of a grid on all training documents (``fit_rows`` of them, if
    given), each scored by what the other documents have counted.
 4. A filter of up to ``BROADCAST_PARTS`` parts (64 MB) is broadcast. A larger one stays where
@@ -18,7 +20,8 @@
    The base score needs exact counts: those of all other words are joined by the word's
    64-bit hash.
 
-Cases: a null text is an empty one, with the end as its only token. Rows without an id hash
+Cases: very long texts are read whole, and further columns do not matter.
+A null text is an empty one, with the end as its only token. Rows without an id hash
 like an empty id. Rows are scored each. Without training documents every probability is that
 of no counts. An empty table gives an empty result.
 """
@@ -37,7 +40,9 @@ from annolink.llm.grouping import groups
 from annolink.llm.hashing import WordHash
 from annolink.staging import stage
 
-SEGMENTS, SEGMENT_BITS, PROBES = 1024, 1 << 19, 3
+# Segments at least; bytes of training text that one of them is counted for at most.
+SEGMENTS, SEGMENT_TEXT = 1024, 8_000_000
+SEGMENT_BITS, PROBES = 1 << 19, 3
 BASE = math.sqrt(2)
 LEVELS = 128
 FREQUENT = 200_000
@@ -60,49 +65,52 @@ def level_of(counts: np.ndarray) -> np.ndarray:
     return 1 + np.floor(np.log(counts) / math.log(BASE) + 1e-9).astype(np.int64)
 
 
-def segment_of(keys: np.ndarray) -> np.ndarray:
-    return (keys >> np.uint64(54)).astype(np.int64) % SEGMENTS
+def n_segments(text_bytes: int) -> int:
+    """A power of two: so many segments as the training texts need."""
+    return max(SEGMENTS, 1 << math.ceil(math.log2(max(1, text_bytes / SEGMENT_TEXT))))
+
+
+def segment_of(keys: np.ndarray, segments: int) -> np.ndarray:
+    """The first bits of a key."""
+    return (keys >> np.uint64(65 - segments.bit_length())).astype(np.int64)
 
 
 def places_of(keys: np.ndarray, level: np.ndarray | int) -> list[np.ndarray]:
     """The bits of keys at a level, inside their segment."""
     spread = mix64(keys + np.asarray(level).astype(np.uint64) * _STEP)
-    return [((spread >> np.uint64(19 * j)) % np.uint64(SEGMENT_BITS)).astype(np.int64) for j in range(PROBES)]
+    return [((spread >> np.uint64(19 * j)) & np.uint64(SEGMENT_BITS - 1)).astype(np.int64) for j in range(PROBES)]
 
 
 def segment_bits(keys: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """A filled segment; rarest keys are left out, a level at a time, if it gets too full.
-
-    ``divided`` calls it for parts that are not too full only.
-    """
-    most = int(SEGMENT_BITS * math.log(2) / PROBES)
+    """A filled part: every key under every level up to its own."""
     bits = np.zeros(SEGMENT_BITS, bool)
-    inserted = np.cumsum(np.bincount(levels, minlength=LEVELS)[::-1] * np.arange(LEVELS)[::-1])[::-1]
-    least = int(np.argmax(inserted <= most))
-    keys, levels = keys[levels >= least], levels[levels >= least]
     for level in range(1, int(levels.max(initial=0)) + 1):
         for places in places_of(keys[levels >= level], level):
             bits[places] = True
     return np.packbits(bits, bitorder="little")
 
 
-def divided(keys: np.ndarray, levels: np.ndarray) -> list[np.ndarray]:
+def divided(keys: np.ndarray, levels: np.ndarray, segments: int) -> list[np.ndarray]:
     """Filled parts of one segment, as many (a power of two) as keep every level of every key."""
     most, depth = int(SEGMENT_BITS * math.log(2) / PROBES), 0
     while True:
-        part = part_of(keys, np.full(SEGMENTS, depth)) % (1 << depth)
+        part = _inside(keys, np.full(len(keys), depth, np.uint64), segments)
         if np.bincount(part, levels, 1).max() <= most:
             return [segment_bits(keys[part == k], levels[part == k]) for k in range(1 << depth)]
         depth += 1
 
 
+def _inside(keys: np.ndarray, depth: np.ndarray, segments: int) -> np.ndarray:
+    """The part of a segment: the bits of a key behind those that name the segment."""
+    own = keys >> (np.uint64(65 - segments.bit_length()) - depth)
+    return (own & ((np.uint64(1) << depth) - np.uint64(1))).astype(np.int64)
+
+
 def part_of(keys: np.ndarray, depths: np.ndarray) -> np.ndarray:
     """The part of the filter a key belongs to, where segment s has 2 ** depths[s] parts."""
-    segment = segment_of(keys)
-    depth = depths[segment].astype(np.uint64)
+    segment = segment_of(keys, len(depths))
     first = np.r_[0, np.cumsum(1 << depths)[:-1]]
-    inside = (keys >> (np.uint64(54) - depth)) & ((np.uint64(1) << depth) - np.uint64(1))
-    return first[segment] + inside.astype(np.int64)
+    return first[segment] + _inside(keys, depths[segment].astype(np.uint64), len(depths))
 
 
 class Filter:
@@ -115,12 +123,12 @@ class Filter:
         found = np.zeros(len(keys), np.int64)
         active, base = np.arange(len(keys)), (part_of(keys, self.depths) - self.first) * SEGMENT_BITS
         for level in range(1, LEVELS):
-            own = keys[active]
-            inside = np.ones(len(own), bool)
-            for places in places_of(own, level):
-                at = base[active] + places
-                inside &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-            active = active[inside]
+            spread = mix64(keys[active] + np.uint64(level * int(_STEP) % 2**64))
+            # A key that misses one place is not looked for at the others.
+            for j in range(PROBES):
+                at = base[active] + ((spread >> np.uint64(19 * j)) & np.uint64(SEGMENT_BITS - 1)).astype(np.int64)
+                inside = (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+                active, spread = active[inside], spread[inside]
             if not len(active):
                 break
             found[active] = level
@@ -221,7 +229,19 @@ def _summed(keys: np.ndarray, documents: np.ndarray | None = None):
     return k[new], d[new], np.bincount(group, minlength=int(new.sum())), place
 
 
-def _grams(train: DataFrame) -> DataFrame:
+def _own_counts(keys: np.ndarray, documents: np.ndarray) -> np.ndarray:
+    """For each key, how often its document has it."""
+    both = keys + documents.astype(np.uint64) * _PAIR
+    order = np.argsort(both)
+    ordered = both[order]
+    starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    lengths = np.diff(np.r_[starts, len(ordered)])
+    counts = np.empty(len(keys), np.int64)
+    counts[order] = np.repeat(lengths, lengths)
+    return counts
+
+
+def _grams(train: DataFrame, segments: int) -> DataFrame:
     """(segment, size, key, n): sums over some documents each; size 1 for words, 2 for pairs."""
 
     def task(batches):
@@ -234,7 +254,7 @@ def _grams(train: DataFrame) -> DataFrame:
                     distinct, n = _summed(keys)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(segment_of(distinct).astype(np.int32)),
+                            pa.array(segment_of(distinct, segments).astype(np.int32)),
                             pa.array(np.full(len(n), size, np.int8)),
                             pa.array(distinct.view(np.int64)),
                             pa.array(n.astype(np.int64)),
@@ -245,7 +265,7 @@ def _grams(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(task, "segment int, size tinyint, key long, n long")
 
 
-def _segments(counts: DataFrame) -> DataFrame:
+def _segments(counts: DataFrame, segments: int) -> DataFrame:
     """Per segment its bits and sums by level, and a row for every word with its exact count."""
     schema = "segment int, part int, bits binary, level_n array<long>, level_sum array<long>, key long, n long"
 
@@ -262,7 +282,7 @@ def _segments(counts: DataFrame) -> DataFrame:
             for start, end in zip(starts, np.r_[starts[1:], len(segment)], strict=True):
                 own, counted = keys[start:end].view(np.uint64), n[start:end]
                 levels = level_of(counted)
-                parts = divided(own, levels)
+                parts = divided(own, levels, segments)
                 sums = [np.bincount(levels, weights, LEVELS).astype(np.int64).tolist() for weights in (None, counted)]
                 # Sums of the segment are in the row of its first part.
                 for k, bits in enumerate(parts):
@@ -394,16 +414,23 @@ def _fit(train: DataFrame, model: Model, held, fit_rows: int | None, shard_parts
         total = np.zeros((BUCKETS, len(GRID)))
         for _, _, tokens, document, firsts in _loaded(batches, model, packed):
             word, context, before, keys, pair = model.parts(tokens, model.exact(tokens), firsts)
-            own = []
-            for key in (tokens, before, keys):
-                _, _, n, place = _summed(key, document)
-                own.append(n[place])
+            of_word = _own_counts(tokens, document)
+            # Every word but the end is the one before as often as it occurs; the start is so once.
+            of_context = np.r_[1, of_word[:-1]]
+            of_context[firsts] = 1
+            own = of_word, of_context, _own_counts(keys, document)
             word, context, pair = (np.maximum(c - o, 0) for c, o in zip((word, context, pair), own, strict=True))
             share = (word + 0.5) / model.total
             ratio = np.divide(np.minimum(pair, context), context, out=np.zeros(len(pair)), where=context > 0)
             buckets = model.bucket(context)
+            # Where the others have not seen the pair, the logarithm is a sum.
+            seen, unseen = (ratio > 0).nonzero()[0], ((ratio == 0) & (context > 0)).nonzero()[0]
+            shares = np.bincount(buckets[unseen], np.log(share[unseen]), BUCKETS)
+            n_unseen = np.bincount(buckets[unseen], minlength=BUCKETS)
+            buckets, ratio, share = buckets[seen], ratio[seen], share[seen]
             for k, weight in enumerate(GRID):
-                total[:, k] += np.bincount(buckets, np.log(weight * ratio + (1 - weight) * share) * (context > 0), BUCKETS)
+                total[:, k] += shares + n_unseen * math.log(1 - weight)
+                total[:, k] += np.bincount(buckets, np.log(weight * ratio + (1 - weight) * share), BUCKETS)
         at = np.arange(BUCKETS)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(list(total), pa.list_(pa.float64()))], ["bucket", "sums"])
 
@@ -423,20 +450,21 @@ def train_model(
     The broadcast is made once; weights are set where the model is used.
     """
     spark = train.sparkSession
-    summed = _grams(train).repartition("segment").groupBy("segment", "size", "key").agg(F.sum("n").alias("n"))
-    built = stage(_segments(summed.select("segment", "size", "key", "n")))
+    segments = n_segments(train.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    summed = _grams(train, segments).repartition("segment").groupBy("segment", "size", "key").agg(F.sum("n").alias("n"))
+    built = stage(_segments(summed.select("segment", "size", "key", "n"), segments))
     words = built.where(F.col("key").isNotNull()).select("key", F.col("n").alias("c"))
     n_tokens, n_words = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     parts = built.where(F.col("segment").isNotNull())
-    depths, level_n, level_sum = np.zeros(SEGMENTS, np.int64), np.zeros(LEVELS), np.zeros(LEVELS)
-    # At most SEGMENTS rows.
+    depths, level_n, level_sum = np.zeros(segments, np.int64), np.zeros(LEVELS), np.zeros(LEVELS)
+    # A row of some KB per segment, one after the other.
     sums = parts.groupBy("segment").agg(F.count("*").alias("n"), F.max("level_n").alias("level_n"), F.max("level_sum").alias("level_sum"))
     for segment, n, counted, total in sums.toLocalIterator():
         depths[segment] = n.bit_length() - 1
         level_n += np.array(counted)
         level_sum += np.array(total)
     first = np.r_[0, np.cumsum(1 << depths)]
-    firsts = F.broadcast(spark.createDataFrame(list(zip(range(SEGMENTS), first[:-1].tolist(), strict=True)), "segment int, first int"))
+    firsts = F.broadcast(spark.createDataFrame(list(zip(range(segments), first[:-1].tolist(), strict=True)), "segment int, first int"))
     parts = parts.join(firsts, "segment").select((F.col("first") + F.col("part")).alias("part"), "bits")
     whole, bits = first[-1] <= broadcast_parts, None
     if whole:
