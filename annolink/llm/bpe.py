@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from annolink.llm.common import shared, texts
 
 # Words whose ids a task remembers, the length up to which it does, and pairs.
-WORDS, WORD_LENGTH, PAIRS = 300_000, 64, 1_000_000
+WORDS, WORD_LENGTH, PAIRS = 250_000, 64, 300_000
 # Bytes of text that are handed on together, and ids decoded at once.
 BATCH_BYTES, BATCH_IDS = 4_000_000, 200_000
 # The last character of a word is another symbol than the same character inside it.
@@ -151,14 +151,14 @@ class Encoder:
                 if (head := self.whole.get(text[:end])) is not None:
                     self.shorter[n] = head
                     break
-        self.together: dict[tuple[int, int], bool] = {}
+        self.together: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
         self.characters = byte_characters()
         self.ids = [np.uint32(i).astype("<u4").tobytes() for i in v.ids]
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether the merges, run over the texts of both tokens, end with just these two."""
-        key = (left, right)
+        key = left << 32 | right
         answer = self.together.get(key)
         if answer is None:
             if len(self.together) >= PAIRS:
