@@ -14,6 +14,7 @@ from annolink.functions.scalar import (
     search_copy,
     with_id_prefix,
 )
+from annolink.operators.skew import distinct_rows, tasks_for
 
 
 def parse_mentions(raw: DataFrame) -> DataFrame:
@@ -35,12 +36,16 @@ def multiword_only(df: DataFrame, name: str = "name") -> DataFrame:
 
 
 def loadable(labelled: DataFrame) -> DataFrame:
-    """Labelled mentions as they enter the lookup: prefixed ids, no blank score, distinct."""
-    return valid_rows(
+    """Labelled mentions as they enter the lookup: prefixed ids, no blank score, distinct.
+
+    The mentions are counted first, so they should be a written table.
+    """
+    rows = valid_rows(
         labelled.withColumn("doc_id", with_id_prefix(F.col("doc_id"))).withColumn(
             "score", default_score(F.col("score").cast("string")).cast("int")
         )
-    ).distinct()
+    )
+    return distinct_rows(rows, tasks_for(labelled.sparkSession, labelled.count()))
 
 
 def valid_rows(df: DataFrame, prefix: str = DOCUMENT_PREFIX) -> DataFrame:

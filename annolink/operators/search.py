@@ -18,8 +18,9 @@ from annolink.fixed_values import (
 )
 from annolink.functions.scalar import lookup_prefix
 from annolink.operators.publications import HOT_ROWS, gather
-from annolink.operators.skew import fits_broadcast
+from annolink.operators.skew import distinct_rows, fits_broadcast, tasks_for
 from annolink.operators.stats import top_entities
+from annolink.staging import stage
 from annolink.unions import append
 
 # Lookup column to (kind, fact column).
@@ -34,33 +35,42 @@ def lookup_table(facts: DataFrame, strict_prefix: bool = False) -> DataFrame:
     """Facts in long form: one row per searchable value, with its prefix.
 
     ``strict_prefix`` leaves out values whose first two characters are not letters or digits.
+    The facts are counted first, so they should be a written table.
     """
-    short = F.coalesce(*[F.when(F.col("kind") == k, F.lit(s)) for k, s in KINDS.items()])
     rest = ("name", "entity_id", "score")
     own = [F.col(c).alias(c) for c in rest]
     blank = [F.lit(None).cast(facts.schema[c].dataType).alias(c) for c in rest]
 
-    def entry(attr, value, others):
-        return F.struct(attr.alias("attr"), F.col(value).alias("value"), "doc_id", *others)
+    def entry(field, others):
+        return F.struct(_attr(field), F.col(field).alias("value"), "doc_id", *others)
 
-    entries = F.explode(
-        F.array(
-            entry(F.concat(short, F.lit("_name")), "name", own),
-            entry(F.concat(short, F.lit("_id")), "entity_id", own),
-            entry(F.lit("doc_id"), "doc_id", blank),
-        )
-    )
+    entries = [entry("name", own), entry("entity_id", own), entry("doc_id", blank)]
+    rows = facts.select(F.explode(F.array(*entries)).alias("entry")).select("entry.*").where(F.col("value") != "")
+    tasks = tasks_for(facts.sparkSession, len(entries) * facts.count())
     table = (
-        facts.select(entries.alias("entry"))
-        .select("entry.*")
-        .where(F.col("value") != "")
-        .distinct()
+        distinct_rows(rows, tasks)
         .withColumns({"value_lower": F.lower("value"), "prefix": lookup_prefix(F.col("value"))})
         .withColumn("first", F.substring("prefix", 1, 1))
     )
     return table.where(F.col("prefix") != "_other") if strict_prefix else table
 
 
+def _attr(field: str) -> Column:
+    """The lookup column that a field of a fact is searched in."""
+    if field == "doc_id":
+        return F.lit("doc_id").alias("attr")
+    short = F.coalesce(*[F.when(F.col("kind") == k, F.lit(s)) for k, s in KINDS.items()])
+    return F.concat(short, F.lit("_name" if field == "name" else "_id")).alias("attr")
+
+
+def searchable(facts: DataFrame, fields: list[str], *kept: str) -> DataFrame:
+    """(attr, value, first, *kept): the values of ``lookup_table`` in some fields of facts, equal rows repeated."""
+    entries = [F.struct(_attr(f), F.col(f).alias("value")) for f in fields]
+    rows = facts.select(*kept, F.explode(F.array(*entries)).alias("entry")).select("entry.*", *kept)
+    rows = rows.where(F.col("value") != "")
+    return rows.withColumn("first", F.substring(lookup_prefix(F.col("value")), 1, 1))
+
+
 def starts_with(
     lookup: DataFrame, attr: str, text: str, case_insensitive: bool = True
 ) -> DataFrame:
@@ -235,7 +245,8 @@ def documents_of(
 
 def lookup_batch(facts: DataFrame, requests: DataFrame) -> DataFrame:
     """Distinct (query_key, doc_id) for requests (query_key, kind, entity_id), as one join."""
-    return facts.join(requests, ["entity_id", "kind"]).select("query_key", "doc_id").distinct()
+    pairs = stage(facts.join(requests, ["entity_id", "kind"]).select("query_key", "doc_id"))
+    return distinct_rows(pairs, tasks_for(pairs.sparkSession, pairs.count()))
 
 
 def transactions(

@@ -7,7 +7,7 @@ spreads one key over many tasks; no row is dropped on either path.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,8 @@ from annolink.staging import stage
 HOT_ROWS = 100_000
 # A side is broadcast only when it was measured to be below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Rows that one task should hold in memory, about.
+TASK_ROWS = 250_000
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int | None = HOT_ROWS) -> DataFrame | None:
@@ -33,6 +35,31 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int | None = HOT_ROWS) -> DataFr
     return None if hot.isEmpty() else hot
 
 
+def key_sizes(df: DataFrame, key: str) -> tuple[int, int]:
+    """The number of rows, and the most rows that a key has."""
+    counts = df.groupBy(key).agg(F.count("*").alias("n_rows"))
+    rows, most = counts.agg(F.sum("n_rows"), F.max("n_rows")).first()
+    return rows or 0, most or 0
+
+
+def tasks_for(spark: SparkSession, rows: int, task_rows: int = TASK_ROWS) -> int:
+    """Into how many tasks so many rows are dealt: all cores have one, and none has too many rows.
+
+    Adaptive execution keeps its hands off a given number. It would join partitions by their compressed
+    bytes, and rows of a few popular values take ten times as much in a task's memory.
+    """
+    return max(spark.sparkContext.defaultParallelism, -(-rows // task_rows))
+
+
+def distinct_rows(df: DataFrame, tasks: int) -> DataFrame:
+    """Distinct rows, dealt by the whole row first.
+
+    A plain distinct stays where the join before it has put the rows: all those of a popular entity
+    in one task, which holds them twice.
+    """
+    return df.repartition(tasks, *df.columns).distinct()
+
+
 def number_copies(df: DataFrame, chunk: int = HOT_ROWS) -> DataFrame:
     """All rows, with a column ``copy`` that tells equal rows apart.
 

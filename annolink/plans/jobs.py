@@ -105,7 +105,7 @@ def load_lookup(
     labelled: DataFrame, path: str, mode: str = REFUSE, strict_prefix: bool = False
 ) -> None:
     """Labelled mentions to the lookup table on disk."""
-    facts = stage(clean.loadable(labelled))
+    facts = stage(clean.loadable(stage(labelled)))
     write_lookup(search.lookup_table(facts, strict_prefix), path, mode)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from annolink.fixed_values import LATIN_NAMES
 from annolink.operators.clean import cut_below, parse_mentions, with_id_prefix
 from annolink.operators.label import label
+from annolink.operators.skew import distinct_rows, tasks_for
 from annolink.operators.tagging import words_of
 
 
@@ -95,7 +96,9 @@ def labelled(spark, sf) -> DataFrame:
 
 def facts(spark, sf) -> DataFrame:
     """Distinct labelled mentions with prefixed document ids."""
-    return labelled(spark, sf).withColumn("doc_id", with_id_prefix(F.col("doc_id"))).distinct()
+    rows = labelled(spark, sf).withColumn("doc_id", with_id_prefix(F.col("doc_id")))
+    # Counted by the footers of the file.
+    return distinct_rows(rows, tasks_for(spark, table(spark, sf, "lineitem").count()))
 
 
 def taxonomy(spark, sf) -> DataFrame:
