@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from annolink.fixed_values import KINDS, PAGE_SIZE
 from annolink.functions.scalar import lookup_prefix
 from annolink.operators.publications import list_parts, ranked_entries
-from annolink.operators.search import lookup_table, order_kind
-from annolink.operators.skew import with_position
+from annolink.operators.search import order_kind, searchable
+from annolink.operators.skew import tasks_for, with_position
 from annolink.staging import stage
 from annolink.unions import append
 
@@ -40,11 +40,24 @@ class Index:
     entries: DataFrame
 
 
-def as_words(numbered: DataFrame, *keys: str) -> DataFrame:
-    """(*keys, number) to (*keys, word, bits): one row per key and 64 numbers."""
-    bit = F.expr(f"shiftleft(1L, cast(number % {WORD} as int))")
-    word = F.expr(f"number div {WORD}").alias("word")
-    return numbered.groupBy(*keys, word).agg(F.bit_or(bit).alias("bits"))
+def _word() -> Column:
+    return F.expr(f"number div {WORD}").alias("word")
+
+
+def _bit() -> Column:
+    """The bit of a number in its word."""
+    return F.expr(f"shiftleft(1L, cast(number % {WORD} as int))").alias("bit")
+
+
+def as_words(numbered: DataFrame, *keys: str, tasks: int | None = None) -> DataFrame:
+    """(*keys, number) to (*keys, word, bits): one row per key and 64 numbers.
+
+    Where most rows have a word of their own, which no task could unite before the shuffle, they are
+    dealt to a number of tasks first.
+    """
+    rows = numbered.select(*keys, _word(), _bit())
+    rows = rows if tasks is None else rows.repartition(tasks, *keys, "word")
+    return rows.groupBy(*keys, "word").agg(F.bit_or("bit").alias("bits"))
 
 
 def numbers_of(words: DataFrame) -> DataFrame:
@@ -56,29 +69,38 @@ def numbers_of(words: DataFrame) -> DataFrame:
 
 def index_tables(facts: DataFrame, pubs: DataFrame) -> dict[str, DataFrame]:
     """The tables of an index over the documents that have a publication row."""
+    pubs = stage(pubs)
     documents = stage(with_position(pubs.select("doc_id").distinct(), "doc_id", name="number"))
     known = stage(facts.join(documents, "doc_id"))
-    lookup = lookup_table(known.drop("number")).select("attr", "value", "first", "doc_id").distinct()
-    values = lookup.join(documents, "doc_id").select("attr", "value", "first", "number")
-    filled = [
-        F.struct(F.lit(c).alias("value"), (F.col(c).isNotNull() & (F.col(c).cast("string") != "")).alias("held"))
-        for c in pubs.columns
-    ]
-    held = pubs.select("doc_id", F.explode(F.array(*filled)).alias("column")).where("column.held")
-    held = held.select(
-        F.lit("filled").alias("attr"), F.col("column.value").alias("value"), F.lit("_").alias("first"), "doc_id"
-    )
-    held = held.join(documents, "doc_id").select("attr", "value", "first", "number")
+    # Equal values of a document set the same bit.
+    fields = ["name", "entity_id", "doc_id"]
+    tasks = tasks_for(facts.sparkSession, len(fields) * known.count())
+    words = as_words(searchable(known, fields, "number"), "attr", "first", "value", tasks=tasks)
     best = known.groupBy("kind", "number").agg(F.max("score").alias("score"))
     return {
         "documents": documents,
-        "postings": as_words(append(values, held), "attr", "first", "value"),
+        "postings": append(words, _filled_words(pubs, documents)),
         "scores": as_words(best, "kind", "score"),
         "publications": pubs,
         "entries": ranked_entries(known),
     }
 
 
+def _filled_words(pubs: DataFrame, documents: DataFrame) -> DataFrame:
+    """The words of each publication column's filled fields: one row per word while they are gathered."""
+    filled = {c: F.col(c).isNotNull() & (F.col(c).cast("string") != "") for c in pubs.columns}
+    flags = pubs.select("doc_id", *[held.alias(f"_{c}") for c, held in filled.items()])
+    numbered = flags.join(documents, "doc_id")
+    words = numbered.groupBy(_word()).agg(
+        *[F.bit_or(F.when(F.col(f"_{c}"), _bit())).alias(f"_{c}") for c in filled]
+    )
+    columns = F.array(*[F.struct(F.lit(c).alias("value"), F.col(f"_{c}").alias("bits")) for c in filled])
+    rows = words.select("word", F.explode(columns).alias("column")).where("column.bits is not null")
+    return rows.select(
+        F.lit("filled").alias("attr"), F.lit("_").alias("first"), "column.value", "word", "column.bits"
+    )
+
+
 def _clauses(wanted: Sequence[tuple[str, str]]) -> Column:
     """Rows of the clauses' values; the folders to read are a condition of their own."""
     folders, values = [], []

@@ -8,10 +8,14 @@ from pyspark.sql import types as T
 
 from annolink.fixed_values import EVALUATION_COLUMNS, HEADINGS
 from annolink.functions.lists import encode_list
+from annolink.operators.skew import tasks_for
 from annolink.schemas import BATCH_HEADER, FACTS
+from annolink.staging import stage
 from annolink.unions import append
 
 REFUSE = "errorifexists"
+# Rows of a file that is sorted before it is written.
+FILE_ROWS = 1_000_000
 
 
 def write_corpus(tables: dict[str, DataFrame], path: str, mode: str = REFUSE) -> None:
@@ -35,13 +39,15 @@ def write_lookup(lookup: DataFrame, path: str, mode: str = REFUSE) -> None:
     spread over many files instead of filling one.
     """
     order = ["attr", "first", "value_lower", "doc_id"]
-    (
-        lookup.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.mode(mode)
-        .partitionBy("attr", "first")
-        .parquet(path)
-    )
+    _ranges(lookup, order).write.mode(mode).partitionBy("attr", "first").parquet(path)
+
+
+def _ranges(table: DataFrame, order: list[str]) -> DataFrame:
+    """Sorted ranges of a number of rows that one task sorts in memory. The bounds are sampled from the
+    table and its rows are counted, so it is written before it is dealt, and not computed three times."""
+    rows = stage(table)
+    tasks = tasks_for(rows.sparkSession, rows.count(), FILE_ROWS)
+    return rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
 
 
 def write_batches(facts: DataFrame, path: str, batches: list[str] | None = None) -> None:
@@ -88,8 +94,7 @@ def write_index(tables: dict[str, DataFrame], path: str, mode: str = REFUSE) ->
         "entries": ((), ["doc_id", "kind", "rank"]),
     }
     for name, (folders, order) in layout.items():
-        sorted_rows = tables[name].repartitionByRange(*order).sortWithinPartitions(*order)
-        sorted_rows.write.mode(mode).partitionBy(*folders).parquet(f"{path}/{name}")
+        _ranges(tables[name], order).write.mode(mode).partitionBy(*folders).parquet(f"{path}/{name}")
 
 
 def export_tsv(
