@@ -25,16 +25,20 @@ def read_mentions(spark: SparkSession, path: str, prefix: str = "*") -> DataFram
     Each may also be a folder of that name, as Spark writes them.
     """
     files = _read_tsv(spark, f"{path}/{prefix}__*.tsv", schemas.RAW_MENTIONS)
+    # No regular expression, since every mention passes here: the folder, else the file, that ends like one.
+    kind, batch = F.lit(None).cast("string"), F.lit(None).cast("string")
+    path = F.col("_metadata.file_path")
+    for named in (F.substring_index(path, "/", -1), F.substring_index(F.substring_index(path, "/", -2), "/", 1)):
+        for k in KINDS:
+            end = f"__{k}.tsv"
+            fits = named.endswith(end) & (F.length(named) > len(end))
+            kind = F.when(fits, F.lit(k)).otherwise(kind)
+            batch = F.when(fits, F.substring(named, F.lit(1), F.length(named) - len(end))).otherwise(batch)
     # The path is URL-encoded, but for the plus sign.
-    name = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
-    parts = rf"([^/]+)__({'|'.join(KINDS)})\.tsv(/[^/]*)?$"
-    return files.select(
-        F.regexp_extract(name, parts, 2).alias("kind"),
-        F.regexp_extract(name, parts, 1).alias("batch"),
-        "doc_raw",
-        "entity_id",
-        "score",
-    ).where(F.col("kind") != "")
+    decoded = F.url_decode(F.replace("batch", F.lit("+"), F.lit("%2B")))
+    rows = files.select(kind.alias("kind"), batch.alias("batch"), "doc_raw", "entity_id", "score")
+    rows = rows.where(F.col("kind").isNotNull())
+    return rows.withColumn("batch", F.when(F.col("batch").contains("%"), decoded).otherwise(F.col("batch")))
 
 
 def read_labels(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
