@@ -11,7 +11,7 @@ from annolink.fixed_values import KINDS
 from annolink.functions.lists import decode_list, encode_list
 from annolink.functions.scalar import link_out, score_band
 from annolink.operators.factorised import expand, factorise
-from annolink.operators.skew import HOT_ROWS, hot_keys, number_copies, with_position
+from annolink.operators.skew import HOT_ROWS, hot_keys, key_sizes, number_copies, tasks_for, with_position
 from annolink.unions import append
 
 
@@ -31,15 +31,15 @@ def publications(
     ``inner`` drops documents that lack an attribute, ``left`` gives NULL. Every table is
     shuffled by document once: that serves both its deduplication and all the joins.
     """
-    listed = docs.select("doc_id").distinct()
     attributes = {name: dim.select("doc_id", name) for name, dim in dims.items()}
-    hot = hot_keys(
-        append(*[d.select("doc_id") for d in attributes.values()]),
-        "doc_id",
-        hot_rows,
-    )
+    given = append(*[d.select("doc_id") for d in attributes.values()])
+    rows, most = key_sizes(given, "doc_id")
+    # All tables are dealt to the same tasks, as many as all their rows need.
+    tasks = tasks_for(docs.sparkSession, rows)
+    listed = docs.select("doc_id").repartition(tasks, "doc_id").distinct()
+    hot = hot_keys(given, "doc_id", hot_rows if hot_rows is not None and most > hot_rows else None)
     if hot is None:
-        return _attach(listed, attributes, how)
+        return _attach(listed, attributes, how, tasks)
     keys = hot.select("doc_id")
     ordinary = {n: d.join(keys, "doc_id", "left_anti") for n, d in attributes.items()}
     rows = [
@@ -50,12 +50,12 @@ def publications(
     rows = rows.join(listed, "doc_id", "left_semi").withColumn("alive", F.lit(True))
     wide = expand(factorise(rows, list(dims), ["value"], hot_rows, required=how == "inner"), list(dims))
     wide = wide.select("doc_id", *[F.col(n)["value"].alias(n) for n in dims])
-    return append(_attach(listed.join(keys, "doc_id", "left_anti"), ordinary, how), wide)
+    return append(_attach(listed.join(keys, "doc_id", "left_anti"), ordinary, how, tasks), wide)
 
 
-def _attach(docs: DataFrame, attributes: dict[str, DataFrame], how: str) -> DataFrame:
+def _attach(docs: DataFrame, attributes: dict[str, DataFrame], how: str, tasks: int) -> DataFrame:
     for attribute in attributes.values():
-        docs = docs.join(attribute.repartition("doc_id").distinct(), "doc_id", how)
+        docs = docs.join(attribute.repartition(tasks, "doc_id").distinct(), "doc_id", how)
     return docs
 
 
