@@ -28,6 +28,7 @@ from annolink.operators import (
     stats,
     tagging,
 )
+from annolink.operators.skew import tasks_for
 from annolink.plans import jobs
 from annolink.sources import readers, writers
 from annolink.staging import new_folder, stage
@@ -380,7 +381,7 @@ def publication_table_colocated(spark, sf):
     tables = {"facts": label.label(mentions, s.entity_labels(spark, sf)), "docs": publications.document_ids(mentions)}
     dims = s.dims(spark, sf)
     prefix = f"colocated_{uuid.uuid4().hex}"
-    held = writers.write_colocated({**tables, **dims}, prefix, spark.sparkContext.defaultParallelism)
+    held = writers.write_colocated({**tables, **dims}, prefix, tasks_for(spark, mentions.count()))
     pubs = publications.colocated_publications(held["docs"], {n: held[n] for n in dims}, held["facts"])
     return publications.encode_lists(pubs)
 
