@@ -17,7 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annolink.operators.skew import HOT_ROWS, hot_keys, number_copies, with_position
+from annolink.operators.skew import HOT_ROWS, hot_keys, key_sizes, number_copies, with_position
+from annolink.staging import stage
 from annolink.unions import append
 
 # Combinations that one cell stands for at most.
@@ -41,6 +42,10 @@ def factorise(
     document are numbered from 0; the lists of all its cells are the same for any ``hot_rows``
     but for their order.
     """
+    small = _small(len(kinds), cell_rows)
+    _, most = key_sizes(rows, "doc_id")
+    if most <= small and (hot_rows is None or most <= hot_rows):
+        return _whole(_lists(rows, kinds, fields, required), kinds)
     hot = hot_keys(rows, "doc_id", hot_rows)
     if hot is None:
         return _from_lists(_lists(rows, kinds, fields, required), kinds, cell_rows)
@@ -108,7 +113,22 @@ def _n_rows(kinds: Sequence[str]) -> Column:
     return reduce(lambda a, k: a * F.greatest(F.lit(1), F.size(k)), kinds, F.lit(1).cast("long")).alias("n_rows")
 
 
+def _small(n_kinds: int, cell_rows: int) -> int:
+    """As many entries of a document make a single cell, however they are dealt to the kinds."""
+    # A product is largest where all lists are equally long; an empty one counts as one entry.
+    side = 1
+    while (side + 1) ** n_kinds <= cell_rows:
+        side += 1
+    return n_kinds * (side - 1) + 1
+
+
+def _whole(lists: DataFrame, kinds: Sequence[str]) -> DataFrame:
+    return lists.select("doc_id", F.lit(0).cast("long").alias("cell"), *kinds, _n_rows(kinds))
+
+
 def _from_lists(lists: DataFrame, kinds: Sequence[str], cell_rows: int) -> DataFrame:
+    # Read for the whole documents and for the cut ones.
+    lists = stage(lists)
     grid = _grid(lists, [F.size(k) for k in kinds], cell_rows)
     whole = grid.where(F.col("n_cells") == 1).select("doc_id", F.lit(0).cast("long").alias("cell"), *kinds)
     cells = grid.where(F.col("n_cells") > 1).withColumn("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_cells") - 1)))
