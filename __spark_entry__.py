@@ -522,20 +522,20 @@ def restrict_to(spark, sf):
 
 @_query
 def prefix_lookup(spark, sf):
-    lookup = search.lookup_table(stage(s.facts(spark, sf)))
+    lookup = search.lookup_table(s.facts(spark, sf), n_facts=s.n_mentions(spark, sf))
     rows = search.starts_with(lookup, "gene_name", "SM")
     return rows.select("value", "doc_id", "entity_id", "score")
 
 
 @_query
 def suggest(spark, sf):
-    lookup = search.lookup_table(stage(s.facts(spark, sf)))
+    lookup = search.lookup_table(s.facts(spark, sf), n_facts=s.n_mentions(spark, sf))
     return search.suggest(lookup, " sm").select("attr", "value")
 
 
 @_query
 def suggest_batch(spark, sf):
-    lookup = search.lookup_table(stage(s.facts(spark, sf)))
+    lookup = search.lookup_table(s.facts(spark, sf), n_facts=s.n_mentions(spark, sf))
     rows = search.suggest_batch(lookup, s.query_texts(spark, sf))
     return rows.select("text", "attr", "value")
 

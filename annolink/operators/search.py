@@ -31,11 +31,11 @@ COLUMNS = {
 }
 
 
-def lookup_table(facts: DataFrame, strict_prefix: bool = False) -> DataFrame:
+def lookup_table(facts: DataFrame, strict_prefix: bool = False, n_facts: int | None = None) -> DataFrame:
     """Facts in long form: one row per searchable value, with its prefix.
 
     ``strict_prefix`` leaves out values whose first two characters are not letters or digits.
-    The facts are counted first, so they should be a written table.
+    ``n_facts`` is how many facts there are at most; without it they are counted first.
     """
     rest = ("name", "entity_id", "score")
     own = [F.col(c).alias(c) for c in rest]
@@ -46,7 +46,8 @@ def lookup_table(facts: DataFrame, strict_prefix: bool = False) -> DataFrame:
 
     entries = [entry("name", own), entry("entity_id", own), entry("doc_id", blank)]
     rows = facts.select(F.explode(F.array(*entries)).alias("entry")).select("entry.*").where(F.col("value") != "")
-    tasks = tasks_for(facts.sparkSession, len(entries) * facts.count())
+    n_facts = facts.count() if n_facts is None else n_facts
+    tasks = tasks_for(facts.sparkSession, len(entries) * n_facts)
     table = (
         distinct_rows(rows, tasks)
         .withColumns({"value_lower": F.lower("value"), "prefix": lookup_prefix(F.col("value"))})

@@ -105,8 +105,9 @@ def load_lookup(
     labelled: DataFrame, path: str, mode: str = REFUSE, strict_prefix: bool = False
 ) -> None:
     """Labelled mentions to the lookup table on disk."""
-    facts = stage(clean.loadable(stage(labelled)))
-    write_lookup(search.lookup_table(facts, strict_prefix), path, mode)
+    rows = stage(labelled)
+    # Not written again: the values are made where the facts are made distinct, a task's share at a time.
+    write_lookup(search.lookup_table(clean.loadable(rows), strict_prefix, rows.count()), path, mode)
 
 
 def load_index(facts: DataFrame, pubs: DataFrame, path: str, mode: str = REFUSE) -> None:

@@ -97,8 +97,12 @@ def labelled(spark, sf) -> DataFrame:
 def facts(spark, sf) -> DataFrame:
     """Distinct labelled mentions with prefixed document ids."""
     rows = labelled(spark, sf).withColumn("doc_id", with_id_prefix(F.col("doc_id")))
-    # Counted by the footers of the file.
-    return distinct_rows(rows, tasks_for(spark, table(spark, sf, "lineitem").count()))
+    return distinct_rows(rows, tasks_for(spark, n_mentions(spark, sf)))
+
+
+def n_mentions(spark, sf) -> int:
+    """Counted by the footers of the file."""
+    return table(spark, sf, "lineitem").count()
 
 
 def taxonomy(spark, sf) -> DataFrame:

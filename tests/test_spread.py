@@ -110,3 +110,10 @@ def test_sorted_files_hold_so_many_rows(spark, tmp_path, monkeypatch):
     writers.write_lookup(search.lookup_table(spark.createDataFrame(FACTS, schemas.FACTS)), str(tmp_path / "lookup"))
     sizes = readers.read_lookup(spark, str(tmp_path / "lookup")).groupBy("_metadata.file_path").count()
     assert sizes.agg(F.max("count")).first()[0] <= 30
+
+
+def test_lookup_of_facts_that_are_not_written(spark):
+    facts = spark.createDataFrame(FACTS * 2, schemas.FACTS)
+    lookup = search.lookup_table(facts, n_facts=10**6)
+    assert f"{GIVEN}, " in plan(lookup) and lookup.rdd.getNumPartitions() == 12
+    assert lookup.count() == 2 * len(FACTS) + 40
