@@ -300,7 +300,7 @@ def entity_list_parts(spark, sf):
 def publication_table(spark, sf):
     """The central product: documents, their attributes and their five ranked lists."""
     mentions = stage(s.kept(spark, sf))
-    facts_table = stage(label.label(mentions, s.entity_labels(spark, sf)))
+    facts_table = stage(label.label(mentions, label.held_labels(s.entity_labels(spark, sf))))
     pubs = publications.publications(mentions.select("doc_id"), s.dims(spark, sf))
     return publications.encode_lists(publications.with_entity_lists(pubs, facts_table))
 
@@ -378,7 +378,7 @@ def sketched_stats(spark, sf):
 def publication_table_colocated(spark, sf):
     """The central product from tables bucketed by document: nothing is shuffled once they are written."""
     mentions = stage(s.kept(spark, sf))
-    tables = {"facts": label.label(mentions, s.entity_labels(spark, sf)), "docs": publications.document_ids(mentions)}
+    tables = {"facts": label.label(mentions, label.held_labels(s.entity_labels(spark, sf))), "docs": publications.document_ids(mentions)}
     dims = s.dims(spark, sf)
     prefix = f"colocated_{uuid.uuid4().hex}"
     held = writers.write_colocated({**tables, **dims}, prefix, tasks_for(spark, mentions.count()))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from annolink.functions.scalar import multiword
 from annolink.operators.clean import multiword_only
+from annolink.operators.skew import held_side
 from annolink.unions import append
 
 
@@ -14,13 +15,19 @@ def label(mentions: DataFrame, labels: DataFrame) -> DataFrame:
     """Mentions with their name; ids without a label (obsolete terms) vanish.
 
     A popular entity skews this join: it is an inner join between two shuffles, which
-    adaptive execution splits, and a small dictionary is broadcast by its own size.
+    adaptive execution splits, and a small dictionary is broadcast by its own size. Tasks that
+    hold no mentions take ``held_labels``.
     """
     return mentions.join(labels, ["entity_id", "kind"]).select(
         "kind", "doc_id", "name", "entity_id", "score"
     )
 
 
+def held_labels(labels: DataFrame) -> DataFrame:
+    """Labels to ``label`` with: they are held, and the mentions of a popular entity only pass."""
+    return held_side(labels, ["entity_id", "kind"])
+
+
 def readable_labels(labels: DataFrame) -> DataFrame:
     """Labels without one-word species names."""
     return labels.where((F.col("kind") != "species") | multiword(F.col("name")))

@@ -35,7 +35,7 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int | None = HOT_ROWS) -> DataFr
     return None if hot.isEmpty() else hot
 
 
-def key_sizes(df: DataFrame, key: str) -> tuple[int, int]:
+def key_sizes(df: DataFrame, key: str | list[str]) -> tuple[int, int]:
     """The number of rows, and the most rows that a key has."""
     counts = df.groupBy(key).agg(F.count("*").alias("n_rows"))
     rows, most = counts.agg(F.sum("n_rows"), F.max("n_rows")).first()
@@ -91,6 +91,18 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return (total or 0) <= limit
 
 
+def held_side(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` as the side of an inner join that is held while the rows of the other side pass: broadcast, or
+    in parts of a shuffle.
+
+    A sort-merge join sorts both sides, and one of its tasks would hold all rows of some popular keys. It is
+    left to Spark only where ``df`` itself has too many rows of one key to be held.
+    """
+    if fits_broadcast(df):
+        return F.broadcast(df)
+    return df if key_sizes(df, keys)[1] > HOT_ROWS else df.hint("shuffle_hash")
+
+
 def with_position(df: DataFrame, *order_by, name: str = "position") -> DataFrame:
     """Number all rows from 0 in the given total order, without a one-task window.
 

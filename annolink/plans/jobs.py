@@ -51,7 +51,7 @@ def build_corpus(
     Publications cover the documents seen before labelling, the id list those after it.
     """
     mentions = stage(filtered_mentions(raw, dictionary, taxonomy, cut))
-    facts = stage(label.label(mentions, label.readable_labels(labels)))
+    facts = stage(label.label(mentions, label.held_labels(label.readable_labels(labels))))
     pubs = publications.publications(publications.document_ids(mentions), dims, how)
     tables = {
         "facts": facts,

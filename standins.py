@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from annolink.fixed_values import LATIN_NAMES
 from annolink.operators.clean import cut_below, parse_mentions, with_id_prefix
-from annolink.operators.label import label
+from annolink.operators.label import held_labels, label
 from annolink.operators.skew import distinct_rows, tasks_for
 from annolink.operators.tagging import words_of
 
@@ -91,7 +91,7 @@ def entity_labels(spark, sf) -> DataFrame:
 
 
 def labelled(spark, sf) -> DataFrame:
-    return label(kept(spark, sf), entity_labels(spark, sf))
+    return label(kept(spark, sf), held_labels(entity_labels(spark, sf)))
 
 
 def facts(spark, sf) -> DataFrame:

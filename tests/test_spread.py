@@ -117,3 +117,61 @@ def test_lookup_of_facts_that_are_not_written(spark):
     lookup = search.lookup_table(facts, n_facts=10**6)
     assert f"{GIVEN}, " in plan(lookup) and lookup.rdd.getNumPartitions() == 12
     assert lookup.count() == 2 * len(FACTS) + 40
+
+
+@pytest.fixture
+def no_broadcasts(spark):
+    """Joins as they are of tables that Spark itself would not broadcast."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_mentions_of_a_popular_entity_are_not_sorted(spark, tmp_path, no_broadcasts, monkeypatch, rows):
+    spark.range(30).selectExpr(
+        "id % 10 as l_orderkey", "1L as l_partkey", "1L as l_suppkey", "3 as l_linenumber", "25.0D as l_quantity"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(2).selectExpr("id as p_partkey", "'n' as p_name", "'t' as p_type", "'b' as p_brand").write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(2).selectExpr("id as s_suppkey", "'s' as s_name").write.parquet(f"{tmp_path}/supplier.parquet")
+    small = entry.queries()["facts"](spark, str(tmp_path))
+    monkeypatch.setattr(skew, "fits_broadcast", lambda *_: False)
+    large = entry.queries()["facts"](spark, str(tmp_path))
+    assert "BroadcastHashJoin" in plan(small) and "ShuffledHashJoin" in plan(large)
+    assert "SortMergeJoin" not in plan(small) + plan(large)
+    assert rows(small) == rows(large) and small.count() == 10
+
+
+def test_held_side(spark, no_broadcasts, monkeypatch):
+    names = spark.createDataFrame([("7", "x")] * 3 + [("8", "y")], "entity_id string, label string")
+    facts = spark.createDataFrame(FACTS, schemas.FACTS)
+
+    def joined():
+        return facts.join(skew.held_side(names, ["entity_id"]), "entity_id")
+
+    assert "BroadcastHashJoin" in plan(joined())
+    monkeypatch.setattr(skew, "fits_broadcast", lambda *_: False)
+    assert "ShuffledHashJoin" in plan(joined())
+    # A key with too many rows to be held is left to a join that can spill.
+    monkeypatch.setattr(skew, "HOT_ROWS", 2)
+    assert "SortMergeJoin" in plan(joined()) and joined().count() == 3 * len(FACTS)
+
+
+def test_looked_up_facts_are_not_sorted(spark, no_broadcasts, monkeypatch, rows):
+    facts = spark.createDataFrame(FACTS, schemas.FACTS)
+    asked = spark.createDataFrame([("q", "genes", "7"), ("r", "genes", None)], "query_key string, kind string, entity_id string")
+    joins = []
+    monkeypatch.setattr(search, "stage", lambda df: joins.append(plan(df)) or df)
+    assert rows(search.lookup_batch(facts, asked)) == sorted(("q", f"PMC{d}") for d in range(40))
+    assert "SortMergeJoin" not in joins[0]
+
+
+def test_files_of_a_batch_hold_a_number_of_rows(spark, tmp_path, monkeypatch, rows):
+    facts = spark.createDataFrame(FACTS, schemas.FACTS).withColumn("batch", F.lit("b"))
+    monkeypatch.setattr(writers, "FILE_ROWS", 20)
+    writers.write_batches(facts, str(tmp_path / "t"))
+    written = readers.read_batches(spark, str(tmp_path / "t"))
+    assert rows(written) == rows(facts.select("batch", *schemas.FACTS.names))
+    per_file = written.groupBy(F.input_file_name()).count().collect()
+    assert max(r["count"] for r in per_file) <= 2 * 20
