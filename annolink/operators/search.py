@@ -18,7 +18,7 @@ from annolink.fixed_values import (
 )
 from annolink.functions.scalar import lookup_prefix
 from annolink.operators.publications import HOT_ROWS, gather
-from annolink.operators.skew import distinct_rows, fits_broadcast, tasks_for
+from annolink.operators.skew import distinct_rows, fits_broadcast, held_side, tasks_for
 from annolink.operators.stats import top_entities
 from annolink.staging import stage
 from annolink.unions import append
@@ -246,7 +246,8 @@ def documents_of(
 
 def lookup_batch(facts: DataFrame, requests: DataFrame) -> DataFrame:
     """Distinct (query_key, doc_id) for requests (query_key, kind, entity_id), as one join."""
-    pairs = stage(facts.join(requests, ["entity_id", "kind"]).select("query_key", "doc_id"))
+    keys = ["entity_id", "kind"]
+    pairs = stage(facts.join(held_side(requests, keys), keys).select("query_key", "doc_id"))
     return distinct_rows(pairs, tasks_for(pairs.sparkSession, pairs.count()))
 
 
