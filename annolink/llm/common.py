@@ -19,11 +19,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared(spark: SparkSession, value) -> Callable:
     """Broadcast an object of this package; the result, called in a task, gives it back.
 
-    Its arrays lie in the broadcast itself, once for a worker, and cannot be written to.
+    Its arrays lie in the broadcast itself, once for a worker, and cannot be written to. The driver writes
+    them from where they are, without a copy.
     """
     arrays: list[pickle.PickleBuffer] = []
     data = cloudpickle.dumps(value, protocol=5, buffer_callback=arrays.append)
-    held = spark.sparkContext.broadcast((data, [a.raw().tobytes() for a in arrays]))
+    held = spark.sparkContext.broadcast((data, [pickle.PickleBuffer(a.raw().toreadonly()) for a in arrays]))
     return lambda: pickle.loads(held.value[0], buffers=held.value[1])
 
 

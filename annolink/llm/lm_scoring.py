@@ -468,11 +468,12 @@ def train_model(
     parts = parts.join(firsts, "segment").select((F.col("first") + F.col("part")).alias("part"), "bits")
     whole, bits = first[-1] <= broadcast_parts, None
     if whole:
-        # At most broadcast_parts rows of SEGMENT_BITS / 8 bytes each.
-        width, held_parts = SEGMENT_BITS // 8, parts.toArrow()
+        # At most broadcast_parts rows of SEGMENT_BITS / 8 bytes each, one task's after the other: all at once,
+        # the driver would hold them three times.
+        width = SEGMENT_BITS // 8
         bits = np.zeros(int(first[-1]) * width, np.uint8)
-        for part, own in zip(*held_parts.columns, strict=True):
-            bits[part.as_py() * width : (part.as_py() + 1) * width] = np.frombuffer(own.as_buffer(), np.uint8)
+        for part, own in parts.toLocalIterator():
+            bits[part * width : (part + 1) * width] = np.frombuffer(own, np.uint8)
     means = np.divide(level_sum, level_n, out=BASE ** np.maximum(np.arange(LEVELS) - 0.5, 0), where=level_n > 0)
     means[0] = 0.0
     top = words.orderBy(F.desc("c"), "key").limit(frequent).toArrow()
