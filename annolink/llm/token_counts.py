@@ -17,6 +17,7 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import os
 from collections import Counter
 from collections.abc import Iterator
 
@@ -83,6 +84,8 @@ def _distinct(rows: DataFrame) -> DataFrame:
 
 def _counted(distinct: DataFrame, tokenizer: str) -> DataFrame:
     def task(batches):
+        # The cores beside it are other tasks': threads of its own would hold memory each.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         library = Tokenizer.from_file(tokenizer)
