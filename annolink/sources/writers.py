@@ -65,7 +65,10 @@ def write_batches(facts: DataFrame, path: str, batches: list[str] | None = None)
     blank = {n: F.lit(None).cast(FACTS[n].dataType) for n in FACTS.names}
     headers = named.withColumns(blank | {"kind": F.lit(BATCH_HEADER)}).select("batch", *FACTS.names)
     # Only the batch is a folder: with the kind as one, a kind that a batch has lost would stay.
-    out = append(rows, headers).hint("rebalance", "batch").sortWithinPartitions("batch", "kind", "doc_id")
+    # Ranges of a number of rows: by their compressed bytes, a task would sort some millions.
+    order = ["batch", "kind", "doc_id"]
+    tasks = max(1, -(-rows.count() // FILE_ROWS))
+    out = append(rows, headers).repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
 
 
