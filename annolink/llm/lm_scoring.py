@@ -48,8 +48,10 @@ LEVELS = 128
 FREQUENT = 200_000
 # Parts of SEGMENT_BITS that are broadcast at most, and that a task holds otherwise.
 BROADCAST_PARTS, SHARD_PARTS = 1024, 256
-# Tokens that are handled together.
-CHUNK = 200_000
+# Tokens that are counted, scored and packed together: the more, the fewer distinct ones among them.
+COUNTED, SCORED, CHUNK = 1_200_000, 600_000, 200_000
+# Bits of a word's hash by which its place among the commonest ones is found.
+INDEX_BITS = 18
 GRID = np.array([0, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95])
 BUCKETS = 48
 # Hashes of the end of a text and of its start, which is a context only.
@@ -135,7 +137,9 @@ class Filter:
         return found
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
-        return self.means[self.levels(keys)]
+        # Each key is looked for once, and in order: neighbours lie in the same part.
+        distinct, place = np.unique(keys, return_inverse=True)
+        return self.means[self.levels(distinct)][place]
 
 
 class Answers:
@@ -153,7 +157,10 @@ class Model:
 
     def __init__(self, held: Filter, words: np.ndarray, counts: np.ndarray, n_tokens: int, n_words: int):
         order = np.argsort(words)
-        self.filter, self.words, self.counts = held, words[order], counts[order].astype(np.float64)
+        # Behind the words a last one that stands for none.
+        self.filter, self.words, self.counts = held, np.r_[words[order], np.uint64(2**64 - 1)], np.r_[counts[order].astype(np.float64), -1.0]
+        beginnings = np.arange(1 << INDEX_BITS, dtype=np.uint64) << np.uint64(64 - INDEX_BITS)
+        self.index = np.searchsorted(self.words, beginnings).astype(np.int32)
         self.n_tokens, self.total = n_tokens, n_tokens + 0.5 * (n_words + 1)
         self.weights = np.zeros(BUCKETS)
         # Parts of the filter as a table, if it is not broadcast.
@@ -161,9 +168,11 @@ class Model:
 
     def exact(self, tokens: np.ndarray) -> np.ndarray:
         """Counts of the commonest words, -1 for others."""
-        if not len(self.words):
-            return np.full(len(tokens), -1.0)
-        at = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
+        at = self.index[tokens >> np.uint64(64 - INDEX_BITS)]
+        behind = np.flatnonzero(self.words[at] < tokens)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[self.words[at[behind]] < tokens[behind]]
         return np.where(self.words[at] == tokens, self.counts[at], -1.0)
 
     def word_counts(self, tokens: np.ndarray, exact: np.ndarray) -> np.ndarray:
@@ -196,23 +205,27 @@ class Model:
         return np.log10(weight * ratio + (1 - weight) * (word + 0.5) / self.total)
 
 
-def _chunks(texts_of, hashes: WordHash):
-    """(rows, tokens, row of each token, first token of each row), some documents at a time."""
-    rows, held, size = [], [], 0
+def _chunks(column: pa.Array, hashes: WordHash, size: int):
+    """(rows, tokens, row of each token, first token of each row), about ``size`` tokens at a time."""
+    held, lengths, done = [], [], 0
 
     def out():
-        lengths = np.array([len(h) for h in held])
-        return np.array(rows), np.concatenate(held), np.repeat(np.arange(len(rows)), lengths), np.r_[0, np.cumsum(lengths)[:-1]]
-
-    for row, text in enumerate(texts_of):
-        tokens = np.append(hashes.of(text.as_py().lower().split()), END)
-        rows.append(row)
-        held.append(tokens)
-        size += len(tokens)
-        if size >= CHUNK:
+        n = np.concatenate(lengths)
+        ends = np.cumsum(n)
+        tokens = np.full(ends[-1], END)
+        words = np.ones(len(tokens), bool)
+        words[ends - 1] = False
+        tokens[words] = np.concatenate(held)
+        return np.arange(done, done + len(n)), tokens, np.repeat(np.arange(len(n)), n), ends - n
+
+    for words, n in hashes.of_texts(column):
+        held.append(words)
+        lengths.append(n + 1)
+        if sum(map(len, held)) + sum(map(len, lengths)) >= size:
             yield out()
-            rows, held, size = [], [], 0
-    if rows:
+            done += sum(map(len, lengths))
+            held, lengths = [], []
+    if lengths:
         yield out()
 
 
@@ -247,7 +260,7 @@ def _grams(train: DataFrame, segments: int) -> DataFrame:
     def task(batches):
         hashes = WordHash()
         for batch in batches:
-            for _, tokens, _, firsts in _chunks(batch.column(0), hashes):
+            for _, tokens, _, firsts in _chunks(batch.column(0), hashes, COUNTED):
                 before = np.r_[START, tokens[:-1]]
                 before[firsts] = START
                 for size, keys in ((1, tokens), (2, pair_keys(before, tokens))):
@@ -303,7 +316,7 @@ def _packed(docs: DataFrame) -> DataFrame:
     def task(batches):
         hashes = WordHash()
         for batch in batches:
-            for own, tokens, document, _ in _chunks(batch.column(1), hashes):
+            for own, tokens, document, _ in _chunks(batch.column(1), hashes, CHUNK):
                 ids, flags = (batch.column(i).take(pa.array(own)) for i in (0, 2))
                 ends = pa.array([0, len(own)], pa.int32())
                 lengths = pa.array(np.bincount(document, minlength=len(own)).astype(np.int64))
@@ -320,7 +333,8 @@ def _wanted(model: Model, tokens: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     """Keys of a chunk that the filter is asked for, in order."""
     before = np.r_[START, tokens[:-1]]
     before[firsts] = START
-    return np.unique(np.r_[tokens[model.exact(tokens) < 0], pair_keys(before, tokens)])
+    keys = np.sort(np.r_[tokens[model.exact(tokens) < 0], pair_keys(before, tokens)])
+    return keys[np.r_[True, keys[1:] != keys[:-1]]]
 
 
 def _unpacked(lengths, tokens) -> tuple:
@@ -384,7 +398,7 @@ def _loaded(batches, model: Model, packed: bool):
     means = model.filter.means
     for batch in batches:
         if not packed:
-            for own, tokens, document, firsts in _chunks(batch.column(1), hashes):
+            for own, tokens, document, firsts in _chunks(batch.column(1), hashes, SCORED):
                 yield *(batch.column(i).take(pa.array(own)) for i in (0, 2)), tokens, document, firsts
             continue
         for ids, lengths, flags, tokens, levels in zip(*batch.columns, strict=True):

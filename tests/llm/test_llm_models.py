@@ -6,11 +6,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from llm_prose import prose
 
 import corpus_pipeline
-from annolink.llm import decontaminate, html_extraction, lm_scoring, quality, token_counts, toxicity
+from annolink.llm import decontaminate, hashing, html_extraction, lm_scoring, quality, token_counts, toxicity
 from annolink.llm import queries as llm
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -114,6 +116,37 @@ def test_lm_scores_of_nothing(documents):
     assert lm_scoring.lm_scores(documents([])).count() == 0
 
 
+def test_words_are_hashed_and_looked_up_many_at_a_time(monkeypatch):
+    signs = [chr(c) for c in (*range(0x21, 0x7F), 0x1C, 0xE9, 0x416, 0x4E2D, 0)]
+    words = ["".join(signs[(7 * n + 3 * i * i) % len(signs)] for i in range(n)) for n in range(1, 60) for _ in range(3)]
+    texts = ["", " \n", *words, "", "A\tBc  dEf\x0b", "x" * 5_000, " ".join(words * 9), "é ü x\x1cy", " lead", "trail ", ""]
+    column = pa.array([t.encode() for t in texts], pa.binary())
+    expected = [[xxhash.xxh3_64_intdigest(w) for w in words_of(t)] for t in texts]
+    monkeypatch.setattr(hashing, "PIECE", 2_000)
+    # Words of up to 16 bytes never pass the dictionary, so a task neither makes an object of each nor keeps it.
+    for part in (column, column.slice(3), column.cast(pa.large_binary()), column.slice(2, 0)):
+        hashes, first = lm_scoring.WordHash(), 0 if part.offset == 0 else part.offset
+        rows = [(row, tokens) for own, tokens, of, _ in lm_scoring._chunks(part, hashes, 700) for row, tokens in zip(own, np.split(tokens, np.flatnonzero(np.diff(of)) + 1), strict=True)]
+        assert [r for r, _ in rows] == list(range(len(part)))
+        assert [t.tolist() for _, t in rows] == [[*e, int(lm_scoring.END)] for e in expected[first : first + len(part)]]
+        assert all(len(w) > hashing.SHORT for w in hashes)
+    # The end of a word's bits, and more words than one place of the index has.
+    keys = np.r_[lm_scoring.mix64(np.arange(3_000, dtype=np.uint64)), np.arange(1, 41, dtype=np.uint64), np.uint64(2**64 - 2)]
+    held = lm_scoring.Filter(np.zeros(0, np.uint8), np.arange(lm_scoring.LEVELS), np.zeros(1024, np.int64))
+    model = lm_scoring.Model(held, keys[::2], np.arange(len(keys))[::2] + 1, 9, 9)
+    assert model.exact(keys).tolist() == [i + 1 if i % 2 == 0 else -1 for i in range(len(keys))]
+    assert model.exact(np.array([2**64 - 1], np.uint64)).tolist() == [-1]
+
+
+def test_a_key_is_probed_once_for_a_chunk():
+    keys = lm_scoring.mix64(np.arange(5_000, dtype=np.uint64) % np.uint64(50))
+    bits = np.zeros(lm_scoring.SEGMENTS * lm_scoring.SEGMENT_BITS // 8, np.uint8)
+    held, asked = lm_scoring.Filter(bits, np.arange(lm_scoring.LEVELS), np.zeros(lm_scoring.SEGMENTS, np.int64)), []
+    held.levels = lambda k, own=held.levels: asked.append(k) or own(k)
+    assert not held.counts(keys).any()
+    assert [len(k) for k in asked] == [50] and (np.diff(asked[0].astype(object)) > 0).all()
+
+
 # 2: main text of pages
 
 PAGE = """<html><head><title>t</title><style>p{}</style></head><body><header><h1>Site</h1></header>
