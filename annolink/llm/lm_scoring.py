@@ -1,8 +1,9 @@
 """Language-model scores from a log-frequency Bloom filter.
 
 1. Counts of all words and word pairs of the training documents: combined inside each task,
-   shuffled by filter segment (a hash of the pair, so no segment is hot), summed there. The number
-   of segments grows with the training texts, so that one task can hold any of them.
+   shuffled by filter segment (a hash of the pair, so no segment is hot), sorted by it and summed
+   there, one segment after the other. The number of segments grows with the training texts, so
+   that one task can hold any of them.
 2. Each segment of the filter is built where its counts are. A pair with count c is stored
    under every level 1 .. 1 + log(c) / log(``BASE``); a probe asks for one level after the
    other until one is missing, and the last one found stands for the mean count of all that
@@ -36,7 +37,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annolink.llm.common import mix64, remainder, shared, texts
-from annolink.llm.grouping import groups
 from annolink.llm.hashing import WordHash
 from annolink.staging import stage
 
@@ -50,6 +50,8 @@ FREQUENT = 200_000
 BROADCAST_PARTS, SHARD_PARTS = 1024, 256
 # Tokens that are counted, scored and packed together: the more, the fewer distinct ones among them.
 COUNTED, SCORED, CHUNK = 1_200_000, 600_000, 200_000
+# Rows in a batch of counts; rows of a segment that are held before they are summed.
+ROWS, HELD = 100_000, 400_000
 # Bits of a word's hash by which its place among the commonest ones is found.
 INDEX_BITS = 18
 GRID = np.array([0, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95])
@@ -216,6 +218,7 @@ def _chunks(column: pa.Array, hashes: WordHash, size: int):
         words = np.ones(len(tokens), bool)
         words[ends - 1] = False
         tokens[words] = np.concatenate(held)
+        held.clear()
         return np.arange(done, done + len(n)), tokens, np.repeat(np.arange(len(n)), n), ends - n
 
     for words, n in hashes.of_texts(column):
@@ -257,54 +260,96 @@ def _own_counts(keys: np.ndarray, documents: np.ndarray) -> np.ndarray:
 def _grams(train: DataFrame, segments: int) -> DataFrame:
     """(segment, size, key, n): sums over some documents each; size 1 for words, 2 for pairs."""
 
+    # What a call makes is free again before the next texts are read.
+    def counted(size, keys):
+        distinct, n = _summed(keys)
+        columns = segment_of(distinct, segments).astype(np.int32), np.full(len(n), size, np.int8), distinct.view(np.int64), n.astype(np.int64, copy=False)
+        batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["segment", "size", "key", "n"])
+        return [batch.slice(i, ROWS) for i in range(0, len(n), ROWS)]
+
+    def pairs(tokens, firsts):
+        before = np.r_[START, tokens[:-1]]
+        before[firsts] = START
+        return pair_keys(before, tokens)
+
     def task(batches):
         hashes = WordHash()
         for batch in batches:
             for _, tokens, _, firsts in _chunks(batch.column(0), hashes, COUNTED):
-                before = np.r_[START, tokens[:-1]]
-                before[firsts] = START
-                for size, keys in ((1, tokens), (2, pair_keys(before, tokens))):
-                    distinct, n = _summed(keys)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(segment_of(distinct, segments).astype(np.int32)),
-                            pa.array(np.full(len(n), size, np.int8)),
-                            pa.array(distinct.view(np.int64)),
-                            pa.array(n.astype(np.int64)),
-                        ],
-                        ["segment", "size", "key", "n"],
-                    )
+                yield from counted(1, tokens)
+                keys = pairs(tokens, firsts)
+                del _, tokens, firsts
+                yield from counted(2, keys)
+                del keys
 
     return train.select("text").mapInArrow(task, "segment int, size tinyint, key long, n long")
 
 
+def _added(parts: list[tuple]) -> tuple:
+    """Distinct (size, key) of some rows with the sums of their numbers."""
+    size, keys, n = (np.concatenate(c) for c in zip(*parts, strict=True))
+    sums = []
+    for kind in np.unique(size):
+        own, counted = keys[size == kind], n[size == kind]
+        order = np.argsort(own)
+        own, counted = own[order], counted[order]
+        starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        sums.append((np.full(len(starts), kind, np.int8), own[starts], np.add.reduceat(counted, starts)))
+    return tuple(np.concatenate(c) for c in zip(*sums, strict=True))
+
+
+def _totals(batches):
+    """(segment, sizes, keys, sums) for each segment of (segment, size, key, n) rows in order of segments.
+
+    Rows of a segment are summed as they come, so that not much more than its distinct keys is held.
+    """
+    current, held, rows, most = None, [], 0, HELD
+    for batch in batches:
+        segment, *columns = (c.to_numpy() for c in batch.columns)
+        cuts = [0, *(np.flatnonzero(segment[1:] != segment[:-1]) + 1).tolist(), len(segment)]
+        for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+            if start == end:
+                continue
+            if segment[start] != current:
+                if held:
+                    yield current, *_added(held)
+                current, held, rows, most = int(segment[start]), [], 0, HELD
+            held.append(tuple(c[start:end] for c in columns))
+            rows += end - start
+            if rows > most:
+                held = [_added(held)]
+                rows = len(held[0][0])
+                most = max(HELD, 2 * rows)
+    if held:
+        yield current, *_added(held)
+
+
 def _segments(counts: DataFrame, segments: int) -> DataFrame:
-    """Per segment its bits and sums by level, and a row for every word with its exact count."""
+    """Per segment its bits and sums by level, and a row for every word with its exact count.
+
+    Rows of a key may come several times; all rows of a segment are in one partition.
+    """
     schema = "segment int, part int, bits binary, level_n array<long>, level_sum array<long>, key long, n long"
 
     def task(batches):
-        for part in groups(batches):
-            segment, size, keys, n = (part.column(i).to_numpy() for i in range(4))
+        for segment, size, keys, n in _totals(batches):
             words = size == 1
             lists, count = pa.list_(pa.int64()), int(words.sum())
             yield pa.RecordBatch.from_arrays(
                 [*(pa.nulls(count, kind) for kind in (pa.int32(), pa.int32(), pa.binary(), lists, lists)), pa.array(keys[words]), pa.array(n[words])],
                 ["segment", "part", "bits", "level_n", "level_sum", "key", "n"],
             )
-            starts = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
-            for start, end in zip(starts, np.r_[starts[1:], len(segment)], strict=True):
-                own, counted = keys[start:end].view(np.uint64), n[start:end]
-                levels = level_of(counted)
-                parts = divided(own, levels, segments)
-                sums = [np.bincount(levels, weights, LEVELS).astype(np.int64).tolist() for weights in (None, counted)]
-                # Sums of the segment are in the row of its first part.
-                for k, bits in enumerate(parts):
-                    row = [int(segment[start]), k, bits.tobytes(), *(sums if k == 0 else ([], [])), None, None]
-                    kinds = (pa.int32(), pa.int32(), pa.binary(), lists, lists, pa.int64(), pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([v], kind) for v, kind in zip(row, kinds, strict=True)],
-                        ["segment", "part", "bits", "level_n", "level_sum", "key", "n"],
-                    )
+            levels = level_of(n)
+            parts = divided(keys.view(np.uint64), levels, segments)
+            sums = [np.bincount(levels, weights, LEVELS).astype(np.int64).tolist() for weights in (None, n)]
+            # Sums of the segment are in the row of its first part.
+            for k, bits in enumerate(parts):
+                row = [segment, k, bits.tobytes(), *(sums if k == 0 else ([], [])), None, None]
+                kinds = (pa.int32(), pa.int32(), pa.binary(), lists, lists, pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([v], kind) for v, kind in zip(row, kinds, strict=True)],
+                    ["segment", "part", "bits", "level_n", "level_sum", "key", "n"],
+                )
 
     return counts.sortWithinPartitions("segment").mapInArrow(task, schema)
 
@@ -423,28 +468,33 @@ def _fit(train: DataFrame, model: Model, held, fit_rows: int | None, shard_parts
         rows = rows.join(F.broadcast(sample), F.col("doc_id") == F.col("_fit"), "left_semi")
     packed = model.table is not None
 
+    # A call's arrays are free again before the next documents are read.
+    def add(total, model, tokens, document, firsts):
+        word, context, before, keys, pair = model.parts(tokens, model.exact(tokens), firsts)
+        of_word = _own_counts(tokens, document)
+        # Every word but the end is the one before as often as it occurs; the start is so once.
+        of_context = np.r_[1, of_word[:-1]]
+        of_context[firsts] = 1
+        own = of_word, of_context, _own_counts(keys, document)
+        word, context, pair = (np.maximum(c - o, 0) for c, o in zip((word, context, pair), own, strict=True))
+        share = (word + 0.5) / model.total
+        ratio = np.divide(np.minimum(pair, context), context, out=np.zeros(len(pair)), where=context > 0)
+        buckets = model.bucket(context)
+        # Where the others have not seen the pair, the logarithm is a sum.
+        seen, unseen = (ratio > 0).nonzero()[0], ((ratio == 0) & (context > 0)).nonzero()[0]
+        shares = np.bincount(buckets[unseen], np.log(share[unseen]), BUCKETS)
+        n_unseen = np.bincount(buckets[unseen], minlength=BUCKETS)
+        buckets, ratio, share = buckets[seen], ratio[seen], share[seen]
+        for k, weight in enumerate(GRID):
+            total[:, k] += shares + n_unseen * math.log(1 - weight)
+            total[:, k] += np.bincount(buckets, np.log(weight * ratio + (1 - weight) * share), BUCKETS)
+
     def task(batches):
         model = held()
         total = np.zeros((BUCKETS, len(GRID)))
-        for _, _, tokens, document, firsts in _loaded(batches, model, packed):
-            word, context, before, keys, pair = model.parts(tokens, model.exact(tokens), firsts)
-            of_word = _own_counts(tokens, document)
-            # Every word but the end is the one before as often as it occurs; the start is so once.
-            of_context = np.r_[1, of_word[:-1]]
-            of_context[firsts] = 1
-            own = of_word, of_context, _own_counts(keys, document)
-            word, context, pair = (np.maximum(c - o, 0) for c, o in zip((word, context, pair), own, strict=True))
-            share = (word + 0.5) / model.total
-            ratio = np.divide(np.minimum(pair, context), context, out=np.zeros(len(pair)), where=context > 0)
-            buckets = model.bucket(context)
-            # Where the others have not seen the pair, the logarithm is a sum.
-            seen, unseen = (ratio > 0).nonzero()[0], ((ratio == 0) & (context > 0)).nonzero()[0]
-            shares = np.bincount(buckets[unseen], np.log(share[unseen]), BUCKETS)
-            n_unseen = np.bincount(buckets[unseen], minlength=BUCKETS)
-            buckets, ratio, share = buckets[seen], ratio[seen], share[seen]
-            for k, weight in enumerate(GRID):
-                total[:, k] += shares + n_unseen * math.log(1 - weight)
-                total[:, k] += np.bincount(buckets, np.log(weight * ratio + (1 - weight) * share), BUCKETS)
+        for _, _, *chunk in _loaded(batches, model, packed):
+            add(total, model, *chunk)
+            del chunk
         at = np.arange(BUCKETS)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(list(total), pa.list_(pa.float64()))], ["bucket", "sums"])
 
@@ -465,8 +515,8 @@ def train_model(
     """
     spark = train.sparkSession
     segments = n_segments(train.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
-    summed = _grams(train, segments).repartition("segment").groupBy("segment", "size", "key").agg(F.sum("n").alias("n"))
-    built = stage(_segments(summed.select("segment", "size", "key", "n"), segments))
+    # Not summed by groupBy: behind a shuffle by segment it would keep all distinct keys of a task in two tables.
+    built = stage(_segments(_grams(train, segments).repartition("segment"), segments))
     words = built.where(F.col("key").isNotNull()).select("key", F.col("n").alias("c"))
     n_tokens, n_words = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     parts = built.where(F.col("segment").isNotNull())
@@ -509,31 +559,37 @@ def lm_scores(
     model, held, words = train_model(rows.where(~F.col("held_out")).select("doc_id", "text"), frequent, fit_rows, broadcast_parts, shard_parts)
     weights, total, packed = model.weights, float(model.total), model.table is not None
 
+    rest_kind = pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64())]))
+
+    # As in _fit.
+    def one(model, ids, flags, tokens, document, firsts):
+        exact = model.exact(tokens)
+        common, size = exact >= 0, len(ids)
+        base = np.bincount(document, np.where(common, np.log10((exact.clip(0) + 0.5) / model.total), 0.0), size)
+        score = np.bincount(document, model.log10(tokens, exact, firsts), size)
+        rare = np.flatnonzero(~common)
+        key, of, n, _ = _summed(tokens[rare], document[rare])
+        ends = pa.array(np.r_[0, np.cumsum(np.bincount(of, minlength=size))], pa.int32())
+        rest = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"]))
+        return pa.RecordBatch.from_arrays(
+            [
+                ids,
+                flags,
+                pa.array(np.bincount(document, minlength=size).astype(np.int64)),
+                pa.array(np.bincount(document, common, size).astype(np.int64)),
+                pa.array(base),
+                pa.array(score),
+                rest.cast(rest_kind),
+            ],
+            ["doc_id", "held_out", "n_tokens", "common", "base", "score", "rest"],
+        )
+
     def task(batches):
         model = held()
         model.weights = weights
-        rest_kind = pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64())]))
-        for ids, flags, tokens, document, firsts in _loaded(batches, model, packed):
-            exact = model.exact(tokens)
-            common, size = exact >= 0, len(ids)
-            base = np.bincount(document, np.where(common, np.log10((exact.clip(0) + 0.5) / model.total), 0.0), size)
-            score = np.bincount(document, model.log10(tokens, exact, firsts), size)
-            rare = np.flatnonzero(~common)
-            key, of, n, _ = _summed(tokens[rare], document[rare])
-            ends = pa.array(np.r_[0, np.cumsum(np.bincount(of, minlength=size))], pa.int32())
-            rest = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    ids,
-                    flags,
-                    pa.array(np.bincount(document, minlength=size).astype(np.int64)),
-                    pa.array(np.bincount(document, common, size).astype(np.int64)),
-                    pa.array(base),
-                    pa.array(score),
-                    rest.cast(rest_kind),
-                ],
-                ["doc_id", "held_out", "n_tokens", "common", "base", "score", "rest"],
-            )
+        for chunk in _loaded(batches, model, packed):
+            yield one(model, *chunk)
+            del chunk
 
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, common long, base double, score double, rest array<struct<key:bigint,n:bigint>>"
     scored = stage(_readable(rows, model, held, shard_parts).mapInArrow(task, schema).withColumn("row", F.monotonically_increasing_id()))

@@ -21,6 +21,67 @@ def test_the_filter_is_not_collected_at_once(spark, monkeypatch):
     assert model.filter.levels(word)[0] == lm_scoring.level_of(np.array([40]))[0]
 
 
+def test_counts_of_a_segment_are_summed_in_one_pass(spark, monkeypatch):
+    # Segments of the first ten bits; keys come several times, as tasks have counted them.
+    keys = lm_scoring.mix64(np.arange(3_000, dtype=np.uint64) % np.uint64(500))
+    rows = [(int(s), 1 + i % 2, k, i % 5 + 1) for i, (s, k) in enumerate(zip(lm_scoring.segment_of(keys, 1024), keys.view(np.int64).tolist(), strict=True))]
+    expected = {}
+    for _, size, key, n in rows:
+        expected[size, key] = expected.get((size, key), 0) + n
+    monkeypatch.setattr(lm_scoring, "HELD", 7)
+    counts = spark.createDataFrame(rows, "segment int, size tinyint, key long, n long")
+    built = lm_scoring._segments(counts.repartition(3, "segment"), 1024)
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan and plan.count("Exchange") == 1
+    got = built.collect()
+    words = [(r.key, r.n) for r in got if r.key is not None]
+    assert len(words) == len(dict(words)) and dict(words) == {key: n for (size, key), n in expected.items() if size == 1}
+    parts = [r for r in got if r.segment is not None]
+    assert sorted(r.segment for r in parts) == sorted({r[0] for r in rows})
+    assert sum(sum(r.level_n) for r in parts) == len(expected) and sum(sum(r.level_sum) for r in parts) == sum(expected.values())
+
+
+def test_training_keeps_no_hash_table_of_all_counts(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(lm_scoring, "_segments", lambda counts, segments, own=lm_scoring._segments: asked.append(counts) or own(counts, segments))
+    docs = spark.createDataFrame([(i, f"a b c{i % 7}") for i in range(40)], "doc_id long, text string").selectExpr("doc_id", "binary(text) as text")
+    _, _, words = lm_scoring.train_model(docs)
+    assert "HashAggregate" not in asked[0]._jdf.queryExecution().executedPlan().toString()
+    assert words.count() == 10 and words.agg({"c": "sum"}).first()[0] == 160
+
+
+def test_rows_of_a_segment_are_summed_as_they_come(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "HELD", 100)
+    held, own = [], lm_scoring._added
+    monkeypatch.setattr(lm_scoring, "_added", lambda parts: held.append(sum(len(p[0]) for p in parts)) or own(parts))
+    names = ["segment", "size", "key", "n"]
+
+    def batch(segment, keys):
+        n = len(keys)
+        return pa.RecordBatch.from_arrays([pa.array(segment, pa.int32()), pa.array(np.full(n, 1, np.int8)), pa.array(keys), pa.array(np.ones(n, np.int64))], names)
+
+    batches = [batch(np.full(50, 1), np.arange(50) % 20) for _ in range(40)] + [batch([], np.arange(0)), batch([2, 2, 3], np.array([5, 5, 5]))]
+    got = [(s, k.tolist(), n.tolist()) for s, _, k, n in lm_scoring._totals(batches)]
+    assert got == [(1, list(range(20)), [120] * 10 + [80] * 10), (2, [5], [2]), (3, [5], [1])]
+    assert max(held) <= 150
+
+
+def test_counts_leave_a_task_in_small_batches(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "ROWS", 10)
+
+    class Train:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, task, schema):
+            return task
+
+    text = pa.array([" ".join(f"w{i}" for i in range(95)).encode()] * 2, pa.binary())
+    got = list(lm_scoring._grams(Train(), 1024)([pa.RecordBatch.from_arrays([text], ["text"])]))
+    assert max(b.num_rows for b in got) == 10
+    assert sum(b.num_rows for b in got) == 96 * 2 and sum(sum(b.column(3).to_pylist()) for b in got) == 96 * 4
+
+
 def test_shared_arrays(spark):
     held = shared(spark, {"a": np.arange(5), "b": "x"})
 
