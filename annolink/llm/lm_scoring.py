@@ -50,8 +50,8 @@ FREQUENT = 200_000
 BROADCAST_PARTS, SHARD_PARTS = 1024, 256
 # Tokens that are counted, scored and packed together: the more, the fewer distinct ones among them.
 COUNTED, SCORED, CHUNK = 1_200_000, 600_000, 200_000
-# Rows in a batch of counts; rows of a segment that are held before they are summed.
-ROWS, HELD = 100_000, 400_000
+# Keys in a batch of counts; keys of a segment that are held before they are summed.
+KEYS, HELD = 100_000, 400_000
 # Bits of a word's hash by which its place among the commonest ones is found.
 INDEX_BITS = 18
 GRID = np.array([0, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95])
@@ -258,14 +258,24 @@ def _own_counts(keys: np.ndarray, documents: np.ndarray) -> np.ndarray:
 
 
 def _grams(train: DataFrame, segments: int) -> DataFrame:
-    """(segment, size, key, n): sums over some documents each; size 1 for words, 2 for pairs."""
+    """(segment, size, keys, counts): sums over some documents each; size 1 for words, 2 for pairs.
+
+    A row has the keys of a segment, 8 bytes each, and their counts, 4 bytes each.
+    """
+
+    def listed(values, ends):
+        return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
 
     # What a call makes is free again before the next texts are read.
     def counted(size, keys):
         distinct, n = _summed(keys)
-        columns = segment_of(distinct, segments).astype(np.int32), np.full(len(n), size, np.int8), distinct.view(np.int64), n.astype(np.int64, copy=False)
-        batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["segment", "size", "key", "n"])
-        return [batch.slice(i, ROWS) for i in range(0, len(n), ROWS)]
+        for i in range(0, len(n), KEYS):
+            own, counts = distinct[i : i + KEYS], n[i : i + KEYS].astype(np.uint32)
+            segment = segment_of(own, segments).astype(np.int32)
+            starts = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
+            ends = np.r_[starts, len(own)]
+            columns = [pa.array(segment[starts]), pa.array(np.full(len(starts), size, np.int8)), listed(own, ends), listed(counts, ends)]
+            yield pa.RecordBatch.from_arrays(columns, ["segment", "size", "keys", "counts"])
 
     def pairs(tokens, firsts):
         before = np.r_[START, tokens[:-1]]
@@ -282,11 +292,11 @@ def _grams(train: DataFrame, segments: int) -> DataFrame:
                 yield from counted(2, keys)
                 del keys
 
-    return train.select("text").mapInArrow(task, "segment int, size tinyint, key long, n long")
+    return train.select("text").mapInArrow(task, "segment int, size tinyint, keys binary, counts binary")
 
 
 def _added(parts: list[tuple]) -> tuple:
-    """Distinct (size, key) of some rows with the sums of their numbers."""
+    """Distinct (size, key) with the sums of their numbers."""
     size, keys, n = (np.concatenate(c) for c in zip(*parts, strict=True))
     sums = []
     for kind in np.unique(size):
@@ -298,28 +308,38 @@ def _added(parts: list[tuple]) -> tuple:
     return tuple(np.concatenate(c) for c in zip(*sums, strict=True))
 
 
+def _listed(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers in all rows of a binary column, and where each row begins and the last one ends."""
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64 if pa.types.is_large_binary(column.type) else np.int32)[column.offset : column.offset + len(column) + 1]
+    values = np.frombuffer(data or b"", np.uint8)[offsets[0] : offsets[-1]].view(kind)
+    return values, (offsets - offsets[0]) // values.itemsize
+
+
 def _totals(batches):
-    """(segment, sizes, keys, sums) for each segment of (segment, size, key, n) rows in order of segments.
+    """(segment, sizes, keys, sums) for each segment of (segment, size, keys, counts) rows in order of segments.
 
-    Rows of a segment are summed as they come, so that not much more than its distinct keys is held.
+    Keys of a segment are summed as they come, so that not much more than its distinct keys is held.
     """
-    current, held, rows, most = None, [], 0, HELD
+    current, held, length, most = None, [], 0, HELD
     for batch in batches:
-        segment, *columns = (c.to_numpy() for c in batch.columns)
+        if not batch.num_rows:
+            continue
+        segment, size = (batch.column(i).to_numpy() for i in (0, 1))
+        (keys, at), (n, _) = _listed(batch.column(2), np.int64), _listed(batch.column(3), np.uint32)
         cuts = [0, *(np.flatnonzero(segment[1:] != segment[:-1]) + 1).tolist(), len(segment)]
         for start, end in zip(cuts[:-1], cuts[1:], strict=True):
-            if start == end:
-                continue
             if segment[start] != current:
                 if held:
                     yield current, *_added(held)
-                current, held, rows, most = int(segment[start]), [], 0, HELD
-            held.append(tuple(c[start:end] for c in columns))
-            rows += end - start
-            if rows > most:
+                current, held, length, most = int(segment[start]), [], 0, HELD
+            own = slice(at[start], at[end])
+            held.append((np.repeat(size[start:end], np.diff(at[start : end + 1])), keys[own], n[own].astype(np.int64)))
+            length += int(at[end] - at[start])
+            if length > most:
                 held = [_added(held)]
-                rows = len(held[0][0])
-                most = max(HELD, 2 * rows)
+                length = len(held[0][0])
+                most = max(HELD, 2 * length)
     if held:
         yield current, *_added(held)
 
@@ -327,7 +347,7 @@ def _totals(batches):
 def _segments(counts: DataFrame, segments: int) -> DataFrame:
     """Per segment its bits and sums by level, and a row for every word with its exact count.
 
-    Rows of a key may come several times; all rows of a segment are in one partition.
+    A key may come several times; all rows of a segment are in one partition.
     """
     schema = "segment int, part int, bits binary, level_n array<long>, level_sum array<long>, key long, n long"
 

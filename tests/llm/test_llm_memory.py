@@ -29,7 +29,8 @@ def test_counts_of_a_segment_are_summed_in_one_pass(spark, monkeypatch):
     for _, size, key, n in rows:
         expected[size, key] = expected.get((size, key), 0) + n
     monkeypatch.setattr(lm_scoring, "HELD", 7)
-    counts = spark.createDataFrame(rows, "segment int, size tinyint, key long, n long")
+    packed = [(s, size, np.int64(key).tobytes(), np.uint32(n).tobytes()) for s, size, key, n in rows]
+    counts = spark.createDataFrame(packed, "segment int, size tinyint, keys binary, counts binary")
     built = lm_scoring._segments(counts.repartition(3, "segment"), 1024)
     plan = built._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" not in plan and plan.count("Exchange") == 1
@@ -50,24 +51,27 @@ def test_training_keeps_no_hash_table_of_all_counts(spark, monkeypatch):
     assert words.count() == 10 and words.agg({"c": "sum"}).first()[0] == 160
 
 
-def test_rows_of_a_segment_are_summed_as_they_come(monkeypatch):
+def test_keys_of_a_segment_are_summed_as_they_come(monkeypatch):
     monkeypatch.setattr(lm_scoring, "HELD", 100)
     held, own = [], lm_scoring._added
     monkeypatch.setattr(lm_scoring, "_added", lambda parts: held.append(sum(len(p[0]) for p in parts)) or own(parts))
-    names = ["segment", "size", "key", "n"]
+    names = ["segment", "size", "keys", "counts"]
 
-    def batch(segment, keys):
-        n = len(keys)
-        return pa.RecordBatch.from_arrays([pa.array(segment, pa.int32()), pa.array(np.full(n, 1, np.int8)), pa.array(keys), pa.array(np.ones(n, np.int64))], names)
+    def batch(segment, lists, kind=pa.binary()):
+        columns = [pa.array([np.array(x, t).tobytes() for x in lists], kind) for t in (np.int64, np.uint32)]
+        columns[1] = pa.array([np.ones(len(x), np.uint32).tobytes() for x in lists], kind)
+        return pa.RecordBatch.from_arrays([pa.array(segment, pa.int32()), pa.array(np.full(len(lists), 1, np.int8)), *columns], names)
 
-    batches = [batch(np.full(50, 1), np.arange(50) % 20) for _ in range(40)] + [batch([], np.arange(0)), batch([2, 2, 3], np.array([5, 5, 5]))]
+    batches = [batch([1, 1], [np.arange(30) % 20, np.arange(30, 50) % 20]) for _ in range(40)]
+    # A part of a longer batch, and one of another kind.
+    batches += [batch([], []), batch([1, 2, 2, 3, 4], [[7]] + [[5]] * 4).slice(1, 2), batch([3], [[5]], pa.large_binary())]
     got = [(s, k.tolist(), n.tolist()) for s, _, k, n in lm_scoring._totals(batches)]
     assert got == [(1, list(range(20)), [120] * 10 + [80] * 10), (2, [5], [2]), (3, [5], [1])]
     assert max(held) <= 150
 
 
 def test_counts_leave_a_task_in_small_batches(spark, monkeypatch):
-    monkeypatch.setattr(lm_scoring, "ROWS", 10)
+    monkeypatch.setattr(lm_scoring, "KEYS", 10)
 
     class Train:
         def select(self, *columns):
@@ -77,9 +81,12 @@ def test_counts_leave_a_task_in_small_batches(spark, monkeypatch):
             return task
 
     text = pa.array([" ".join(f"w{i}" for i in range(95)).encode()] * 2, pa.binary())
-    got = list(lm_scoring._grams(Train(), 1024)([pa.RecordBatch.from_arrays([text], ["text"])]))
-    assert max(b.num_rows for b in got) == 10
-    assert sum(b.num_rows for b in got) == 96 * 2 and sum(sum(b.column(3).to_pylist()) for b in got) == 96 * 4
+    got = list(lm_scoring._grams(Train(), 4)([pa.RecordBatch.from_arrays([text], ["text"])]))
+    lists = [(s, len(k) // 8, np.frombuffer(n, np.uint32)) for b in got for s, k, n in zip(*(b.column(i).to_pylist() for i in (0, 2, 3)), strict=True)]
+    assert max(sum(len(k) for k in b.column(2).to_pylist()) for b in got) == 80
+    # A row for a segment in a batch: far fewer than keys.
+    assert len(lists) <= 2 * (10 + 3) and all(len(n) == length for _, length, n in lists)
+    assert sum(length for _, length, _ in lists) == 96 * 2 and sum(int(n.sum()) for _, _, n in lists) == 96 * 4
 
 
 def test_shared_arrays(spark):
