@@ -575,7 +575,7 @@ def find_documents_indexed(spark, sf):
     """The first page from posting bitmaps, with the five lists of its documents."""
     clauses = {"go_name": ["small ring"], "do_name": ["PROMO"]}
     page = postings.find_page(_index(spark, sf), clauses, order_by_kind="terms_do", not_empty="doi")
-    return publications.encode_lists(page)
+    return postings.encode_page(page)
 
 
 @_query
@@ -586,7 +586,7 @@ def find_documents_seek(spark, sf):
     first = postings.find_page(index, clauses, order_by_kind="terms_do").select("best_score", "doc_id").collect()
     # Nothing comes after a page without rows.
     behind = {"after": tuple(first[-1])} if first else {"offset": 25}
-    return publications.encode_lists(postings.find_page(index, clauses, order_by_kind="terms_do", **behind))
+    return postings.encode_page(postings.find_page(index, clauses, order_by_kind="terms_do", **behind))
 
 
 @_query

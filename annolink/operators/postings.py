@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from annolink.fixed_values import KINDS, PAGE_SIZE
 from annolink.functions.scalar import lookup_prefix
-from annolink.operators.publications import list_parts, ranked_entries
+from annolink.operators.publications import encode_lists, list_parts, ranked_entries, unite_parts
 from annolink.operators.search import order_kind, searchable
-from annolink.operators.skew import tasks_for, with_position
+from annolink.operators.skew import HOT_ROWS, tasks_for, with_position
 from annolink.staging import stage
 from annolink.unions import append
 
@@ -156,9 +156,10 @@ def find_page(
 
     Ordered by the document's best score of ``order_by_kind``, then by document id. A page begins
     after the row whose (best_score, doc_id) is given as ``after``, which costs the same for
-    every page, or after ``offset`` rows, which reads that many more. ``total`` counts the documents
-    of all pages. The lists are part 0 of each document's lists; only the entries of the
-    page's documents are read. ``not_empty`` names a publication column that must be filled.
+    every page, or after ``offset`` documents, which reads that many more. ``total`` counts the documents
+    of all pages. The lists are whole: a document has a row for each ``part`` of them, as in ``list_parts``,
+    and most have part 0 only; a page is counted in documents. Only the entries of the page's
+    documents are read. ``not_empty`` names a publication column that must be filled.
     """
     words = stage(matching_words(index, clauses, not_empty))
     found = total(words)
@@ -185,7 +186,17 @@ def find_page(
     schema = "doc_id string, best_score int, total long"
     heads = spark.createDataFrame([(r.doc_id, shown[r.number], found) for r in ids], schema)
     mine = F.col("doc_id").isin([r.doc_id for r in ids])
-    lists = list_parts(index.entries.where(mine), last=0).drop("part")
-    result = heads.join(index.publications.where(mine), "doc_id").join(lists, "doc_id", "left")
-    empty = {k: F.coalesce(F.col(k), F.array().cast(lists.schema[k].dataType)) for k in KINDS}
-    return result.withColumns(empty).orderBy(F.desc_nulls_last("best_score"), "doc_id")
+    entries = index.entries.where(mine)
+    # Usually no list goes beyond part 0, as the footers tell; then the scan is bounded to it.
+    longer = not entries.where(F.col("rank") >= HOT_ROWS).isEmpty()
+    lists = list_parts(entries, last=None if longer else 0)
+    # Documents are found by their entries, so all have a part. An inner join leaves the parts where they
+    # are gathered; an outer one would bring all of a document to one task.
+    result = heads.join(index.publications.where(mine), "doc_id").join(lists, "doc_id")
+    columns = [c for c in result.columns if c not in ("part", *KINDS)]
+    return result.select(*columns, *KINDS, "part").orderBy(F.desc_nulls_last("best_score"), "doc_id", "part")
+
+
+def encode_page(page: DataFrame) -> DataFrame:
+    """Text form of a page: one row per document, its lists whole, in the order of the page."""
+    return unite_parts(encode_lists(page)).orderBy(F.desc_nulls_last("best_score"), "doc_id")

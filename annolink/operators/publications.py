@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annolink.fixed_values import KINDS
+from annolink.fixed_values import ENTRY_SEPARATOR, KINDS
 from annolink.functions.lists import decode_list, encode_list
 from annolink.functions.scalar import link_out, score_band
 from annolink.operators.factorised import expand, factorise
@@ -185,6 +185,19 @@ def encode_lists(pubs: DataFrame) -> DataFrame:
     return pubs.withColumns({k: encode_list(F.col(k)) for k in KINDS})
 
 
+def unite_parts(encoded: DataFrame) -> DataFrame:
+    """One row per document of encoded publications: the texts of its parts, joined in their order.
+
+    Parts are encoded where they are gathered; a document's texts alone come to one task, as its row must.
+    Copies of a row count once.
+    """
+    own = [c for c in encoded.columns if c not in ("part", *KINDS)]
+    parts = encoded.groupBy(*own).agg(F.sort_array(F.collect_set(F.struct("part", *KINDS))).alias("_parts"))
+    # Lists that end in an earlier part are blank in the later ones.
+    whole = {k: F.array_join(F.filter(f"_parts.{k}", lambda t: t != ""), ENTRY_SEPARATOR) for k in KINDS}
+    return parts.select(*own, *[c.alias(k) for k, c in whole.items()])
+
+
 def decode_lists(
     pubs: DataFrame, selected: list[tuple[str, str]] | None = None, part_entries: int = HOT_ROWS
 ) -> DataFrame:

@@ -111,3 +111,16 @@ def test_ranked_entries_and_parts(spark):
     encoded = publications.encode_lists(publications.entity_lists(facts, 10))
     decoded = publications.decode_lists(encoded, part_entries=10).collect()
     assert {(r.doc_id, r.kind, r["rank"]) for r in decoded} == {w[:3] for w in want} and len(decoded) == len(want)
+
+
+def test_parts_united(spark):
+    rows = [(k, "big", f"n{i % 7}", str(i), i % 4) for k, n in (("genes", 30), ("terms_do", 11)) for i in range(n)]
+    rows += [("species", "big", None, "9", 2), ("terms_go", "small", "x", "GO:1", 3), ("genes", "small", "y", "1", 1)]
+    facts = spark.createDataFrame(rows, "kind string, doc_id string, name string, entity_id string, score int")
+    whole = publications.encode_lists(publications.entity_lists(facts, None)).drop("part")
+    parts = publications.encode_lists(publications.entity_lists(facts, 10))
+    titled = parts.withColumn("title", F.when(F.col("doc_id") == "big", "a"))
+    united = publications.unite_parts(titled)
+    assert parts.count() == 4 and united.columns == ["doc_id", "title", *NAMES]
+    assert sorted(map(tuple, united.select("doc_id", *NAMES).collect())) == sorted(map(tuple, whole.select("doc_id", *NAMES).collect()))
+    assert {(r.doc_id, r.title) for r in united.collect()} == {("big", "a"), ("small", None)}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from annolink import schemas
 from annolink.operators import postings, publications
+from annolink.operators.skew import HOT_ROWS
 from annolink.plans import jobs
 from annolink.sources import readers
 
@@ -97,6 +98,31 @@ def test_lists_of_the_page(corpus, spark):
         assert r.title == f"title {r.doc_id[3:]}"
 
 
+def test_lists_beyond_a_part_are_whole(spark, tmp_path):
+    """A list of more entries than a part holds comes in parts on the page, and as one text in its text form."""
+    n = HOT_ROWS + 3
+    genes = [(f"name {i:06}", f"{i}", 3 + i % 2) for i in range(n)]
+    many = spark.range(n).select(
+        F.lit("genes").alias("kind"), F.lit("PMC1").alias("doc_id"), F.format_string("name %06d", "id").alias("name"),
+        F.col("id").cast("string").alias("entity_id"), (F.lit(3) + F.col("id") % 2).cast("int").alias("score"),
+    )
+    few = [("genes", "PMC2", "name 000000", "0", 9), ("genes", "PMC3", "name 000000", "0", 3), ("species", "PMC1", "Name s", "s", 5)]
+    pubs = spark.createDataFrame([("PMC1", None), ("PMC2", "b"), ("PMC3", "c")], "doc_id string, title string")
+    jobs.load_index(many.unionByName(spark.createDataFrame(few, schemas.FACTS)), pubs, str(tmp_path / "index"))
+    index = readers.read_index(spark, str(tmp_path / "index"))
+    ranked = sorted(genes, key=lambda g: (-g[2], g[0], g[1]))
+    page = postings.find_page(index, {"gene_id": ["0"]}, limit=2).persist()
+    rows = page.collect()
+    assert [(r.doc_id, r.part, r.best_score, r.total) for r in rows] == [("PMC2", 0, 9, 3), ("PMC1", 0, 4, 3), ("PMC1", 1, 4, 3)]
+    assert [tuple(e) for r in rows[1:] for e in r.genes] == ranked
+    assert [tuple(e) for r in rows[1:] for e in r.species] == [("Name s", "s", 5)]
+    texts = [tuple(r) for r in postings.encode_page(page).select("doc_id", "total", "title", "genes", "species", "terms_go").collect()]
+    assert texts[0] == ("PMC2", 3, "b", "name 000000@!@0@!@9", "", "")
+    assert texts[1] == ("PMC1", 3, None, "#!#".join(f"{a}@!@{b}@!@{c}" for a, b, c in ranked), "Name s@!@s@!@5", "")
+    assert len(texts) == 2
+    page.unpersist()
+
+
 def scans(df):
     plan = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     return [x for x in plan.split("\n\n") if ") Scan parquet" in x]
