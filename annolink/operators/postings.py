@@ -133,11 +133,11 @@ def _after(index: Index, score: int | None, doc_id: str) -> tuple[Column, Column
     last = index.documents.where(F.col("doc_id") <= doc_id).agg(F.max("number")).first()[0]
     last = -1 if last is None else last
     word, place = last // WORD, last % WORD
-    behind = F.col("word") >= word
-    here = F.col("word") == word
-    if score is not None:
-        same = F.col("best_score") == score
-        behind, here = (F.col("best_score") < score) | (same & behind), same & here
+    best = F.col("best_score")
+    # Documents without a score come last, in the order of their ids.
+    same = best.isNull() if score is None else best.eqNullSafe(score)
+    later = F.lit(False) if score is None else best.isNull() | (best < score)
+    behind, here = later | (same & (F.col("word") >= word)), same & (F.col("word") == word)
     # In the word of the token only the places above it are behind.
     upper = (-1 << (place + 1)) if place < WORD - 1 else 0
     return behind, F.when(here, F.col("bits").bitwiseAND(F.lit(upper))).otherwise(F.col("bits"))
@@ -169,8 +169,9 @@ def find_page(
     else:
         own = index.scores.where(F.col("kind") == kind)
         own = own.select("word", F.col("bits").alias("having"), F.col("score").alias("best_score"))
-        if after is not None and after[0] is not None:
-            own = own.where(F.col("best_score") <= after[0])
+        if after is not None:
+            best = F.col("best_score")
+            own = own.where(best.isNull() if after[0] is None else best.isNull() | (best <= after[0]))
         ranked = own.join(words, "word").withColumn("bits", F.col("bits").bitwiseAND(F.col("having"))).drop("having")
     if after is not None:
         behind, bits = _after(index, after[0] if kind is not None else None, after[1])

@@ -87,6 +87,23 @@ def test_every_page_by_its_token(corpus):
     assert got == want and len(want) > 69
 
 
+def test_tokens_reach_documents_without_a_score(spark, tmp_path):
+    """The best score of a kind may be null: such documents come last and are on the pages behind a token."""
+    facts = [("genes", f"PMC{d:03}", "Name a", "a", None if d % 3 == 0 else d % 5) for d in range(200)]
+    facts += [("genes", f"PMC{d:03}", "Name b", "b", None) for d in range(0, 200, 2)]
+    pubs = spark.createDataFrame([(f"PMC{d:03}", f"title {d}") for d in range(200)], "doc_id string, title string")
+    jobs.load_index(spark.createDataFrame(facts, schemas.FACTS), pubs, str(tmp_path / "index"))
+    index = readers.read_index(spark, str(tmp_path / "index"))
+    best = {f[1]: f[4] for f in facts[:200]}
+    want = sorted(((d, s, 200) for d, s in best.items()), key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    got, after = [], None
+    while page := shown(postings.find_page(index, {"gene_id": ["a"]}, after=after, limit=57)):
+        got += page
+        after = page[-1][1], page[-1][0]
+        assert len(got) <= len(want)
+    assert got == want
+
+
 def test_lists_of_the_page(corpus, spark):
     facts, pubs, index = corpus
     page = postings.find_page(index, {"gene_name": ["Name b"]}, limit=5)
