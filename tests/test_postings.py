@@ -130,6 +130,7 @@ def test_lists_beyond_a_part_are_whole(spark, tmp_path):
     ranked = sorted(genes, key=lambda g: (-g[2], g[0], g[1]))
     page = postings.find_page(index, {"gene_id": ["0"]}, limit=2).persist()
     rows = page.collect()
+    assert sum(len(r.genes) for r in rows) == n + 1
     assert [(r.doc_id, r.part, r.best_score, r.total) for r in rows] == [("PMC2", 0, 9, 3), ("PMC1", 0, 4, 3), ("PMC1", 1, 4, 3)]
     assert [tuple(e) for r in rows[1:] for e in r.genes] == ranked
     assert [tuple(e) for r in rows[1:] for e in r.species] == [("Name s", "s", 5)]
